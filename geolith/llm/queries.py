@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from geolith.llm import exact_dedup, packing, token_output
+from geolith.llm import exact_dedup, packing, quality, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op7_token_output": token_output.op7_token_output,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
