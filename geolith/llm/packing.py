@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.shared import Scratch, documents
-from geolith.llm.tokens import WordEncoder, end_mark
+from geolith.llm.tokens import encoder, end_mark
 
 CAPACITY, END_ID = 1024, 2
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, nth long"
@@ -136,13 +136,13 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, part = WordEncoder(tokenizer_path), end_mark(end_id), TaskContext.get().partitionId()
+        encode, end, part = encoder(tokenizer_path), end_mark(end_id), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows: list[tuple] = []
             size = 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = encoder.ids(text.as_py()) + end
+                ids = encode.ids(text.as_py()) + end
                 for k, (start, length) in enumerate(cut(len(ids) // 2, capacity)):
                     own = ids[2 * start : 2 * (start + length)]
                     rows.append((doc_id, k, start, length, zlib.crc32(np.frombuffer(own, "<u2").astype("<u4").tobytes()), own, part, int(seen[length])))

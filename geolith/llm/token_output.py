@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.shared import Scratch, documents, partitions
-from geolith.llm.tokens import WordEncoder, end_mark
+from geolith.llm.tokens import encoder, end_mark
 
 #: Bits of a chunk, of which codes of 16 bits have two at most; bits of a bitmap that a rank entry covers.
 LEVEL_BITS, RANK_BLOCK = 8, 512
@@ -125,10 +125,10 @@ _ARROW = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("doc_ids", p
 
 
 def _ids_of(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int) -> Iterator[tuple[int, np.ndarray]]:
-    encoder, end = WordEncoder(tokenizer_path), end_mark(end_id)
+    encode, end = encoder(tokenizer_path), end_mark(end_id)
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            yield NO_ID if doc_id is None else doc_id, np.frombuffer(encoder.ids(text.as_py()) + end, "<u2")
+            yield NO_ID if doc_id is None else doc_id, np.frombuffer(encode.ids(text.as_py()) + end, "<u2")
 
 
 def segment_starts(spark: SparkSession, path: str) -> DataFrame:
