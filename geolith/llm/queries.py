@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from geolith.llm import exact_dedup, packing, quality, token_output, toxicity
+from geolith.llm import exact_dedup, license_scan, near_dedup, packing, quality, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_quality_classifier": quality.op3_quality_classifier,
+    "op6_license_scan": license_scan.op6_license_scan,
     "op7_token_output": token_output.op7_token_output,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
