@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from geolith.llm.components import components
 from geolith.llm.kernels import LOWER, SPACE, Hashes, blocks, joined, mixed, runs
 from geolith.llm.shared import Scratch, documents
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from geolith.llm import exact_dedup, license_scan, near_dedup, packing, quality, token_output, toxicity
+from geolith.llm import exact_dedup, license_scan, media_chunks, near_dedup, packing, quality, secret_scan, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_quality_classifier": quality.op3_quality_classifier,
+    "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_media_columns": media_chunks.op5_media_columns,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_token_output": token_output.op7_token_output,
     "op8_best_fit_packing": packing.op8_best_fit_packing,

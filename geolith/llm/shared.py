@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,18 @@ def ready(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
+@contextlib.contextmanager
+def no_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files, which else stay until the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Written Parquet tables of one operator call; they cut lineage and survive lost executors."""
 
@@ -48,8 +62,9 @@ class Scratch:
         return f"{self.at}/{name}"
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes df and reads it again."""
-        df.write.option("compression", "zstd").parquet(self.path(name))
+        """Writes df and reads it again. Its shuffle files go as soon as it is written."""
+        with no_shuffle_files(self.spark):
+            df.write.option("compression", "zstd").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
