@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from geolith.llm import exact_dedup, license_scan, media_chunks, near_dedup, packing, quality, secret_scan, token_output, toxicity
+from geolith.llm import exact_dedup, license_scan, media_chunks, mixing, near_dedup, packing, quality, secret_scan, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_mixing": mixing.op2_mixing,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op5_media_columns": media_chunks.op5_media_columns,
