@@ -10,22 +10,10 @@ from geolith.functions.geo import GridSpec
 from geolith.operators.gates import gate, missing_and_extra, summary, with_fallback
 from geolith.operators.proximity import box_join, nearest_within, prioritised_union
 from geolith.operators.ranking import exclusive_sum, first_of, longest_run
+from geolith.plans.registry import Registry
 from geolith.plans.tables import POINTS_SQL, table, vector_points
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with the SQL of the same rows."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+query = Registry()
 
 
 @query("""

@@ -17,10 +17,10 @@ DAYS, HOURS = 30, 24
 def event_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(i, j, z): mean value of each day and hour."""
     day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")) % DAYS
-    return table(spark, sf_dir, "events").groupBy(day.alias("i"), F.hour("ts").alias("j")).agg(F.round(F.avg("value"), 6).alias("z"))
+    return table(spark, sf_dir, "events").groupBy(day.alias("i"), F.hour("ts").alias("j")).agg(F.round(F.avg("value"), 4).alias("z"))
 
 
-RASTER_SQL = "raster AS (SELECT (date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) % 30)::INT AS i, hour(ts)::INT AS j, round(avg(value), 6) AS z FROM events GROUP BY 1, 2)"
+RASTER_SQL = "raster AS (SELECT (date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) % 30)::INT AS i, hour(ts)::INT AS j, round(avg(value), 4) AS z FROM events GROUP BY 1, 2)"
 
 
 def vector_points(spark: SparkSession, sf_dir: str) -> DataFrame:
