@@ -54,10 +54,12 @@ def _pairs(total: int, left: _Counts) -> Iterator[tuple[int, int]]:
     yield from ((int(total - x), int(x)) for x in a[ok][::-1])
 
 
-def _complements(gap: int, left: _Counts) -> Iterator[tuple[int, ...]]:
-    """Single lengths, pairs and triples with exactly this sum, fewest pieces first."""
+def _complements(gap: int, left: _Counts, most: int) -> Iterator[tuple[int, ...]]:
+    """Single lengths, pairs and triples with exactly this sum, fewest pieces first, of at most `most` pieces."""
     if left.n[gap] > 0:
         yield (gap,)
+    if most < 2:
+        return
     yield from _pairs(gap, left)
     for a in range(gap - 2, (gap + 2) // 3 - 1, -1):
         if left.n[a] > 0:
@@ -65,7 +67,17 @@ def _complements(gap: int, left: _Counts) -> Iterator[tuple[int, ...]]:
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths in order of place, times used) that hold counts[l] pieces of each length l."""
+    """Patterns (lengths in order of place, times used) that hold counts[l] pieces of each length l.
+
+    Where triples and pairs leave long pieces alone, single complements and best fit may do with fewer sequences.
+    """
+    n = lambda patterns: sum(times for _, times in patterns)
+    least = int(counts @ np.arange(capacity + 1)) / capacity
+    found = _plan(counts, capacity, 3)
+    return found if n(found) <= 1.002 * least + 1 else min(found, _plan(counts, capacity, 1), key=n)
+
+
+def _plan(counts: np.ndarray, capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     left, patterns = _Counts(counts), []
     if left.n[capacity]:
         patterns.append(((capacity,), int(left.n[capacity])))
@@ -73,7 +85,7 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int,
     for length in range(capacity - 1, 0, -1):
         while left.n[length]:
             before = left.n[length]
-            for rest in _complements(capacity - length, left):
+            for rest in _complements(capacity - length, left, most):
                 if times := left.times((length, *rest)):
                     left.take((length, *rest), times)
                     patterns.append(((length, *rest), times))
@@ -164,9 +176,10 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 _ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int32()), ("nth", pa.int64())])
 
 
-def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Every piece of every document with its sequence_id and offset there; ids holds its tokens (little-endian uint16).
 
+    Without with_ids only places are numbered, and no ids are read again or shuffled.
     Offsets in a sequence are gapless from 0. Repeated rows are packed each time; null doc_ids too. Empty input
     gives no rows. Other columns are ignored.
     """
@@ -183,9 +196,12 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: in
             kept = batch.drop_columns(["part", "nth", "before"])
             yield kept.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
+    if not with_ids:
+        pieces = pieces.drop("ids")
     before = sizes.selectExpr("part", "length", "coalesce(sum(n) OVER (PARTITION BY length ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before")
     numbered = pieces.join(before, ["part", "length"]).select(*pieces.columns, "before")
-    return numbered.mapInArrow(placed, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, sequence_id long, offset long")
+    own = "doc_id long, piece int, start long, length long, ids_crc32 long, " + "ids binary, " * with_ids
+    return numbered.mapInArrow(placed, own + "sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -201,4 +217,4 @@ def default_tokenizer() -> str:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    return pack(spark, documents(spark, sf_dir), tokenizer_path or default_tokenizer()).drop("ids")
+    return pack(spark, documents(spark, sf_dir), tokenizer_path or default_tokenizer(), with_ids=False)
