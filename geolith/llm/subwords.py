@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geolith.llm.kernels import SPACE, Hashes, blocks, joined, mixed, runs, segment_sums
 from geolith.llm.shared import ready
@@ -74,6 +74,8 @@ def learn(rows: list[tuple[int, np.ndarray, np.ndarray]], n_classes: int, settin
     steps = settings.epochs * len(rows)
     for step, k in enumerate(np.concatenate([rng.permutation(len(rows)) for _ in range(settings.epochs)])):
         label, buckets, shares = rows[k]
+        if not len(buckets):
+            continue
         mean = shares @ vectors[buckets]
         p = mean @ outputs
         p = np.exp(p - p.max())
@@ -87,14 +89,14 @@ def learn(rows: list[tuple[int, np.ndarray, np.ndarray]], n_classes: int, settin
     return vectors @ outputs
 
 
-def sampled(labelled: DataFrame, per_class: int) -> DataFrame:
-    """At most per_class rows (doc_id, label) of each label, by a hash of doc_id.
+def sampled(labelled: DataFrame, n_classes: int, per_class: int) -> DataFrame:
+    """At most per_class rows (doc_id, label) of each label from 0, the first by a hash of doc_id.
 
     Rows with a null are left out; a doc_id with several labels counts with the largest.
     """
     one = labelled.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
-    own = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return one.withColumn("place", F.row_number().over(own)).filter(F.col("place") <= per_class).select("doc_id", "label")
+    some = [one.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in range(n_classes)]
+    return reduce(DataFrame.union, some)
 
 
 def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settings) -> np.ndarray:
@@ -113,7 +115,7 @@ def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settin
                 })
 
     # bounded by per_class rows a class, so that it may be sent to all tasks and its features to the driver
-    chosen = sampled(labelled.select("doc_id", F.col("label").cast("int").alias("label")), settings.sample_per_class)
+    chosen = sampled(labelled.select("doc_id", F.col("label").cast("int").alias("label")), n_classes, settings.sample_per_class)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").mapInArrow(featurise, "doc_id long, label int, buckets binary, shares binary")
     table = rows.toArrow().sort_by("doc_id")
     found = [(c.as_py(), np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32)) for c, b, s in zip(table["label"], table["buckets"], table["shares"], strict=True)]

@@ -143,7 +143,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     counts = {0: 1, 1: 1} | {r["label"]: r["n"] for r in known.filter("label IN (0, 1)").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     # bounded by sample_per_class rows a label, so that it may be sent to all tasks and its features to the driver
-    chosen = sampled(known.filter("label IN (0, 1)"), settings.sample_per_class)
+    chosen = sampled(known, 2, settings.sample_per_class)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").mapInArrow(featurise, "doc_id long, label int, sentences array<binary>")
     table = rows.toArrow().sort_by("doc_id")
     found = [(y, [np.frombuffer(x, np.int32) for x in s]) for y, s in zip(table["label"].to_pylist(), table["sentences"].to_pylist(), strict=True)]
