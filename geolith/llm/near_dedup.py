@@ -32,7 +32,7 @@ from geolith.llm.shared import Scratch, documents
 WORDS, PERCENT = 5, 85
 SYMBOLS, DISTANCE, CHUNKS = 64, 23, 12
 #: Keys of more texts than this are compared in blocks, of so many texts.
-FEW, BLOCK = 8, 256
+FEW, BLOCK = 8, 1024
 #: Hashes in a sketch: the smallest of the set, which is the whole set if it has no more.
 SKETCH = 256
 
@@ -232,11 +232,15 @@ def _common_many(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.nda
         return np.array([_common(sets[p], sets[q]) for p, q in zip(i, j, strict=True)], np.int64)
     owner = np.repeat(np.arange(len(sets)), list(map(len, sets)))
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[column] > 1
-    place = np.cumsum(times > 1) - 1
-    has = np.zeros((len(sets), int((times > 1).sum())), np.float32)
-    has[owner[shared], place[column[shared]]] = 1
-    return (has @ has.T).astype(np.int64)[i, j]
+    shared = np.flatnonzero(times[column] > 1)
+    place = (np.cumsum(times > 1) - 1)[column[shared]]
+    words = -(-int((times > 1).sum()) // 64)
+    bits = np.zeros((len(sets), words), np.uint64)  # a set's members among the hashes that any two share
+    np.bitwise_or.at(bits, (owner[shared], place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+    out, step = np.empty(len(i), np.int64), max(1, (1 << 22) // max(words, 1))
+    for at in range(0, len(i), step):
+        out[at : at + step] = np.bitwise_count(bits[i[at : at + step]] & bits[j[at : at + step]]).sum(1, dtype=np.int64)
+    return out
 
 
 def _maybe(a: np.ndarray, b: np.ndarray) -> bool:
