@@ -107,3 +107,29 @@ def bilinear(raster: DataFrame, samples: DataFrame, height: int, width: int) ->
 def anti_transposed(raster: DataFrame, size: int) -> DataFrame:
     """Mirrored about the other diagonal; its own inverse."""
     return raster.select((F.lit(size - 1) - F.col("j")).alias("i"), (F.lit(size - 1) - F.col("i")).alias("j"), "z")
+
+
+def distances(mask: DataFrame, height: int, width: int) -> DataFrame:
+    """(i, j, d2): squared distance of each of height x width cells to the nearest cell of the mask; none if it is empty.
+
+    First the nearest mask cell of the same column, by windows; then the least over the columns of the row, of
+    which there are `width`.
+    """
+    number = mask.sparkSession.range(height * width)
+    cells = number.select(F.floor(F.col("id") / width).cast("int").alias("i"), (F.col("id") % width).cast("int").alias("j"))
+    hit = cells.join(mask.select("i", "j", F.col("i").alias("at")), ["i", "j"], "left")
+    column = Window.partitionBy("j").orderBy("i")
+    above = F.last("at", ignorenulls=True).over(column)
+    below = F.first("at", ignorenulls=True).over(column.rowsBetween(0, Window.unboundedFollowing))
+    near = hit.withColumn("g", F.least(F.col("i") - above, below - F.col("i"))).filter("g IS NOT NULL").select("i", F.col("j").alias("k"), "g")
+    steps = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("j")
+    return near.select("i", "k", "g", steps).groupBy("i", "j").agg(F.min((F.col("j") - F.col("k")) * (F.col("j") - F.col("k")) + F.col("g") * F.col("g")).alias("d2"))
+
+
+def best_shift(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:
+    """(di, dj, score): the shift of right, up to `reach` cells, with the least mean difference to left; ties to the smallest."""
+    offsets = tuple((a, b) for a in range(-reach, reach + 1) for b in range(-reach, reach + 1))
+    moves = F.explode(F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b in offsets]))
+    moved = right.withColumn("m", moves).select((F.col("i") + F.col("m.di")).alias("i"), (F.col("j") + F.col("m.dj")).alias("j"), F.col("z").alias("other"), "m.di", "m.dj")
+    scores = left.join(moved, ["i", "j"]).groupBy("di", "dj").agg(F.round(F.avg(F.abs(F.col("z") - F.col("other"))), 6).alias("score"))
+    return scores.orderBy("score", "di", "dj").limit(1)

@@ -200,3 +200,20 @@ def q_shared_edge_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda c, size, n: F.explode(F.filter(F.array_distinct(F.array(F.floor(F.col(c) / size), F.floor((F.col(c) - 1) / size))), lambda x: x.between(0, n - 1)))
     s = event_raster(spark, sf_dir).withColumn("p", of("i", 6, 5)).withColumn("q", of("j", 8, 3))
     return s.groupBy(F.col("p").cast("int").alias("p"), F.col("q").cast("int").alias("q")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("z"), 4).alias("total"))
+
+
+@query(f"""
+WITH {RASTER_SQL}, m AS (SELECT i, j FROM raster WHERE z > 56) SELECT r.i, r.j, min((r.i - m.i) * (r.i - m.i) + (r.j - m.j) * (r.j - m.j))::BIGINT AS d2 FROM raster r, m GROUP BY r.i, r.j
+""")
+def q_distance_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = event_raster(spark, sf_dir)
+    return R.distances(r.filter("z > 56"), DAYS, HOURS).join(r.select("i", "j"), ["i", "j"]).select("i", "j", F.col("d2").cast("long").alias("d2"))
+
+
+@query(f"""
+WITH {RASTER_SQL}, o AS (SELECT i + 1 AS i, j - 2 AS j, z + 0.5 AS z FROM raster), s AS (SELECT di, dj, round(avg(abs(r.z - o.z)), 6) AS score FROM range(-2, 3) a(di), range(-2, 3) b(dj), raster r JOIN o ON r.i = o.i + di AND r.j = o.j + dj GROUP BY di, dj)
+SELECT CAST(di AS INT) AS di, CAST(dj AS INT) AS dj, score FROM s ORDER BY score, di, dj LIMIT 1
+""")
+def q_best_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = event_raster(spark, sf_dir)
+    return R.best_shift(r, r.select((F.col("i") + 1).alias("i"), (F.col("j") - 2).alias("j"), (F.col("z") + 0.5).alias("z")), 2)

@@ -1,0 +1,47 @@
+"""A list of stages with freshness, as the batch build runs them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+
+@dataclass(frozen=True)
+class Stage:
+    """run() makes the outputs from the inputs; made(name) gives a time of making or None; a gate only checks."""
+
+    name: str
+    run: Callable[[], None]
+    inputs: tuple[str, ...] = ()
+    outputs: tuple[str, ...] = ()
+    gate: bool = False
+
+
+def fresh(stage: Stage, made: Callable[[str], float | None], slack: float = 1.0) -> bool:
+    """All outputs are there and none is older than the newest input, by more than the slack."""
+    outputs = [made(o) for o in stage.outputs]
+    if not outputs or any(t is None for t in outputs):
+        return False
+    newest = max((t for i in stage.inputs if (t := made(i)) is not None), default=None)
+    return newest is None or min(t for t in outputs if t is not None) >= newest - slack
+
+
+def plan(stages: list[Stage], made: Callable[[str], float | None], only: set[str] = frozenset(), first: str | None = None, skip: set[str] = frozenset(), force: bool = False) -> list[tuple[Stage, str]]:
+    """Each stage with what happens to it: run, fresh, skipped."""
+    names = [s.name for s in stages]
+    if unknown := ({first} if first else set()).union(only, skip) - set(names):
+        raise ValueError(f"no such stage: {', '.join(sorted(unknown))}")
+    begun = names.index(first) if first else 0
+    chosen = lambda k, s: k >= begun and (not only or s.name in only) and s.name not in skip
+    return [(s, "skipped" if not chosen(k, s) else "fresh" if not (force or s.gate) and fresh(s, made) else "run") for k, s in enumerate(stages)]
+
+
+def execute(planned: list[tuple[Stage, str]], dry: bool = False) -> list[str]:
+    """Runs what is to run, in order; stops at the first failure. Returns the names run, or that would."""
+    done = []
+    for stage, what in planned:
+        if what == "run":
+            if not dry:
+                stage.run()
+            done.append(stage.name)
+    return done

@@ -66,7 +66,7 @@ RING_SQL = "rings AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS w, CAST(p_part
 
 @query(f"""
 WITH {RING_SQL} SELECT p_partkey, round(w * h, 6) AS area, round(2 * (w + h), 6) AS length, CASE WHEN w * h = 0 THEN NULL ELSE round(w / 2, 6) END AS cx, CASE WHEN w * h = 0 THEN NULL ELSE round(h / 2, 6) END AS cy,
-       CASE WHEN w >= h THEN 0.0 ELSE 90.0 END AS bearing FROM rings
+       CAST(CASE WHEN w >= h THEN 0 ELSE 90 END AS DOUBLE) AS bearing FROM rings
 """)
 def q_ring_area_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ring = F.col("ring")
@@ -198,7 +198,7 @@ def q_quad_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_parent.filter(split & ((F.col("n") <= 40) | (F.col("depth") == 4))).select("depth", "tx", "ty", "n")
 
 
-@query("SELECT n_nationkey AS c, r_regionkey AS r, 110000.0 - (n_nationkey + 1) * 5760 AS e_min, 110000.0 - n_nationkey * 5760 AS e_max, r_regionkey * 5760.0 AS n_min, (r_regionkey + 1) * 5760.0 AS n_max FROM nation, region")
+@query("SELECT n_nationkey AS c, r_regionkey AS r, CAST(110000 - (n_nationkey + 1) * 5760 AS DOUBLE) AS e_min, CAST(110000 - n_nationkey * 5760 AS DOUBLE) AS e_max, CAST(r_regionkey * 5760 AS DOUBLE) AS n_min, CAST((r_regionkey + 1) * 5760 AS DOUBLE) AS n_max FROM nation, region")
 def q_cell_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c")).crossJoin(F.broadcast(table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("r"))))  # 25 by 5 cells of a fixed grid
     return cells.select("c", "r", *[v.alias(k) for k, v in geo.GridSpec(110000.0, 0.0, 5760.0, 25, 5).bounds_of(F.col("c"), F.col("r")).items()])
@@ -235,3 +235,22 @@ def q_variant_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(F.col("w").cast("int") % 5).orderBy(F.desc(F.col("w") * F.col("h")), "p_partkey"))
     most, least = F.greatest("w", "h"), F.least("w", "h")
     return d.select("p_partkey", place.alias("place"), F.round(F.least(F.greatest(most / 20, F.lit(0.5)), F.lit(2.0)), 6).alias("scale"), ((least > 0) & (most / least >= 2.2)).alias("long"))
+
+
+@query(f"WITH {RING_SQL} SELECT p_partkey, round(w * h, 6) AS area, greatest(w, h) AS length FROM rings WHERE w > 0 AND h > 0")
+def q_least_rectangle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from geolith.functions.shapes import bounding_rectangle
+
+    d = part_rings(spark, sf_dir).filter(rings.valid(F.col("ring"))).select("p_partkey", bounding_rectangle(F.col("ring")).alias("b"))
+    return d.select("p_partkey", F.round("b.area", 6).alias("area"), F.round("b.length", 6).alias("length"))
+
+
+@query("SELECT s_suppkey, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE) AS x, CAST(CAST(s_suppkey * 1.25 AS FLOAT) AS DOUBLE) AS y, s_name AS name FROM supplier")
+def q_codec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as fixed-width object records and back: 32-bit floats and names come through."""
+    from geolith.sources.files import decoded_records, encoded_records
+
+    s = table(spark, sf_dir, "supplier").select(F.col("s_acctbal").cast("float").alias("x"), (F.col("s_suppkey") * 1.25).cast("float").alias("y"), F.lit(0.0).cast("float").alias("z"), F.lit(1.0).cast("float").alias("scale"), F.lit(0.0).cast("float").alias("heading"), F.col("s_name").alias("name"), "s_suppkey")
+    files = encoded_records(s, "object").select(F.col("s_suppkey").cast("string").alias("path"), F.col("record").alias("content"))
+    back = decoded_records(files, "object")
+    return back.select(F.col("path").cast("long").alias("s_suppkey"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "name")
