@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geolith.llm.shared import Scratch, documents
+from geolith.llm.shared import Scratch, documents, partitions
 
 #: Each of these characters, alone or in a row, counts as one space.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -27,10 +27,11 @@ def text_digest(text: F.Column) -> F.Column:
 class DigestIndex:
     """The bucketed table of digests: digest, doc_id of the row that stays. Survives the session in `path`.
 
-    buckets is fixed when the index is made: as many as the largest batch has shuffle partitions.
+    buckets is fixed when the index is made: by default as many as the session has shuffle partitions.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+        buckets = buckets or partitions(spark)
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
         spark.sql(

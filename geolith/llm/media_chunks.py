@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.kernels import blocks
-from geolith.llm.shared import Scratch, documents, no_shuffle_files, ready
+from geolith.llm.shared import Scratch, documents, no_shuffle_files, partitions, ready
 
 #: Cuts are 2 ** BITS bytes apart on average, beyond LEAST.
 BITS, LEAST, MOST = 13, 2048, 65536
@@ -94,9 +94,11 @@ class ChunkStore:
     """The chunk table under `path`: digest, and data compressed by zstandard with the dictionary beside it.
 
     The dictionary is learned once, from DICTIONARY_CHUNKS chunks of as many documents, the first by a hash, and stays with the store.
+    buckets stay too: by default as many as the session has shuffle partitions when the store is made.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+        buckets = buckets or partitions(spark)
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"media_chunks_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, data BINARY) USING parquet OPTIONS (compression 'uncompressed') CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}/chunks'")
@@ -114,7 +116,8 @@ class ChunkStore:
             except Exception as missing:
                 if "PATH_NOT_FOUND" not in str(missing):
                     raise
-                some = docs.select("text", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_CHUNKS).select("text")
+                ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_CHUNKS)
+                some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")  # at most DICTIONARY_CHUNKS ids
                 samples = [bytes(r["data"]) for r in some.mapInArrow(_cut_plain, "data binary").orderBy(F.xxhash64("data")).limit(DICTIONARY_CHUNKS).collect()]
                 trained = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if sum(map(len, samples)) > 10 * DICTIONARY_BYTES else b""
                 self.spark.createDataFrame([(bytearray(trained),)], "dictionary binary").write.parquet(at)
@@ -135,9 +138,11 @@ class ChunkStore:
                     seen.update(own)
                     yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in new], pa.binary()), pa.array([c for _, c in new], pa.binary())], ["digest", "data"])
 
-        new = docs.select("text").mapInArrow(cut, "digest binary, data binary").join(self.rows().select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
+        # dealt out once, as the table's buckets are: the anti-join, the removal of copies and the write need no more
+        dealt = docs.select("text").mapInArrow(cut, "digest binary, data binary").repartition(self.buckets, "digest")
+        new = dealt.join(self.rows().select("digest").hint("merge"), "digest", "left_anti").dropDuplicates(["digest"])
         with no_shuffle_files(self.spark):
-            new.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.name)
+            new.sortWithinPartitions("digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
 
