@@ -26,10 +26,11 @@ class Settings:
     prefixes: tuple[int, ...] = (3, 4, 5, 6, 7)  # bytes of a word's beginning
     sample_per_class: int = 4000
     least_documents: int = 8  # of the sample that have a bucket, for it to get a weight
-    steps: int = 120
+    steps: int = 60
     rate: float = 0.1
-    shrink: float = 4e-4  # L1 penalty on the mean loss of a document
-    spread: float = 1e-4  # L2 penalty: words that occur together share the weight
+    shrink: float = 1.2  # L1 penalty, as the loss of so many documents
+    spread: float = 0.3  # L2 penalty likewise: words that occur together share the weight
+    trust: float = 2.5  # standard errors taken off the log odds that weights start from
     start: float = -7.0  # logit of a sentence without weights
 
 
@@ -87,10 +88,10 @@ def learn(rows: list[tuple[int, list[np.ndarray]]], counts: dict[int, int], sett
     size = 1 << settings.bits
     if len({y for y, _ in rows}) < 2:
         return np.zeros(size), settings.start
-    seen = np.zeros(size, np.int64)
-    for _, sentences in rows:
-        seen[np.unique(np.concatenate(sentences or [np.zeros(0, np.int64)]))] += 1
-    used = np.flatnonzero(seen >= settings.least_documents)
+    by = np.zeros((2, size))
+    for y, sentences in rows:
+        by[y, np.unique(np.concatenate(sentences or [np.zeros(0, np.int64)]))] += 1
+    used = np.flatnonzero(by.sum(0) >= settings.least_documents)
     index = np.full(size, -1, np.int64)
     index[used] = np.arange(len(used))
     label, doc, sentence, feature = np.array([y for y, _ in rows]), [], [], []
@@ -104,7 +105,12 @@ def learn(rows: list[tuple[int, list[np.ndarray]]], counts: dict[int, int], sett
     per = {y: counts[y] / max(int((label == y).sum()), 1) for y in (0, 1)}
     weight = np.where(label == 1, per[1], per[0])
     weight = weight / weight.mean()
-    w, b = np.zeros(len(used)), settings.start
+    # words that only toxic documents have start high, or those beside them would explain their documents first
+    clean_n, toxic_n = by[:, used] + 0.5
+    odds = np.log(toxic_n / (1 + (label == 1).sum())) - np.log(clean_n / (1 + (label == 0).sum()))
+    w, b = np.maximum(odds - settings.trust * np.sqrt(1 / toxic_n + 1 / clean_n), 0.0) / 3, settings.start
+    free = w > 0  # well-founded weights are not penalised: once others explain their documents, only the penalty would move them
+    shrink, spread = np.where(free, 0.0, settings.shrink / len(rows)), np.where(free, 0.0, settings.spread / len(rows))
     first, second, first_b, second_b = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, settings.steps + 1):
         z = b + np.bincount(sentence, w[feature], minlength=len(doc))
@@ -113,9 +119,9 @@ def learn(rows: list[tuple[int, list[np.ndarray]]], counts: dict[int, int], sett
         # d loss / d z of a sentence: p for clean documents, -p (1 - P) / P for toxic ones
         pull = np.where(label == 1, -np.exp(clean) / np.maximum(toxic, 1e-9), 1.0) * weight / len(label)
         g = pull[doc] / (1 + np.exp(-z))
-        gw, gb = np.bincount(feature, g[sentence], minlength=len(used)) + settings.spread * w, g.sum()
+        gw, gb = np.bincount(feature, g[sentence], minlength=len(used)) + spread * w, g.sum()
         # at 0 a weight moves only if its gradient outweighs the penalty
-        gw = np.where(w != 0, gw + settings.shrink * np.sign(w), np.sign(gw) * np.maximum(np.abs(gw) - settings.shrink, 0))
+        gw = np.where(w != 0, gw + shrink * np.sign(w), np.sign(gw) * np.maximum(np.abs(gw) - shrink, 0))
         first, second = 0.9 * first + 0.1 * gw, 0.99 * second + 0.01 * gw * gw
         first_b, second_b = 0.9 * first_b + 0.1 * gb, 0.99 * second_b + 0.01 * gb * gb
         rate = settings.rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
