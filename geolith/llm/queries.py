@@ -17,4 +17,4 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
-ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op9_near_dedup": near_dedup.ORACLE_SQL}
