@@ -95,3 +95,11 @@ def ramp(value: Column, low: float, high: float) -> Column:
 def smoothstep(value: Column, low: float, high: float) -> Column:
     t = ramp(value, low, high)
     return t * t * (F.lit(3.0) - t * 2.0)
+
+
+def web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
+    return F.radians(lon) * AXIS, F.asinh(F.tan(F.radians(lat))) * AXIS
+
+
+def web_mercator_inverse(x: Column, y: Column) -> tuple[Column, Column]:
+    return F.degrees(x / AXIS), F.degrees(F.atan(F.sinh(y / AXIS)))

@@ -133,3 +133,11 @@ def best_shift(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:
     moved = right.withColumn("m", moves).select((F.col("i") + F.col("m.di")).alias("i"), (F.col("j") + F.col("m.dj")).alias("j"), F.col("z").alias("other"), "m.di", "m.dj")
     scores = left.join(moved, ["i", "j"]).groupBy("di", "dj").agg(F.round(F.avg(F.abs(F.col("z") - F.col("other"))), 6).alias("score"))
     return scores.orderBy("score", "di", "dj").limit(1)
+
+
+def outline(mask: DataFrame) -> DataFrame:
+    """(i, j, a, b): each side, in direction (a, b), of a cell of the mask that borders on none of it."""
+    sides = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in CROSS[1:]]))
+    rows = mask.select("i", "j", sides.alias("s")).select("i", "j", "s.a", "s.b", (F.col("i") + F.col("s.a")).alias("ni"), (F.col("j") + F.col("s.b")).alias("nj"))
+    beside = mask.select(F.col("i").alias("ni"), F.col("j").alias("nj"))
+    return rows.join(beside, ["ni", "nj"], "left_anti").select("i", "j", "a", "b")
