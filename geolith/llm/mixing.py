@@ -21,7 +21,7 @@ from geolith.llm.shared import Scratch, documents, ready
 from geolith.llm.subwords import Settings, class_scores, train
 
 SETTINGS = Settings(bits=16, dim=8, ngrams=(4,), sample_per_class=600, epochs=5)
-ROUNDS, CLOSE = 60, 1e-5
+ROUNDS, CLOSE = 60, 1e-3
 #: Target weights of the domains, here the languages of the documents.
 TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 

@@ -27,7 +27,7 @@ class Settings:
     bits: int = 17  # log2 of the number of buckets
     dim: int = 12  # of the vectors
     ngrams: tuple[int, ...] = (3, 5)  # bytes of a character n-gram
-    sample_per_class: int = 2000
+    sample_per_class: int = 1200
     epochs: int = 8
     rate: float = 0.6
     seed: int = 7
