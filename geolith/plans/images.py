@@ -92,13 +92,13 @@ def q_projected_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH o AS (SELECT s_suppkey AS k, 'obj_' || CAST(s_suppkey AS VARCHAR) AS name FROM supplier), r AS (SELECT 'obj_' || CAST(p_partkey AS VARCHAR) AS name, p_size * 4.0 AS perimeter FROM part WHERE p_partkey % 3 = 0)
+WITH o AS (SELECT s_suppkey AS k, 'obj_' || CAST(s_suppkey AS VARCHAR) AS name FROM supplier), r AS (SELECT 'obj_' || CAST(p_partkey * 3 AS VARCHAR) AS name, p_size * 4.0 AS perimeter FROM part)
 SELECT k, o.name, CAST(perimeter AS DOUBLE) AS perimeter FROM o JOIN r ON o.name = r.name
 """)
 def q_sidecar_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with the shapes of their names; records without one are dropped."""
-    name = lambda c: F.concat(F.lit("obj_"), F.col(c).cast("string")).alias("name")
-    shapes = table(spark, sf_dir, "part").filter("p_partkey % 3 = 0").select(name("p_partkey"), (F.col("p_size") * 4.0).alias("perimeter"))
+    name = lambda c: F.concat(F.lit("obj_"), F.expr(c).cast("string")).alias("name")
+    shapes = table(spark, sf_dir, "part").select(name("p_partkey * 3"), (F.col("p_size") * 4.0).alias("perimeter"))
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), name("s_suppkey")).join(shapes, "name").select("k", "name", "perimeter")
 
 

@@ -11,7 +11,7 @@ from geolith.functions.colour import blend
 from geolith.functions.geo import ramp, smoothstep
 from geolith.operators import rasters as R
 from geolith.plans.registry import Registry
-from geolith.plans.tables import DAYS, HOURS, POINTS_SQL, RASTER_SQL, event_raster, table, vector_points
+from geolith.plans.tables import DAYS, HOURS, POINTS_SQL, RASTER_SQL, event_raster, vector_points
 
 query = Registry()
 
@@ -70,13 +70,13 @@ def q_thermal_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {RASTER_SQL}, s AS (SELECT i AS si, j AS sj, i + 0.2137 AS y, j * 1.0371 - 0.4 AS x FROM raster WHERE i % 2 = 0), c AS (SELECT si, sj, least(greatest(y, 0), 29) AS y, least(greatest(x, 0), 23) AS x FROM s),
+WITH {RASTER_SQL}, s AS (SELECT i AS si, j AS sj, i + 0.2137 AS y, j * 1.0371 - 0.4 AS x FROM raster), c AS (SELECT si, sj, least(greatest(y, 0), 29) AS y, least(greatest(x, 0), 23) AS x FROM s),
 q AS (SELECT si, sj, least(floor(y) + a, 29) AS i, least(floor(x) + b, 23) AS j, (CASE a WHEN 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) * (CASE b WHEN 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END) AS w FROM c, (VALUES (0), (1)) p(a), (VALUES (0), (1)) t(b))
 SELECT si, sj, round(sum(w * z), 4) AS z FROM q JOIN raster USING (i, j) GROUP BY si, sj
 """)
 def q_bilinear_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = event_raster(spark, sf_dir)
-    s = r.filter("i % 2 = 0").select(F.col("i").alias("si"), F.col("j").alias("sj"), (F.col("i") + 0.2137).alias("y"), (F.col("j") * 1.0371 - 0.4).alias("x"))
+    s = r.select(F.col("i").alias("si"), F.col("j").alias("sj"), (F.col("i") + 0.2137).alias("y"), (F.col("j") * 1.0371 - 0.4).alias("x"))
     return R.bilinear(r, s, DAYS, HOURS).select("si", "sj", F.round("z", 4).alias("z"))
 
 
@@ -152,11 +152,11 @@ def q_seam_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {RASTER_SQL}, {POINTS_SQL}, w AS (SELECT vec_id, round(avg(z), 8) AS colour, count(z) AS n FROM points LEFT JOIN raster ON abs(j - (x + 40) / 80 * 24) <= 1.5 AND abs(i - (y + 40) / 80 * 30) <= 1.5 AND z > 30 WHERE vec_id % 3 = 0 GROUP BY vec_id)
+WITH {RASTER_SQL}, {POINTS_SQL}, w AS (SELECT vec_id, round(avg(z), 8) AS colour, count(z) AS n FROM points LEFT JOIN raster ON abs(j - (x + 40) / 80 * 24) <= 1.5 AND abs(i - (y + 40) / 80 * 30) <= 1.5 AND z > 30 GROUP BY vec_id)
 SELECT vec_id, coalesce(colour, 0.6) AS colour, n FROM w
 """)
 def q_window_colour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = vector_points(spark, sf_dir).filter("vec_id % 3 = 0").select("vec_id", ((F.col("x") + 40) / 80 * HOURS).alias("px"), ((F.col("y") + 40) / 80 * DAYS).alias("py"))
+    p = vector_points(spark, sf_dir).select("vec_id", ((F.col("x") + 40) / 80 * HOURS).alias("px"), ((F.col("y") + 40) / 80 * DAYS).alias("py"))
     span = lambda c: F.explode(F.sequence(F.ceil(F.col(c) - 1.5), F.floor(F.col(c) + 1.5)))
     cells = p.withColumn("j", span("px")).withColumn("i", span("py")).select("vec_id", "i", "j")
     r = event_raster(spark, sf_dir).filter("z > 30").select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), "z")
