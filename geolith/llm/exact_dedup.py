@@ -7,13 +7,11 @@ side unshuffled, and what is new is appended to the index. Only digests are shuf
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geolith.llm.shared import Scratch, documents, partitions
+from geolith.llm.shared import Scratch, bucketed_table, documents
 
 #: Each of these characters, alone or in a row, counts as one space.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -25,19 +23,11 @@ def text_digest(text: F.Column) -> F.Column:
 
 
 class DigestIndex:
-    """The bucketed table of digests: digest, doc_id of the row that stays. Survives the session in `path`.
-
-    buckets is fixed when the index is made: by default as many as the session has shuffle partitions.
-    """
+    """The bucketed table of digests: digest, doc_id of the row that stays. Survives the session under `path`."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
-        buckets = buckets or partitions(spark)
-        self.spark, self.path, self.buckets = spark, path, buckets
-        self.name = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
-        )
+        self.spark = spark
+        self.name, self.buckets = bucketed_table(spark, path, "digest STRING, keep_id BIGINT", "digest", buckets)
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -53,7 +43,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, salts: int = 64) -> DataFra
     keep_id is the indexed row's doc_id for texts seen in an earlier batch, else the smallest doc_id
     of the batch. group_size counts the batch's rows with the text. Null text counts as empty; null
     doc_ids sort last and are dropped duplicates of any other; a repeated row with the smallest doc_id
-    is kept each time. Empty input gives no rows. Other columns are ignored.
+    is kept each time, and so is a row that is fed again. Empty input gives no rows. Other columns are ignored.
     A hot group is counted under (digest, salt of doc_id) before anything is keyed by digest alone.
     """
     spark = index.spark

@@ -13,18 +13,18 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.kernels import blocks
-from geolith.llm.shared import Scratch, documents, no_shuffle_files, partitions, ready
+from geolith.llm.shared import Scratch, bucketed_table, documents, no_shuffle_files, ready
 
 #: Cuts are 2 ** BITS bytes apart on average, beyond LEAST.
 BITS, LEAST, MOST = 13, 2048, 65536
@@ -94,14 +94,11 @@ class ChunkStore:
     """The chunk table under `path`: digest, and data compressed by zstandard with the dictionary beside it.
 
     The dictionary is learned once, from DICTIONARY_CHUNKS chunks of as many documents, the first by a hash, and stays with the store.
-    buckets stay too: by default as many as the session has shuffle partitions when the store is made.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
-        buckets = buckets or partitions(spark)
-        self.spark, self.path, self.buckets = spark, path, buckets
-        self.name = f"media_chunks_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, data BINARY) USING parquet OPTIONS (compression 'uncompressed') CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}/chunks'")
+        self.spark, self.path = spark, path
+        self.name, self.buckets = bucketed_table(spark, path, "digest BINARY, data BINARY", "digest", buckets, "uncompressed")
         self.dictionary: bytes | None = None
 
     def rows(self) -> DataFrame:
@@ -113,8 +110,8 @@ class ChunkStore:
             at = f"{self.path}/dictionary"
             try:
                 self.dictionary = bytes(self.spark.read.parquet(at).first()["dictionary"])
-            except Exception as missing:
-                if "PATH_NOT_FOUND" not in str(missing):
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
                     raise
                 ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_CHUNKS)
                 some = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text")  # at most DICTIONARY_CHUNKS ids

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -81,3 +82,22 @@ def partitions(spark: SparkSession) -> int:
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def bucketed_table(spark: SparkSession, path: str, columns: str, key: str, buckets: int | None = None, compression: str = "zstd") -> tuple[str, int]:
+    """(name, buckets) of the table under `path`, bucketed and sorted by `key`, for this session.
+
+    A new table gets as many buckets as asked for, or as the session has shuffle partitions. The number is
+    written beside the rows: a table that is there keeps its own, whatever later sessions ask for.
+    """
+    at = f"{path}/buckets"
+    try:
+        buckets = spark.read.parquet(at).first()["buckets"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        buckets = buckets or partitions(spark)
+        spark.createDataFrame([(buckets,)], "buckets int").write.parquet(at)
+    name = f"bucketed_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (compression '{compression}') CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}/rows'")
+    return name, buckets

@@ -50,6 +50,17 @@ def test_exact_dedup_over_batches(spark, corpus):
     assert exact_dedup.DigestIndex(spark, path).rows().count() == exact_dedup.DigestIndex(spark, path).rows().select("digest").distinct().count()
 
 
+def test_an_index_keeps_its_buckets(spark, corpus):
+    path = Scratch(spark, "t").path("i")
+    exact_dedup.exact_dedup(corpus, exact_dedup.DigestIndex(spark, path, 3)).count()
+    index = exact_dedup.DigestIndex(spark, path, 9)
+    spark.sql(f"DROP TABLE {index.name}")  # as a new session finds it: the rows stay
+    again = exact_dedup.DigestIndex(spark, path, 9)
+    held = again.rows().count()
+    exact_dedup.exact_dedup(corpus, again)
+    assert again.buckets == 3 and again.rows().count() == held == again.rows().select("digest").distinct().count()
+
+
 def test_drop_exact_copies_keeps_columns(spark, corpus):
     kept = exact_dedup.drop_exact_copies(spark, corpus)
     assert kept.columns == corpus.columns
