@@ -254,3 +254,19 @@ def q_codec_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = encoded_records(s, "object").select(F.col("s_suppkey").cast("string").alias("path"), F.col("record").alias("content"))
     back = decoded_records(files, "object")
     return back.select(F.col("path").cast("long").alias("s_suppkey"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "name")
+
+
+@query(f"""
+WITH RECURSIVE {POINTS_SQL}, b AS (SELECT vec_id, x - 0.6 AS x0, x + 0.6 AS x1, y - 0.6 AS y0, y + 0.6 AS y1 FROM points),
+e AS (SELECT a.vec_id AS u, o.vec_id AS v FROM b a JOIN b o ON a.vec_id <> o.vec_id AND a.x0 <= o.x1 AND o.x0 <= a.x1 AND a.y0 <= o.y1 AND o.y0 <= a.y1),
+r AS (SELECT vec_id AS node, vec_id AS root FROM b UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node), l AS (SELECT node AS vec_id, min(root) AS label FROM r GROUP BY node)
+SELECT label, count(*) AS n, round(min(x0), 6) AS x0, round(max(x1), 6) AS x1, round(min(y0), 6) AS y0, round(max(y1), 6) AS y1 FROM b JOIN l USING (vec_id) GROUP BY label
+""")
+def q_dissolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Footprints that overlap, as one."""
+    from geolith.operators.graph import dissolved
+
+    x, y = F.col("x"), F.col("y")
+    boxes = vector_points(spark, sf_dir).select("vec_id", (x - 0.6).alias("x0"), (x + 0.6).alias("x1"), (y - 0.6).alias("y0"), (y + 0.6).alias("y1"))
+    d = dissolved(boxes, "vec_id", 1.2)
+    return d.select("label", "n", *[F.round(c, 6).alias(c) for c in ("x0", "x1", "y0", "y1")])

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from geolith.sources import formats
 
@@ -142,3 +142,42 @@ class _FileWriter(DataSourceWriter):
 class _Done(WriterCommitMessage):
     def __init__(self, files: list[tuple[str, str]]) -> None:
         self.files = files
+
+
+class RawRaster(DataSource):
+    """format("geolith_raster"): a headerless raster of 16-bit heights, read in bands of rows.
+
+    Options: path (below a folder that all executors mount), width, height, band (rows a task). Values below 0
+    become 0; a file of another size is an error.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "geolith_raster"
+
+    def schema(self) -> str:
+        return "i int, j int, z int"
+
+    def reader(self, schema) -> DataSourceReader:
+        o = self.options
+        return _BandReader(o["path"].removeprefix("file://"), int(o["width"]), int(o["height"]), int(o.get("band", "256")))
+
+
+class _BandReader(DataSourceReader):
+    def __init__(self, path: str, width: int, height: int, band: int) -> None:
+        self.path, self.width, self.height, self.band = path, width, height, band
+
+    def partitions(self) -> list[InputPartition]:
+        import os
+
+        if (size := os.path.getsize(self.path)) != 2 * self.width * self.height:
+            raise ValueError(f"{size // 2} samples are not {self.width} x {self.height}")
+        return [InputPartition(row) for row in range(0, self.height, self.band)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        rows = min(self.band, self.height - partition.value)
+        with open(self.path, "rb") as f:
+            f.seek(2 * self.width * partition.value)
+            z = formats.decode_heights(f.read(2 * self.width * rows), self.width, rows)
+        i, j = np.indices(z.shape, dtype=np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array((i + partition.value).ravel()), pa.array(j.ravel()), pa.array(z.ravel().astype(np.int32))], ["i", "j", "z"])

@@ -178,3 +178,12 @@ def test_best_shift(spark, reach):
     z = np.random.default_rng(7).normal(size=(9, 9))
     moved = grid(spark, z).select((F.col("i") + 1).alias("i"), "j", "z")
     assert tuple(rasters.best_shift(grid(spark, z), moved, reach).first()) == (-1, 0, 0.0)
+
+
+def test_connected(spark):
+    from geolith.operators.graph import connected
+
+    edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 130)] + [(201, 200)]
+    got = {r["node"]: r["label"] for r in connected(spark.createDataFrame(edges, "u BIGINT, v BIGINT")).collect()}
+    assert got == {**{k: 0 for k in range(51)}, **{k: 100 for k in range(100, 130)}, 200: 200, 201: 200}
+    assert connected(spark.createDataFrame([], "u BIGINT, v BIGINT")).count() == 0

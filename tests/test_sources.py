@@ -114,3 +114,15 @@ def test_stages():
     assert stages.execute(stages.plan(steps, made.get)) == ran == ["two", "check"]
     with pytest.raises(ValueError):
         what(only={"none"})
+
+
+def test_raster_in_bands(spark, tmp_path):
+    z = np.random.default_rng(3).integers(-5, 900, (11, 7)).astype("<i2")
+    (tmp_path / "dem.raw").write_bytes(z.tobytes())
+    spark.dataSource.register(files.RawRaster)
+    reader = spark.read.format("geolith_raster").option("width", 7).option("band", 4)
+    got = reader.option("height", 11).load(str(tmp_path / "dem.raw"))
+    assert got.rdd.getNumPartitions() == 3
+    assert {(r["i"], r["j"]): r["z"] for r in got.collect()} == {(i, j): max(int(z[i, j]), 0) for i in range(11) for j in range(7)}
+    with pytest.raises(Exception, match="samples"):
+        reader.option("height", 12).load(str(tmp_path / "dem.raw")).count()
