@@ -72,12 +72,12 @@ def q_thermal_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {RASTER_SQL}, s AS (SELECT i AS si, j AS sj, i + 0.2137 AS y, j * 1.0371 - 0.4 AS x FROM raster), c AS (SELECT si, sj, least(greatest(y, 0), 29) AS y, least(greatest(x, 0), 23) AS x FROM s),
 q AS (SELECT si, sj, least(floor(y) + a, 29) AS i, least(floor(x) + b, 23) AS j, (CASE a WHEN 1 THEN y - floor(y) ELSE 1 - (y - floor(y)) END) * (CASE b WHEN 1 THEN x - floor(x) ELSE 1 - (x - floor(x)) END) AS w FROM c, (VALUES (0), (1)) p(a), (VALUES (0), (1)) t(b))
-SELECT si, sj, round(sum(w * z), 4) AS z FROM q JOIN raster USING (i, j) GROUP BY si, sj
+SELECT si, sj, round(sum(w * z), 8) AS z FROM q JOIN raster USING (i, j) GROUP BY si, sj
 """)
 def q_bilinear_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = event_raster(spark, sf_dir)
     s = r.select(F.col("i").alias("si"), F.col("j").alias("sj"), (F.col("i") + 0.2137).alias("y"), (F.col("j") * 1.0371 - 0.4).alias("x"))
-    return R.bilinear(r, s, DAYS, HOURS).select("si", "sj", F.round("z", 4).alias("z"))
+    return R.bilinear(r, s, DAYS, HOURS).select("si", "sj", F.round("z", 8).alias("z"))
 
 
 OPENING_SQL = f"""{RASTER_SQL}, m AS (SELECT i, j FROM raster WHERE z > 38), x AS (SELECT * FROM (VALUES (0,0),(1,0),(-1,0),(0,1),(0,-1)) v(a, b)),
