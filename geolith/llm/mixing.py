@@ -136,7 +136,10 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, floa
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], most: float = 1.0) -> DataFrame:
-    """The rows of docs, each as often as its copies say, with all their columns; with most = 1 none is repeated."""
+    """The rows of docs, each as often as its copies say, with all their columns; with most = 1 none is repeated.
+
+    Rows that share a doc_id share its copies; rows with a null doc_id go.
+    """
     used = mixed_rates(docs, labelled, targets, most=most).filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__n")).dropDuplicates(["__id"])
     rows = docs.withColumn("__id", F.col("doc_id").cast("long")).join(used, "__id")
     if most > 1:

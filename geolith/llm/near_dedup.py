@@ -309,7 +309,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each group of near copies, with all its columns."""
+    """One document of each group of near copies, with all its columns.
+
+    Rows that share the doc_id that stays all stay; rows with a null doc_id go.
+    """
     stay = near_components(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
     return docs.withColumn("__id", F.col("doc_id").cast("long")).join(stay, "__id", "left_semi").select(*docs.columns)
 

@@ -180,7 +180,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: in
     """Every piece of every document with its sequence_id and offset there; ids holds its tokens (little-endian uint16).
 
     Without with_ids only places are numbered, and no ids are read again or shuffled.
-    Offsets in a sequence are gapless from 0. Repeated rows are packed each time; null doc_ids too. Empty input
+    Offsets in a sequence are gapless from 0. Null text counts as empty: the end id alone. Repeated rows are packed each time; null doc_ids too. Empty input
     gives no rows. Other columns are ignored.
     """
     pieces = Scratch(spark, "packing").table(tokenize_pieces(docs, tokenizer_path, capacity, end_id), "pieces")

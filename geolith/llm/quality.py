@@ -53,7 +53,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
-    """The rows of docs that score 0.5 or more, with all their columns, in one pass over them."""
+    """The rows of docs that score 0.5 or more, with all their columns, in one pass over them.
+
+    Texts without evidence (null, empty, or no labels at all) score 0.5 and stay.
+    """
     table = spark.sparkContext.broadcast(quality_model(docs, labels, settings))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
