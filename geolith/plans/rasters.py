@@ -142,13 +142,13 @@ def q_lonlat_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {RASTER_SQL}, e AS (SELECT CAST(i // 6 AS INT) AS pair, j, i, z FROM raster WHERE i % 6 = 5 OR i % 6 = 0), s AS (SELECT a.pair, abs(a.z - b.z) AS d FROM e a JOIN e b ON a.j = b.j AND b.i = a.i + 1)
-SELECT pair, count(*) AS n, round(max(d), 6) AS worst, round(avg(d), 6) AS mean, bool_and(d < 60) AS passed FROM s GROUP BY pair
+SELECT pair, count(*) AS n, round(max(d), 6) AS worst, round(avg(d), 8) AS mean, bool_and(d < 60) AS passed FROM s GROUP BY pair
 """)
 def q_seam_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = event_raster(spark, sf_dir)
     low = r.filter("i % 6 = 5").select(F.floor(F.col("i") / 6).cast("int").alias("pair"), "j", (F.col("i") + 1).alias("i"), F.col("z").alias("a"))
     d = low.join(r.filter("i % 6 = 0"), ["i", "j"]).select("pair", F.abs(F.col("a") - F.col("z")).alias("d"))
-    return d.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("d"), 6).alias("worst"), F.round(F.avg("d"), 6).alias("mean"), F.bool_and(F.col("d") < 60).alias("passed"))
+    return d.groupBy("pair").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("d"), 6).alias("worst"), F.round(F.avg("d"), 8).alias("mean"), F.bool_and(F.col("d") < 60).alias("passed"))
 
 
 @query(f"""

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame, SparkSession
+
+from geolith.session import importable
+
 
 class Registry:
     def __init__(self) -> None:
@@ -12,7 +18,12 @@ class Registry:
         """A decorator: the query goes under its function's name; without sql, tests check its rows."""
 
         def add(f):
-            self.queries[f.__name__] = f
+            @functools.wraps(f)
+            def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+                importable(spark)
+                return f(spark, sf_dir)
+
+            self.queries[f.__name__] = ready
             if sql:
                 self.sql[f.__name__] = sql
             return f
