@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 #: Texts are taken together up to this many bytes; a longer text stands alone.
 BLOCK_BYTES = 1 << 20
@@ -26,16 +27,21 @@ ALNUM = np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def blocks(texts: Sequence[str | None], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """(index of the first, texts in UTF-8) of runs of texts of about `limit` bytes; null counts as empty."""
+def blocks(texts: Sequence[str | None] | pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """(index of the first, texts in UTF-8) of runs of texts of about `limit` bytes; null counts as empty.
+
+    Of an Arrow array, few texts at a time become Python's.
+    """
     held: list[bytes] = []
     size = first = 0
-    for k, text in enumerate(texts):
-        if held and size > limit:
-            yield first, held
-            held, size, first = [], 0, k
-        held.append((text or "").encode())
-        size += len(held[-1])
+    for at in range(0, len(texts), 256):
+        part = texts[at : at + 256]
+        for k, text in enumerate(part.to_pylist() if isinstance(part, pa.Array) else part, at):
+            if held and size > limit:
+                yield first, held
+                held, size, first = [], 0, k
+            held.append((text or "").encode())
+            size += len(held[-1])
     if held:
         yield first, held
 

@@ -86,7 +86,7 @@ def wave_header(n: int) -> bytes:
 
 def _cut_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, texts in blocks(batch["text"].to_pylist()):
+        for _, texts in blocks(batch["text"]):
             yield pa.RecordBatch.from_arrays([pa.array([c for t in texts for c in chunks(t) if len(c) > 64], pa.binary())], ["data"])
 
 
@@ -129,7 +129,7 @@ class ChunkStore:
             compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None, write_content_size=True, write_checksum=False, write_dict_id=False).compress
             seen: set[bytes] = set()  # of this task
             for batch in batches:
-                for _, texts in blocks(batch["text"].to_pylist()):
+                for _, texts in blocks(batch["text"]):
                     own = {digest(c): c for t in texts for c in chunks(payload(t))}
                     new = [(d, compress(c)) for d, c in own.items() if d not in seen]
                     seen.update(own)
@@ -150,7 +150,7 @@ def media_lists(docs: DataFrame) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 full = [payload(t) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(texts)), pa.array([len(t) for t in texts], pa.int64()), pa.array([digest(p) for p in full], pa.binary()), pa.array([[digest(c) for c in chunks(p)] for p in full], pa.list_(pa.binary()))],

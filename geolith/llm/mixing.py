@@ -47,7 +47,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], setting
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 data, begin, end = joined(texts)
                 starts, _ = runs(~SPACE[data])
                 words = np.searchsorted(starts, end) - np.searchsorted(starts, begin)

@@ -108,7 +108,7 @@ def signed(docs: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 sets = shingle_sets(texts)
                 some = [s for s in sets if len(s)]
                 sig = iter(signatures(some)) if some else iter(())
@@ -151,7 +151,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             g = batch["g"].to_pylist()
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 made = [(k, s) for k, s in zip(g[first:], shingle_sets(texts)) if len(s) and set_hash(s) == k]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int64()), pa.array([s.tobytes() for _, s in made], pa.binary())], ["g", "shingles"])
 

@@ -40,7 +40,7 @@ def with_scores(docs: DataFrame, table: np.ndarray, settings: Settings = SETTING
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 yield pa.RecordBatch.from_arrays([ids.slice(first, len(texts)), pa.array(class_scores(texts, shared.value, settings)[:, 1])], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, score double")
@@ -61,7 +61,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, settin
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [class_scores(texts, table.value, settings)[:, 1] >= 0.5 for _, texts in blocks(batch["text"].to_pylist())]
+            good = [class_scores(texts, table.value, settings)[:, 1] >= 0.5 for _, texts in blocks(batch["text"])]
             if good:
                 yield batch.filter(pa.array(np.concatenate(good)))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import os
 import shutil
 import tempfile
 import uuid
@@ -13,7 +12,7 @@ from collections.abc import Iterator
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from geolith.session import importable as ready
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,14 +31,6 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def ready(spark: SparkSession) -> None:
-    """Lets Python workers import this package when the driver found it beside its own script."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
-
-
 @contextlib.contextmanager
 def no_shuffle_files(spark: SparkSession) -> Iterator[None]:
     """What is written meanwhile leaves no shuffle files, which else stay until the driver collects garbage."""

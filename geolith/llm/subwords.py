@@ -106,7 +106,7 @@ def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settin
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, labels = batch["doc_id"].to_pylist(), batch["label"].to_pylist()
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 features = Features(texts, settings)
                 each = [features.counts(k) for k in range(len(texts))]
                 yield pa.RecordBatch.from_pydict({

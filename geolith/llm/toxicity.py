@@ -140,7 +140,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, own = batch["doc_id"].to_pylist(), batch["label"].to_pylist()
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 s = Sentences(texts, settings)
                 each = [[np.unique(s.buckets[s.flo[k] : s.fhi[k]]).astype(np.int32).tobytes() for k in range(lo, hi)] for lo, hi in zip(s.lo, s.hi, strict=True)]
                 n = len(texts)
@@ -176,7 +176,7 @@ def with_toxicity(docs: DataFrame, model: tuple[np.ndarray, float], settings: Se
         weights, bias = shared.value
         for batch in batches:
             ids = batch["doc_id"]
-            for first, texts in blocks(batch["text"].to_pylist()):
+            for first, texts in blocks(batch["text"]):
                 s = Sentences(texts, settings)
                 z = s.logits(weights, bias)
                 doc = -np.expm1(segment_sums(_log_clean(z), s.lo, s.hi))
