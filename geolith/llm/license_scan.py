@@ -1,7 +1,7 @@
 """License scans by ordered signature rules with a keyword prefilter.
 
-Texts without an anchor word are passed over after one look at their bytes. Else the stretches of words
-around the anchors are read by every rule whose keyword stands there. A detection falls if another of a
+Texts without a word of any anchor are passed over after one look at their bytes. Else the stretches of words
+around the anchors, met in words joined by single spaces, are read by every rule whose keyword stands there. A detection falls if another of a
 higher priority, or of the same and longer or earlier in the rules, contains its interval.
 """
 
@@ -22,11 +22,10 @@ from geolith.llm.shared import documents, ready
 
 #: Phrases that are always counted, and their labels.
 BASE = {(b"mit", b"license"): "mit", (b"apache", b"license"): "apache", (b"general", b"public", b"license"): "gpl"}
-#: Every rule's match has one of these in it.
-ANCHORS = ("licen", "spdx", "under", "copyright", "permission", "redistribution", "neither", "advertising", "version", "program", "mozilla", "unencumbered", "warranty", "verbatim", "beer", "evil", "creativecommons", "domain", "reserved", "confidential", "unauthorized", "opensource", "gnu", "distributed", "org")
-#: Of these a text must have one; the other anchors only say where to read.
-GATE = tuple(a.encode() for a in ANCHORS if a not in ("under", "version", "program", "org", "neither", "distributed", "evil", "beer", "verbatim", "domain", "gnu", "permission"))
-GATE += (b"public domain", b"gnu ", b"under the ", b"permission to use", b"permission is", b"me a beer", b"distribute verbatim", b"not evil", b"under mit", b"under apache", b"under bsd", b"under gpl", b"under lgpl", b"under agpl", b"under mpl", b"under cc")
+#: Every rule's match, as words joined by single spaces, has one of these in it.
+ANCHORS = ("licen", "ed under ", "able under ", "copyright", "permission", "redistribution", "neither the name", "advertising materials", "unencumbered", "warranty", "a beer", "not evil", "creativecommons", "c domain", "rights reserved", "and confidential", "unauthorized")
+#: Of these words, one of each anchor, a text must have one, whatever stands between its words.
+GATE = tuple(sorted({max(a.split(), key=len).encode() for a in ANCHORS}))
 #: Words on either side of an anchor that are read; no rule's match is as long.
 REACH = 48
 
@@ -41,14 +40,27 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     return [(k + 1 - len(phrase), label) for k, word in enumerate(words) if word == b"license" for phrase, label in BASE.items() if k + 1 >= len(phrase) and tuple(words[k + 1 - len(phrase) : k + 1]) == phrase]
 
 
+def anchored(words: list[str]) -> list[int]:
+    """Words in which anchors begin."""
+    whole, found = " ".join(words), []
+    for anchor in ANCHORS:
+        at = whole.find(anchor)
+        while at >= 0:
+            found.append(at)
+            at = whole.find(anchor, at + 1)
+    if not found:
+        return []
+    begin = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+    return (np.searchsorted(begin, found, side="right") - 1).tolist()
+
+
 def detect(words: list[bytes]) -> list[tuple[int, int, str, float, str]]:
     """(first word, end word, label, score, rule) of detections that stand, in order of place."""
     text = [w.decode() for w in words]
     near = np.zeros(len(words) + 1, np.int64)
-    for k, word in enumerate(text):
-        if any(a in word for a in ANCHORS):
-            near[max(k - REACH, 0)] += 1
-            near[min(k + REACH + 1, len(words))] -= 1
+    for k in anchored(text):
+        near[max(k - REACH, 0)] += 1
+        near[min(k + REACH + 1, len(words))] -= 1
     found: list[tuple[int, int, int, int, Rule]] = []
     for first, end in zip(*runs(np.cumsum(near[:-1]) > 0), strict=True):
         stretch = " ".join(text[first:end])

@@ -1,6 +1,7 @@
 """Every operator against a brute-force version, on a small corpus of hard cases."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -245,6 +246,44 @@ def test_rules():
     assert [d[2] for d in inside] == ["apache-2.0"]  # contained names are suppressed
 
 
+def rule_samples(pattern, rng, n):
+    """Texts that the pattern matches, with branches, options and counts drawn at random."""
+    parser = re._parser
+
+    def draw(tree):
+        out = []
+        for op, arg in tree:
+            if op is parser.LITERAL:
+                out.append(chr(arg))
+            elif op is parser.IN:
+                kind, value = arg[0]
+                out.append(chr(value) if kind is parser.LITERAL else {parser.CATEGORY_DIGIT: "4", parser.CATEGORY_NOT_SPACE: "q"}[value])
+            elif op is parser.BRANCH:
+                out.append(draw(rng.choice(arg[1])))
+            elif op is parser.SUBPATTERN:
+                out.append(draw(arg[-1]))
+            elif op in (parser.MAX_REPEAT, parser.MIN_REPEAT):
+                low, high, inner = arg
+                out.extend(draw(inner) for _ in range(rng.randint(low, min(high, low + 3))))
+            else:
+                raise ValueError(op)
+        return "".join(out)
+
+    return sorted({draw(parser.parse(pattern)) for _ in range(n)})
+
+
+def test_every_rule_passes_the_gate(spark):
+    rng = random.Random(4)
+    cases = [(rule, s) for rule in license_rules.rules() for s in rule_samples(rule.pattern, rng, 12) if rule.keyword in s]
+    docs = spark.createDataFrame([(k, s.replace(" ", "\n").title()) for k, (_, s) in enumerate(cases)], "doc_id BIGINT, text STRING")
+    for r in license_scan.scan_licenses(docs).collect():
+        rule, text = cases[r["doc_id"]]  # what contains a rule's match takes its place
+        assert any(d["first_word"] == 0 and d["end_word"] == r["n_words"] for d in r["detections"]), (rule.name, text)
+    wanted = {"released under ODbL": "odbl-1.0", "Released under WTFPL": "wtfpl", "Provided under ISC": "isc", "distributed under zlib/libpng": "zlib", "available under EUPL 1.2": "eupl-1.2", "released under\nApache 2.0": "apache-2.0", "released under the\nGPL": "gpl", "public\ndomain": "public-domain"}
+    docs = spark.createDataFrame(list(enumerate(wanted)), "doc_id BIGINT, text STRING")
+    assert {list(wanted)[r["doc_id"]]: r["labels"] for r in license_scan.scan_licenses(docs).collect()} == wanted
+
+
 # ---- token output, packing
 
 
