@@ -8,18 +8,19 @@ Name rules are written out licence by licence; grants, tags and links follow fro
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 #: Licence label, SPDX tag as words, pattern of its names, keyword that any of them has.
 LICENCES: list[tuple[str, str, str, str]] = [
-    ("mit", "mit", r"mit(?: x11)?|x11|expat", "license"),
+    ("mit", "mit", r"mit(?: x11)?|x11|expat", "licen"),
     ("mit-0", "mit 0", r"mit no attribution|mit 0", "mit"),
     ("apache", "apache", r"apache(?: software)?", "apache"),
     ("apache-1.0", "apache 1 0", r"apache(?: software)?(?: license)? (?:version |v)?1 0", "apache"),
     ("apache-1.1", "apache 1 1", r"apache(?: software)?(?: license)? (?:version |v)?1 1", "apache"),
-    ("apache-2.0", "apache 2 0", r"apache(?: software)?(?: license)? (?:version |v)?2(?: 0)?|asl 2 0", "apache"),
+    ("apache-2.0", "apache 2 0", r"apache(?: software)?(?: license)? (?:version |v)?2(?: 0)?|asl 2 0", "2"),
     ("gpl", "gpl", r"gnu gpl|gpl", "gpl"),
-    ("gpl-1.0", "gpl 1 0", r"(?:gnu )?gpl ?(?:version |v)?1(?: 0)?|gnu general public license (?:version |v)1", "gnu"),
+    ("gpl-1.0", "gpl 1 0", r"(?:gnu )?gpl ?(?:version |v)?1(?: 0)?|gnu general public license (?:version |v)1", "1"),
     ("gpl-2.0", "gpl 2 0", r"gpl ?(?:version |v)?2(?: 0)?|gnu general public license (?:version |v)2", "2"),
     ("gpl-3.0", "gpl 3 0", r"gpl ?(?:version |v)?3(?: 0)?|gnu general public license (?:version |v)3", "3"),
     ("lgpl", "lgpl", r"lgpl|gnu (?:lesser|library) general public license|(?:lesser|library) gpl", "l"),
@@ -36,7 +37,7 @@ LICENCES: list[tuple[str, str, str, str]] = [
     ("bsd-2-clause", "bsd 2 clause", r"bsd (?:two|2) clause|(?:two|2) clause bsd|simplified bsd|freebsd", "bsd"),
     ("bsd-3-clause", "bsd 3 clause", r"bsd (?:three|3) clause|(?:three|3) clause bsd|(?:new|modified|revised) bsd", "bsd"),
     ("bsd-4-clause", "bsd 4 clause", r"bsd (?:four|4) clause|(?:four|4) clause bsd|(?:original|old) bsd", "bsd"),
-    ("isc", "isc", r"isc|internet systems consortium", "isc"),
+    ("isc", "isc", r"isc|internet systems consortium", "i"),
     ("mpl-1.0", "mpl 1 0", r"mpl (?:version |v)?1 0|mozilla public license (?:version |v)?1 0", "1"),
     ("mpl-1.1", "mpl 1 1", r"mpl (?:version |v)?1 1|mozilla public license (?:version |v)?1 1", "1"),
     ("mpl-2.0", "mpl 2 0", r"mpl (?:version |v)?2(?: 0)?|mozilla public license(?: (?:version |v)?2(?: 0)?)?", "m"),
@@ -87,8 +88,8 @@ LICENCES: list[tuple[str, str, str, str]] = [
     ("ncsa", "ncsa", r"university of illinois ncsa(?: open source)?|ncsa open source", "ncsa"),
     ("hpnd", "hpnd", r"historical permission notice and disclaimer", "historical"),
     ("w3c", "w3c", r"w3c software(?: notice and)? license", "w3c"),
-    ("ms-pl", "ms pl", r"microsoft public license|ms pl", "ms"),
-    ("ms-rl", "ms rl", r"microsoft reciprocal license|ms rl", "ms"),
+    ("ms-pl", "ms pl", r"microsoft public license|ms pl", "m"),
+    ("ms-rl", "ms rl", r"microsoft reciprocal license|ms rl", "m"),
     ("ofl-1.1", "ofl 1 1", r"sil open font license|ofl 1 1|open font license", "o"),
     ("lppl-1.3c", "lppl 1 3c", r"latex project public license|lppl", "l"),
     ("vim", "vim", r"vim license", "vim"),
@@ -169,6 +170,14 @@ class Rule:
     score: float
 
 
+def named(names: str) -> str:
+    """Pattern of the names with the word licence after them, which those that have it in them can do without."""
+    whole = [way for name in re.findall(r"(?:\([^()]*(?:\([^()]*\)[^()]*)*\)\??|[^|()])+", names) for way in ((name.replace("(?: license)?", " license"), name.replace("(?: license)?", "")) if "(?: license)?" in name else (name,))]
+    own, bare = [n for n in whole if "licen" in n], [n for n in whole if "licen" not in n]
+    tail = " (?:public )?licen[cs]ed?"
+    return "|".join([rf"(?:{'|'.join(own)})(?:{tail})?"] * bool(own) + [rf"(?:{'|'.join(bare)}){tail}"] * bool(bare))
+
+
 def rules() -> list[Rule]:
     """All rules, in order; of detections of equal priority and length the earlier rule's stays."""
     found: list[Rule] = []
@@ -184,7 +193,7 @@ def rules() -> list[Rule]:
         add("tag", label, rf"spdx license identifier (?:\S+ )??{tag}(?: only| or later)?", "spdx", 100 - wide, 1.0)
         add("grant", label, rf"(?:licensed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?(?:{names})(?: license)?(?: version \d(?: \d)?)?", "under", 90 - wide, 0.95)
         add("header", label, rf"licen[cs]e (?:is )?(?:the )?(?:{names})", "licen", 70 - wide, 0.8)
-        add("name", label, rf"(?:{names}) (?:public )?licen[cs]ed?", keyword, 50 - wide, 0.7)
+        add("name", label, named(names), keyword, 50 - wide, 0.7)
     for path, label in CC_LINKS.items():
         add("link", label, rf"creativecommons org licenses {path} \d \d", "creativecommons", 95, 0.99)
         for version in ("2 0", "2 5", "3 0", "4 0"):

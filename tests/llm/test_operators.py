@@ -272,6 +272,23 @@ def rule_samples(pattern, rng, n):
     return sorted({draw(parser.parse(pattern)) for _ in range(n)})
 
 
+def test_every_rule_finds_its_names(spark):
+    rng = random.Random(6)
+    for rule in license_rules.rules():
+        for text in rule_samples(rule.pattern, rng, 40):
+            assert rule.keyword in text, (rule.name, text)
+    for label, _, names, _ in license_rules.LICENCES:
+        pattern = next(re.compile(rule.pattern) for rule in license_rules.rules() if rule.name.startswith(f"name:{label}:"))
+        for name in rule_samples(names, rng, 40):
+            assert pattern.fullmatch(f"{name} license") and bool(pattern.fullmatch(name)) == ("licen" in name), (label, name)
+    wanted = {
+        "Boost Software License": "boost-1.0", "Elastic License": "elastic-2.0", "Eclipse Public License 2.0": "epl-2.0", "Eclipse Public License 1.0": "epl-1.0", "Mozilla Public License": "mpl-2.0", "Mozilla Public License 1.1": "mpl-1.1",
+        "SIL Open Font License": "ofl-1.1", "The Unlicense": "unlicense", "MIT Licence": "mit", "GPL 1 licence": "gpl-1.0", "Internet Systems Consortium licence": "isc", "Microsoft Public License": "ms-pl", "Apache License 2.0": "apache,apache-2.0",
+    }
+    docs = spark.createDataFrame(list(enumerate(wanted)), "doc_id BIGINT, text STRING")
+    assert {list(wanted)[r["doc_id"]]: r["labels"] for r in license_scan.scan_licenses(docs).collect()} == wanted
+
+
 def test_every_rule_passes_the_gate(spark):
     rng = random.Random(4)
     cases = [(rule, s) for rule in license_rules.rules() for s in rule_samples(rule.pattern, rng, 12) if rule.keyword in s]
