@@ -8,23 +8,32 @@ from pyspark.sql import functions as F
 from geolith.operators.rasters import checkpointed
 
 
-def connected(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) and m, the least v of each u."""
+    return edges.join(edges.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")), F.col("u") == F.col("k")).select("u", "v", "m")
+
+
+def connected(edges: DataFrame) -> DataFrame:
     """(node, label) of the nodes of (u, v): the label is the smallest node of the component.
 
-    A node takes the smallest label beside it, then its label's own label, so that rounds grow with the logarithm of
-    a component's length. Each is checkpointed, where executors share a folder for it.
+    Each round hangs a node's neighbours on the smallest of them, first those above it, then those below, until
+    nothing changes: stars around the labels, after rounds that grow with the logarithm of a component's length.
+    Each is checkpointed, where executors share a folder for it.
     """
-    both = checkpointed(edges.select("u", "v").union(edges.select("v", "u")).distinct())
-    at = both.select(F.col("u").alias("node"), F.col("u").alias("label")).distinct()
-    for _ in range(rounds):
-        beside = both.join(at, both["v"] == at["node"]).groupBy("u").agg(F.min("label").alias("low"))
-        near = at.join(beside, at["node"] == beside["u"]).select("node", F.col("label").alias("old"), F.least("label", "low").alias("low"))
-        to = at.select(F.col("node").alias("low"), F.col("label").alias("to"))
-        step = checkpointed(near.join(to, "low").select("node", "old", F.least("low", "to").alias("label")))
-        at = step.select("node", "label")
-        if not step.filter("old <> label").limit(1).count():
+    turned = lambda d: d.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    edges = checkpointed(edges.select("u", "v").distinct())
+    at = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    mark = None
+    while True:
+        large = _with_least(at.union(turned(at))).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        hung = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
+        at = checkpointed(_with_least(large.distinct()).select(hung.alias("e")).select("e.u", "e.v").filter("u <> v").distinct())
+        now = at.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if now == mark:
             break
-    return at
+        mark = now
+    nodes = edges.select("u").union(edges.select("v")).distinct()
+    return nodes.join(at.select(F.col("u").alias("node"), "v"), F.col("u") == F.col("node"), "left").select(F.col("u").alias("node"), F.coalesce("v", "u").alias("label"))
 
 
 def overlaps(boxes: DataFrame, key: str, cell: float) -> DataFrame:

@@ -66,24 +66,14 @@ def opened(mask: DataFrame, height: int, width: int) -> DataFrame:
     return dilated(eroded(mask)).filter(F.col("i").between(0, height - 1) & F.col("j").between(0, width - 1))
 
 
-def labelled(mask: DataFrame, width: int, rounds: int = 64) -> DataFrame:
-    """(i, j, label): 4-connected components; the label is the smallest i * width + j in one.
-
-    Cells take the smallest label around them and then their label's own label, so rounds grow with the logarithm
-    of a component's length. Each is checkpointed, where executors share a folder for it.
-    """
-    at = mask.select("i", "j", (F.col("i") * width + F.col("j")).cast("long").alias("label"))
-    for _ in range(rounds):
-        low = shifted(at, CROSS).groupBy("i", "j").agg(F.min("label").alias("low"))
-        new = at.join(low, ["i", "j"]).select("i", "j", "label", "low")
-        of = new.groupBy(F.col("label").alias("root")).agg(F.min("low").alias("to"))
-        step = new.join(of, new["label"] == of["root"]).select("i", "j", F.col("label").alias("old"), F.least("low", "to").alias("label"))
-        step = checkpointed(step)
-        changed = step.filter("old <> label").limit(1).count()
-        at = step.select("i", "j", "label")
-        if not changed:
-            break
-    return at
+def labelled(mask: DataFrame, width: int) -> DataFrame:
+    """(i, j, label): 4-connected components; the label is the smallest i * width + j in one."""
+    from geolith.operators.graph import connected
+
+    at = mask.select("i", "j", (F.col("i") * width + F.col("j")).cast("long").alias("u"))
+    beside = shifted(at, ((0, 0), (0, 1), (1, 0))).withColumnRenamed("u", "v")
+    labels = connected(at.join(beside, ["i", "j"]).select("u", "v"))
+    return at.join(labels, F.col("u") == F.col("node")).select("i", "j", "label")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

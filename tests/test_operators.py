@@ -85,6 +85,20 @@ def test_opening_and_components(spark):
     assert {(r["i"], r["j"]): r["label"] for r in rasters.labelled(mask, 14).collect()} == label
 
 
+def test_long_chains_are_one_component(spark):
+    from geolith.operators.graph import connected, dissolved
+
+    chain = [0, *range(300, 0, -1)]
+    got = connected(spark.createDataFrame([*zip(chain, chain[1:]), (400, 400)], "u BIGINT, v BIGINT")).collect()
+    assert {r["node"]: r["label"] for r in got} == {**dict.fromkeys(range(301), 0), 400: 400} and len(got) == 302
+    street = spark.createDataFrame([(v, float(k), k + 1.1, 0.0, 1.0) for k, v in enumerate(chain)], "id BIGINT, x0 DOUBLE, x1 DOUBLE, y0 DOUBLE, y1 DOUBLE")
+    assert [tuple(r) for r in dissolved(street, "id", 1.5).collect()] == [(0, 301, 0.0, 301.1, 0.0, 1.0)]
+    z = np.zeros((5, 151))  # a hairpin, upside down
+    z[0], z[2], z[4], z[1, 150], z[3, 0] = 1, 1, 1, 1, 1
+    cells = rasters.labelled(grid(spark, z).filter("z = 1"), 151).collect()
+    assert len(cells) == 455 and {r["label"] for r in cells} == {0}
+
+
 def test_distances(spark):
     m = np.random.default_rng(6).random((8, 10)) > 0.9
     cells = list(zip(*np.nonzero(m)))
