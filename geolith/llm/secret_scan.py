@@ -1,7 +1,8 @@
 """Secret scans by assignment-aware lexing.
 
 Lines with an assignment are lexed into pairs of a name and a value: `name = "literal"`, `"name": 'literal'`,
-`export NAME=literal`, `name := literal`, `name => literal`. A value that is another name, bare or as $NAME or
+`export NAME=literal`, `name := literal`, `name => literal`, also with a type after the name, with the name as a quoted
+subscript, and with literals after an opening bracket or on the next line. A value that is another name, bare or as $NAME or
 ${NAME}, takes that name's literals, wherever in the text they are assigned. A literal's score is how
 sensitive the most telling name is that it reaches, times how random the literal looks.
 Base patterns (assignments by keyword, access keys, long hex) are found besides and always stay.
@@ -31,11 +32,20 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the same as runs of 32 or more
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 8, 16, 32
 
-#: A name and its value; a quoted value ends at its quote, a bare one at white space or punctuation.
-PAIR = re.compile(
-    r"""(?<![A-Za-z0-9_$.-])(?P<quote>["']?)(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,127})(?P=quote)[ \t]*(?P<op>:=|=>|=(?![=~])|:(?!:))[ \t]*"""
-    r"""(?:"(?P<double>(?:\\.|[^"\\\n])*)"|'(?P<single>(?:\\.|[^'\\\n])*)'|\$\{?(?P<ref>[A-Za-z_][A-Za-z0-9_]*)\}?|(?P<bare>[^\s,;"'#(){}\[\]]+))"""
-)
+#: A name, also as a quoted subscript; what assigns; a quoted value ends at its quote, a bare one at white space or punctuation.
+_NAME = r"""(?<![A-Za-z0-9_$.-])(?P<quote>["']?)(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,127})(?P=quote)(?:(?<=["'])[ \t]*\])?[ \t]*"""
+_OP = r"(?::=|=>|=(?![=~])|:(?!:))[ \t]*"
+_TYPED = r""":[ \t]*(?P<type>[A-Za-z_][\w.\[\]<>,|?&* \t"']*)=(?![=~])[ \t]*"""
+_QUOTED = r""""(?P<double>(?:\\.|[^"\\\n])*)"|'(?P<single>(?:\\.|[^'\\\n])*)'"""
+_VALUE = rf"""(?:{_QUOTED}|\$\{{?(?P<ref>[A-Za-z_][A-Za-z0-9_]*)\}}?|(?P<bare>[^\s,;"'#(){{}}\[\]]+))"""
+PAIR, TYPED = re.compile(_NAME + _OP + _VALUE), re.compile(_NAME + _TYPED + _VALUE)
+#: Names whose value stands after an opening bracket or a line's end, what may stand before it, and quoted values there.
+_OPEN = r"(?=[(\[\\]|\r?$|#|//)"
+OPEN, TYPED_OPEN = re.compile(_NAME + _OP + _OPEN), re.compile(_NAME + _TYPED + _OPEN)
+GAP = re.compile(r"[\s(\[\\,+]*")
+LATER = re.compile(rf"(?:{_QUOTED})(?![ \t]*\]?[ \t]*[:=])")
+#: A type: no white space but in brackets or beside a bar.
+TYPE = re.compile(r"""[A-Za-z_][\w.?*&]*(?:[\[<].*[\]>])?\??(?:[ \t]*\|[ \t]*[A-Za-z_][\w.?*&]*(?:[\[<].*[\]>])?)*[ \t]*""")
 #: Parts of names and how sensitive they make what is assigned to them.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.95, "passphrase": 1.0, "pass": 0.7, "secret": 1.0, "token": 0.95, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "cred": 0.8, "creds": 0.8,
@@ -46,7 +56,6 @@ KEY_KINDS = {"api", "access", "secret", "private", "auth", "encryption", "signin
 #: Values that stand for a secret but are none.
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|change[_-]?me|example|sample|test(?:ing)?|dummy|none|null|nil|true|false|undefined|todo|placeholder|your[_-].*|<.*>|\$\(.*\)|\{\{.*\}\}|%\(.*\)s|secret|password|token)$")
 REPORT, LEAST = 0.5, 8
-DEPTH = 8  # names that a constant is followed through
 
 
 def name_score(name: str) -> float:
@@ -84,33 +93,76 @@ def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
     """(start, end, score, name) of literals that reach a sensitive name and look like secrets."""
     literals: dict[str, list[tuple[int, int]]] = defaultdict(list)
     names: dict[str, set[str]] = defaultdict(set)  # name -> names that take its value
+
+    def take(m: re.Match) -> None:
+        name = m["name"].lstrip("$").split(".")[-1]
+        if m["ref"]:
+            names[m["ref"]].add(name)
+            return
+        group = "double" if m["double"] is not None else "single" if m["single"] is not None else "bare"
+        value = m[group]
+        literals[name].append(m.span(group))
+        if group != "bare" and (inner := re.fullmatch(r"\$\{?([A-Za-z_]\w*)\}?", value)):
+            names[inner[1]].add(name)
+        elif group == "bare" and re.fullmatch(r"[A-Za-z_][\w.]*", value):
+            names[value.split(".")[-1]].add(name)
+
+    gaps: dict[int, int] = {}  # a line's end -> where the next value may stand
+
+    def gap(begin: int, line: int) -> int:
+        """End of what stands before a value, a comment up to the line's end with it."""
+        at = GAP.match(text, begin).end()
+        if text.startswith(("#", "//"), at):
+            line = line if at < line else text.find("\n", at)
+            if line not in gaps:
+                gaps[line] = GAP.match(text, line).end() if line >= 0 else len(text)
+            at = gaps[line]
+        return at
+
+    def later(m: re.Match, line: int) -> bool:
+        """Takes the quoted values that follow an opening bracket, or the one that follows a line's end."""
+        name, found, at = m["name"].lstrip("$").split(".")[-1], False, gap(m.end(), line)
+        while value := LATER.match(text, at):
+            found = True
+            literals[name].append(value.span("double" if value["double"] is not None else "single"))
+            if text[m.end() : m.end() + 1] not in ("(", "["):
+                break
+            at = gap(value.end(), line)
+        return found
+
     at = 0
     while (op := _next_operator(text, at)) >= 0:
         first = text.rfind("\n", 0, op) + 1
         end = text.find("\n", op)
         end = len(text) if end < 0 else end
-        for m in PAIR.finditer(text, max(first, at), end):
-            name = m["name"].lstrip("$").split(".")[-1]
-            if m["ref"]:
-                names[m["ref"]].add(name)
-                continue
-            group = "double" if m["double"] is not None else "single" if m["single"] is not None else "bare"
-            value = m[group]
-            literals[name].append(m.span(group))
-            if group != "bare" and (inner := re.fullmatch(r"\$\{?([A-Za-z_]\w*)\}?", value)):
-                names[inner[1]].add(name)
-            elif group == "bare" and re.fullmatch(r"[A-Za-z_][\w.]*", value):
-                names[value.split(".")[-1]].add(name)
+        start = max(first, at)
+        types: set[int] = set()  # where types stand, which are no values
+        for m in TYPED.finditer(text, start, end):
+            if TYPE.fullmatch(m["type"]):
+                types.add(m.start("type"))
+                take(m)
+        for pattern in (TYPED_OPEN, OPEN):
+            for m in pattern.finditer(text, start, end):
+                if (pattern is OPEN or TYPE.fullmatch(m["type"])) and later(m, end) and pattern is TYPED_OPEN:
+                    types.add(m.start("type"))
+        for m in PAIR.finditer(text, start, end):
+            if not (m["bare"] and m.start("bare") in types):
+                take(m)
         at = end + 1
     best: dict[tuple[int, int], tuple[float, str]] = {}
+    sources: dict[str, set[str]] = defaultdict(set)
+    for source, targets in names.items():
+        for target in targets:
+            sources[target].add(source)
+    reach: dict[str, tuple[float, str]] = {}  # name -> the most telling name that its value reaches
+    for score, target in sorted(((name_score(t), t) for t in literals.keys() | sources.keys()), reverse=True):
+        front = [target] if score > 0 else []
+        while front:
+            if (name := front.pop()) not in reach:
+                reach[name] = score, target
+                front += sources.get(name, ())
     for name, spans in literals.items():
-        reached, front = {name}, {name}
-        for _ in range(DEPTH):
-            front = {t for f in front for t in names.get(f, ())} - reached
-            if not front:
-                break
-            reached |= front
-        score, target = max((name_score(t), t) for t in reached)
+        score, target = reach.get(name, (0.0, ""))
         if score > 0:
             for a, b in spans:
                 if text[a:b] not in literals and (s := score * literal_score(text[a:b])) >= REPORT:

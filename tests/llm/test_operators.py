@@ -182,6 +182,26 @@ def test_constants_are_followed():
     assert secret_scan.assigned_literals('password = "changeme"\nsecret = "example"\n') == []
 
 
+@pytest.mark.parametrize("line", [
+    'password: str = "S3cr3t-V4lue-99"', 'const token: string = "S3cr3t-V4lue-99"', 'db_pwd: Optional[str] = "S3cr3t-V4lue-99"', 'api_key: dict[str, list[int]] | None = "S3cr3t-V4lue-99"', 'os.environ["DB_PASSWORD"] = "S3cr3t-V4lue-99"',
+    """cfg["client_secret"]="S3cr3t-V4lue-99\"""", 'private_key = (\n "S3cr3t-V4lue-99"\n)', "auth_token: str = (  # a note\n    'S3cr3t-V4lue-99')", 'password = \\\n  "S3cr3t-V4lue-99"', 'passphrase:\n  "S3cr3t-V4lue-99"', 'client_secrets = ["short", "S3cr3t-V4lue-99"]',
+])
+def test_assignments_of_other_forms(line):
+    line = line.replace("client_secrets", "client_secret")
+    assert [line[a:b] for a, b, *_ in secret_scan.assigned_literals(line)] == ["S3cr3t-V4lue-99"]
+
+
+def test_forms_that_are_no_types_keep_their_values():
+    for line in ("token: aG7xPq92LmZt other = 'x'", "token: aG7xPq92LmZt=", "token: aG7xPq92LmZt"):
+        assert [line[a:b].rstrip("=") for a, b, *_ in secret_scan.assigned_literals(line)] == ["aG7xPq92LmZt"]
+    assert secret_scan.assigned_literals('auth:\n  "aG7xPq92LmZt": "x"\n') == []
+
+
+def test_constants_are_followed_through_any_number_of_names():
+    text = 'n0 = "aG7xPq92LmZt"\n' + "".join(f"v{k + 1} = v{k}\n" for k in range(3000)).replace("v0\n", "n0\n", 1) + "password = v3000\n"
+    assert [(text[a:b], n) for a, b, _, n in secret_scan.assigned_literals(text)] == [("aG7xPq92LmZt", "password")]
+
+
 # ---- media
 
 
