@@ -1,10 +1,9 @@
 """Secret scans by assignment-aware lexing.
 
-Lines with an assignment are lexed into pairs of a name and a value: `name = "literal"`, `"name": 'literal'`,
-`export NAME=literal`, `name := literal`, `name => literal`, also with a type after the name, with the name as a quoted
-subscript, and with literals after an opening bracket or on the next line. A value that is another name, bare or as $NAME or
-${NAME}, takes that name's literals, wherever in the text they are assigned. A literal's score is how
-sensitive the most telling name is that it reaches, times how random the literal looks.
+The lexer of `lexing` reads source and configuration: assignments with and without types, subscripts, elements and
+attributes, blocks of lines, strings over several lines, calls that set a name, joined strings, and what comments and
+strings hold. A value that is another name takes that name's literals, wherever in the text they are assigned. A literal's
+score is how sensitive the most telling name is that it reaches, times how random the literal looks.
 Base patterns (assignments by keyword, access keys, long hex) are found besides and always stay.
 """
 
@@ -15,7 +14,7 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from itertools import accumulate
 
 import numpy as np
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.kernels import blocks, joined, runs
+from geolith.llm.lexing import read_assignments
 from geolith.llm.shared import documents, ready
 
 KINDS = ("assign", "access", "hex", "literal")
@@ -32,20 +32,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # the same as runs of 32 or more
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 8, 16, 32
 
-#: A name, also as a quoted subscript; what assigns; a quoted value ends at its quote, a bare one at white space or punctuation.
-_NAME = r"""(?<![A-Za-z0-9_$.-])(?P<quote>["']?)(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]{0,127})(?P=quote)(?:(?<=["'])[ \t]*\])?[ \t]*"""
-_OP = r"(?::=|=>|=(?![=~])|:(?!:))[ \t]*"
-_TYPED = r""":[ \t]*(?P<type>[A-Za-z_][\w.\[\]<>,|?&* \t"']*)=(?![=~])[ \t]*"""
-_QUOTED = r""""(?P<double>(?:\\.|[^"\\\n])*)"|'(?P<single>(?:\\.|[^'\\\n])*)'"""
-_VALUE = rf"""(?:{_QUOTED}|\$\{{?(?P<ref>[A-Za-z_][A-Za-z0-9_]*)\}}?|(?P<bare>[^\s,;"'#(){{}}\[\]]+))"""
-PAIR, TYPED = re.compile(_NAME + _OP + _VALUE), re.compile(_NAME + _TYPED + _VALUE)
-#: Names whose value stands after an opening bracket or a line's end, what may stand before it, and quoted values there.
-_OPEN = r"(?=[(\[\\]|\r?$|#|//)"
-OPEN, TYPED_OPEN = re.compile(_NAME + _OP + _OPEN), re.compile(_NAME + _TYPED + _OPEN)
-GAP = re.compile(r"[\s(\[\\,+]*")
-LATER = re.compile(rf"(?:{_QUOTED})(?![ \t]*\]?[ \t]*[:=])")
-#: A type: no white space but in brackets or beside a bar.
-TYPE = re.compile(r"""[A-Za-z_][\w.?*&]*(?:[\[<].*[\]>])?\??(?:[ \t]*\|[ \t]*[A-Za-z_][\w.?*&]*(?:[\[<].*[\]>])?)*[ \t]*""")
 #: Parts of names and how sensitive they make what is assigned to them.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 0.95, "passphrase": 1.0, "pass": 0.7, "secret": 1.0, "token": 0.95, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "cred": 0.8, "creds": 0.8,
@@ -68,8 +54,8 @@ def name_score(name: str) -> float:
 
 
 def literal_score(value: str) -> float:
-    """How much a literal looks like a secret: its entropy, over what its length allows."""
-    if len(value) < LEAST or PLACEHOLDER.match(value) or re.search(r"\s", value) or len(set(value)) < 5:
+    """How much a literal looks like a secret: its entropy, over what its length allows. Sensitive names are none."""
+    if len(value) < LEAST or PLACEHOLDER.match(value) or (re.fullmatch(r"[A-Za-z][A-Za-z_.-]*", value) and name_score(value) > 0) or re.search(r"\s", value) or len(set(value)) < 5:
         return 0.0
     n = len(value)
     bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -89,90 +75,44 @@ def base_spans(text: str, has: tuple[bool, bool, bool]) -> list[tuple[int, int,
     return sorted(out)
 
 
-def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
-    """(start, end, score, name) of literals that reach a sensitive name and look like secrets."""
-    literals: dict[str, list[tuple[int, int]]] = defaultdict(list)
-    names: dict[str, set[str]] = defaultdict(set)  # name -> names that take its value
-
-    def take(m: re.Match) -> None:
-        name = m["name"].lstrip("$").split(".")[-1]
-        if m["ref"]:
-            names[m["ref"]].add(name)
-            return
-        group = "double" if m["double"] is not None else "single" if m["single"] is not None else "bare"
-        value = m[group]
-        literals[name].append(m.span(group))
-        if group != "bare" and (inner := re.fullmatch(r"\$\{?([A-Za-z_]\w*)\}?", value)):
-            names[inner[1]].add(name)
-        elif group == "bare" and re.fullmatch(r"[A-Za-z_][\w.]*", value):
-            names[value.split(".")[-1]].add(name)
-
-    gaps: dict[int, int] = {}  # a line's end -> where the next value may stand
-
-    def gap(begin: int, line: int) -> int:
-        """End of what stands before a value, a comment up to the line's end with it."""
-        at = GAP.match(text, begin).end()
-        if text.startswith(("#", "//"), at):
-            line = line if at < line else text.find("\n", at)
-            if line not in gaps:
-                gaps[line] = GAP.match(text, line).end() if line >= 0 else len(text)
-            at = gaps[line]
-        return at
-
-    def later(m: re.Match, line: int) -> bool:
-        """Takes the quoted values that follow an opening bracket, or the one that follows a line's end."""
-        name, found, at = m["name"].lstrip("$").split(".")[-1], False, gap(m.end(), line)
-        while value := LATER.match(text, at):
-            found = True
-            literals[name].append(value.span("double" if value["double"] is not None else "single"))
-            if text[m.end() : m.end() + 1] not in ("(", "["):
-                break
-            at = gap(value.end(), line)
-        return found
-
-    at = 0
-    while (op := _next_operator(text, at)) >= 0:
-        first = text.rfind("\n", 0, op) + 1
-        end = text.find("\n", op)
-        end = len(text) if end < 0 else end
-        start = max(first, at)
-        types: set[int] = set()  # where types stand, which are no values
-        for m in TYPED.finditer(text, start, end):
-            if TYPE.fullmatch(m["type"]):
-                types.add(m.start("type"))
-                take(m)
-        for pattern in (TYPED_OPEN, OPEN):
-            for m in pattern.finditer(text, start, end):
-                if (pattern is OPEN or TYPE.fullmatch(m["type"])) and later(m, end) and pattern is TYPED_OPEN:
-                    types.add(m.start("type"))
-        for m in PAIR.finditer(text, start, end):
-            if not (m["bare"] and m.start("bare") in types):
-                take(m)
-        at = end + 1
-    best: dict[tuple[int, int], tuple[float, str]] = {}
+def reachable(literals: Iterable[str], flows: Mapping[str, set[str]]) -> dict[str, tuple[float, str]]:
+    """Of each name: the score and name of the most sensitive name that its value reaches, in time linear in `flows`."""
     sources: dict[str, set[str]] = defaultdict(set)
-    for source, targets in names.items():
+    for source, targets in flows.items():
         for target in targets:
             sources[target].add(source)
-    reach: dict[str, tuple[float, str]] = {}  # name -> the most telling name that its value reaches
-    for score, target in sorted(((name_score(t), t) for t in literals.keys() | sources.keys()), reverse=True):
+    reach: dict[str, tuple[float, str]] = {}
+    for score, target in sorted(((name_score(t), t) for t in {*literals, *sources}), reverse=True):
         front = [target] if score > 0 else []
         while front:
             if (name := front.pop()) not in reach:
                 reach[name] = score, target
                 front += sources.get(name, ())
-    for name, spans in literals.items():
+    return reach
+
+
+def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
+    """(start, end, score, name) of literals that reach a sensitive name and look like secrets."""
+    found = read_assignments(text)
+    best: dict[tuple[int, int], tuple[float, str]] = {}
+    reach = reachable(found.literals, found.flows)
+    assigned = found.literals.keys() | {target for targets in found.flows.values() for target in targets}  # a bare value of these is no literal
+    for name, literals in found.literals.items():
         score, target = reach.get(name, (0.0, ""))
-        if score > 0:
-            for a, b in spans:
-                if text[a:b] not in literals and (s := score * literal_score(text[a:b])) >= REPORT:
-                    best[a, b] = max(best.get((a, b), (0.0, "")), (s, target))
+        for a, b, value in literals if score > 0 else ():
+            if value not in assigned and (s := score * literal_score(value)) >= REPORT:
+                best[a, b] = max(best.get((a, b), (0.0, "")), (s, target))
     return sorted((a, b, *v) for (a, b), v in best.items())
 
 
-def _next_operator(text: str, at: int) -> int:
-    a, b = text.find("=", at), text.find(":", at)
-    return max(a, b) if min(a, b) < 0 else min(a, b)
+#: Without one of these no name is sensitive, and without one of ASSIGNS nothing is assigned.
+HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "jwt", "cookie", "session", "private", "signature", "salt", "pin", "otp", "dsn", "webhook")
+ASSIGNS = ("=", ":", "<-", "--", "</", "define", "ENV", "setenv", "(")
+
+
+def may_assign(text: str) -> bool:
+    low = text.lower()
+    return any(h in low for h in HINTS) and any(a in text for a in ASSIGNS)
 
 
 def scan(text: str, has: tuple[bool, bool, bool]) -> tuple:
@@ -180,7 +120,7 @@ def scan(text: str, has: tuple[bool, bool, bool]) -> tuple:
     base = base_spans(text, has)
     starts, reaches = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
     inside = lambda a, b: (k := bisect_right(starts, a)) > 0 and reaches[k - 1] >= b
-    added = [x for x in (assigned_literals(text) if "=" in text or ":" in text else []) if not inside(x[0], x[1])]
+    added = [x for x in (assigned_literals(text) if may_assign(text) else []) if not inside(x[0], x[1])]
     n = Counter(kind for _, kind, _ in base)
     write = lambda spans: ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
     whole = write(sorted([*base, *((a, 3, b) for a, b, _, _ in added)]))
@@ -201,7 +141,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """Base and added spans of each row's whole text, in code points with the end exclusive; see OUTPUT.
 
     Null text counts as empty: no spans, and the digest of an empty string. Added spans inside a base span are left
-    out. Repeated and null doc_ids keep their rows. Other columns are ignored.
+    out. Repeated and null doc_ids keep their rows. A very long text is read whole, in time linear in its length.
+    Other columns are ignored.
     """
     ready(docs.sparkSession)
 
