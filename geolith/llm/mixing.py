@@ -9,7 +9,9 @@ from its posterior and the steps so far: no state is kept for each document betw
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.kernels import SPACE, blocks, joined, runs
-from geolith.llm.shared import Scratch, documents, ready
+from geolith.llm.shared import Scratch, documents, fresh_names, ready
 from geolith.llm.subwords import Settings, class_scores, train
 
 SETTINGS = Settings(bits=16, dim=8, ngrams=(4,), sample_per_class=600, epochs=5)
-ROUNDS, CLOSE = 60, 1e-3
+#: A target is met within CLOSE of itself. A round that lowers the loss by less than GAIN of it ends the fit: targets are out of reach.
+CLOSE, GAIN = 1e-5, 1e-3
+#: Lengths of the steps that are tried together, in one pass.
+LENGTHS = (1.0, 4.0, 16.0, 64.0)
 #: Target weights of the domains, here the languages of the documents.
 TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 
@@ -61,60 +66,94 @@ def _matrix(batch: pa.RecordBatch, n: int) -> np.ndarray:
     return batch["posterior"].flatten().to_numpy().reshape(-1, n)
 
 
-def _sums(members: DataFrame, steps: list[np.ndarray], most: float, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens of each domain at the rates of `steps`, and the sum of tokens x p p'."""
+@dataclass(frozen=True)
+class Fit:
+    """Steps that the rates follow from, and of each domain the expected tokens at those rates and the target."""
+
+    steps: list[np.ndarray]
+    have: np.ndarray
+    want: np.ndarray
+
+    @property
+    def off(self) -> np.ndarray:
+        """How far each domain is from its target, as a share of it; of all targets where its own is 0."""
+        return np.abs(self.have - self.want) / np.maximum(np.where(self.want > 0, self.want, self.want.sum()), 1e-300)
+
+    @property
+    def met(self) -> bool:
+        return bool((self.off <= CLOSE).all())
+
+
+def _sums(members: DataFrame, steps: list[np.ndarray], tried: list[np.ndarray], most: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """After `steps` and each of the steps that are tried: the expected tokens of each domain, and the sums of tokens x p p' over all rows and over those whose rates are within the bounds."""
+    n = len(tried[0])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, gram = np.zeros(n), np.zeros((n, n))
+        total, gram, free = np.zeros((len(tried), n)), np.zeros((n, n)), np.zeros((len(tried), n, n))
         for batch in batches:
             p, tokens = _matrix(batch, n), batch["n_tokens"].to_numpy().astype(np.float64)
-            total += (tokens * rates(p, steps, most)) @ p
-            gram += (p * tokens[:, None]).T @ p
-        yield pa.RecordBatch.from_pydict({"place": pa.array(range(n + n * n), pa.int32()), "amount": np.concatenate([total, gram.ravel()])})
+            weighed, before = p * tokens[:, None], rates(p, steps, most)
+            gram += weighed.T @ p
+            for k, step in enumerate(tried):
+                r = np.clip(before - p @ step, 0.0, most)
+                inside = (r > 0) & (r < most)
+                total[k] += (tokens * r) @ p
+                free[k] += weighed[inside].T @ p[inside]
+        amount = np.concatenate([total.ravel(), gram.ravel(), free.ravel()])
+        yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(amount)), pa.int32()), "amount": amount})
 
     sums = members.mapInArrow(part, "place int, amount double").groupBy("place").agg(F.sum("amount").alias("amount")).collect()  # a few numbers
-    out = np.zeros(n + n * n)
+    out = np.zeros(len(tried) * (n + n * n) + n * n)
     for row in sums:
         out[row["place"]] = row["amount"]
-    return out[:n], out[n:].reshape(n, n)
+    total, gram, free = np.split(out, [len(tried) * n, len(tried) * n + n * n])
+    return list(zip(total.reshape(-1, n), [gram.reshape(n, n)] * len(tried), free.reshape(-1, n, n), strict=True))
 
 
-def fit(members: DataFrame, weights: np.ndarray, total: float | None = None, most: float = float("inf")) -> list[np.ndarray]:
+def fit(members: DataFrame, weights: np.ndarray, total: float | None = None, most: float = float("inf")) -> Fit:
     """Steps whose rates bring the domains' expected tokens to weights x total.
 
     total is all tokens there are by default; with most = 1 it is as many as the weights allow without a repeat.
-    The gradient is taken in the metric of the domains' shared tokens, in which steps of length 1 always descend.
-    Stops at residuals under CLOSE of the total, after ROUNDS, or when a step changes nothing (targets out of reach).
+    The least squares are those in the metric of the domains' shared tokens, in which projected steps of length 1 always
+    descend. Each pass over the documents tries steps of several lengths, and some in the metric of the rows that are
+    within their bounds, and keeps the one that descends furthest. Ends when every target is met within CLOSE of itself, or when
+    a pass gains less than GAIN: then the targets are out of reach, and the rates bring them as near as they came.
     """
-    n = len(weights)
     steps: list[np.ndarray] = []
-    have, gram = _sums(members, steps, most, n)
+    [(have, gram, free)] = _sums(members, steps, [np.zeros(len(weights))], most)
     if not have.sum():
-        return steps
+        return Fit(steps, have, have)
     if total is None:
         total = have.sum()
         if most <= 1:
             total = float(np.min(have[weights > 0] / weights[weights > 0]))
+    want = weights * total
     metric = np.linalg.pinv(gram, rcond=1e-9)
-    for _ in range(ROUNDS):
-        residual = have - weights * total
-        if np.abs(residual).max() <= CLOSE * total:
-            break
-        steps.append(metric @ residual)
-        now, _ = _sums(members, steps, most, n)
-        if np.abs(now - have).max() <= 1e-12 * total:
+    loss = lambda x: float((x - want) @ metric @ (x - want))
+    while not Fit(steps, have, want).met:
+        off, inner = have - want, np.linalg.pinv(free, rcond=1e-9)
+        tried = [metric @ off * k for k in LENGTHS] + [inner @ off / k for k in LENGTHS[:2]]
+        sums = _sums(members, steps, tried, most)
+        best = min(range(len(tried)), key=lambda k: loss(sums[k][0]))
+        gain = 1 - loss(sums[best][0]) / loss(have)
+        if gain > 0:
+            steps.append(tried[best])
+            have, _, free = sums[best]
+        if gain < GAIN:
             break
-        have = now
-    return steps
+    return Fit(steps, have, want)
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], total: float | None = None, most: float = float("inf"), settings: Settings = SETTINGS) -> DataFrame:
     """Each row's doc_id, n_tokens, posterior, rate and copies.
 
-    copies is the whole part of the rate, or one more with the probability of the rest, by a hash of doc_id and text: its
-    expectation is the rate, and repeated rows fall alike. Null text counts as empty and gets the posterior of no
+    copies is the whole part of the rate, or one more with the probability of the rest, by a hash of doc_id and n_tokens: its
+    expectation is the rate, and repeated rows fall alike. Targets out of reach are met as nearly as the least squares can, with
+    a warning. With most = 1 no document is repeated, so that the domain that is scarcest for its target bounds the total;
+    give a smaller or larger `total` where that is not wanted. Null text counts as empty and gets the posterior of no
     evidence, equal for all domains. Targets need not sum to 1. Without labelled rows all posteriors are equal.
-    Repeated and null doc_ids keep their rows. Other columns are ignored.
+    Repeated and null doc_ids keep their rows. A very long text is read whole; that takes about 60 bytes of a task's memory
+    for each of its own. Other columns are ignored.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -124,7 +163,10 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, floa
         raise ValueError("targets must be nonnegative and have a positive sum")
     weights /= weights.sum()
     members = Scratch(spark, "mixing").table(posteriors(docs, labelled, domains, settings), "members")
-    steps = fit(members.select("n_tokens", "posterior"), weights, total, most)
+    fitted = fit(members.select("n_tokens", "posterior"), weights, total, most)
+    if not fitted.met:
+        warnings.warn("targets out of reach, off by " + ", ".join(f"{d}: {x:.2%}" for d, x in zip(domains, fitted.off, strict=True)), stacklevel=2)
+    steps = fitted.steps
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,12 +180,13 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, floa
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], most: float = 1.0) -> DataFrame:
     """The rows of docs, each as often as its copies say, with all their columns; with most = 1 none is repeated.
 
-    Rows that share a doc_id share its copies; rows with a null doc_id go.
+    Rows that share a doc_id share the largest of their copies; rows with a null doc_id go.
     """
-    used = mixed_rates(docs, labelled, targets, most=most).filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("copies").alias("__n")).dropDuplicates(["__id"])
-    rows = docs.withColumn("__id", F.col("doc_id").cast("long")).join(used, "__id")
+    key, times, nth = fresh_names(3)
+    used = mixed_rates(docs, labelled, targets, most=most).groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times)).filter(F.col(times) > 0)
+    rows = docs.withColumn(key, F.col("doc_id").cast("long")).join(used, key)
     if most > 1:
-        rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+        rows = rows.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times))))
     return rows.select(*docs.columns)
 
 

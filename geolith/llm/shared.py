@@ -67,6 +67,11 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh_names(n: int) -> list[str]:
+    """Names for columns beside those of any table."""
+    return [f"_{uuid.uuid4().hex}" for _ in range(n)]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,8 +2,8 @@
 and character n-grams; a softmax over that mean gives its classes. Vectors and softmax are learned
 together by stochastic gradient descent in numpy.
 
-The rows that teach it are bounded by `sample_per_class`, so that their features fit the driver; all
-other work is one pass over the documents. As the output is linear in the vectors, tasks get one table
+The rows that teach it are bounded by `sample_per_class`, their texts by `sample_bytes` and what is taken of a
+text by `sample_buckets`, so that their features fit the driver; all other work is one pass over the documents. As the output is linear in the vectors, tasks get one table
 of class scores for each bucket, of a size that `bits` fixes.
 """
 
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geolith.llm.kernels import SPACE, Hashes, blocks, joined, mixed, runs, segment_sums
 from geolith.llm.shared import ready
@@ -28,6 +29,8 @@ class Settings:
     dim: int = 12  # of the vectors
     ngrams: tuple[int, ...] = (3, 5)  # bytes of a character n-gram
     sample_per_class: int = 1200
+    sample_bytes: int = 1 << 24  # of the texts that teach one class; none has more than a 64th
+    sample_buckets: int = 8192  # of a text that teaches
     epochs: int = 8
     rate: float = 0.6
     seed: int = 7
@@ -54,9 +57,15 @@ class Features:
         total = sum(segment_sums(table[b.astype(np.int64)], s, e) for b, s, e in self.groups)
         return total / np.maximum(self.n, 1).reshape(-1, *[1] * (table.ndim - 1))
 
-    def counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Text k's distinct buckets and how often each occurs, over the number of its features."""
+    def counts(self, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Text k's distinct buckets and how often each occurs, over the number of its features.
+
+        Of more than `most` distinct buckets of the whole text, those stay that a hash puts first, the same ones for all texts.
+        """
         buckets, n = np.unique(np.concatenate([b[s[k] : e[k]] for b, s, e in self.groups]), return_counts=True)
+        if len(buckets) > most:
+            stay = np.sort(np.argsort(mixed(buckets.astype(np.uint64) + np.uint64(1)), kind="stable")[:most])
+            buckets, n = buckets[stay], n[stay]
         return buckets.astype(np.int32), (n / max(int(self.n[k]), 1)).astype(np.float32)
 
 
@@ -99,6 +108,20 @@ def sampled(labelled: DataFrame, n_classes: int, per_class: int) -> DataFrame:
     return reduce(DataFrame.union, some)
 
 
+def teaching(docs: DataFrame, chosen: DataFrame, most_bytes: int) -> DataFrame:
+    """(doc_id, label, text) of the chosen (doc_id, label): one row each, whose texts have most_bytes a label at most.
+
+    Of rows that share a doc_id, the shortest text teaches, and of equally short ones the first by a hash. Texts of more than a 64th of
+    the bytes teach nothing, nor do those with which a label's texts, in the order of a hash of doc_id, exceed them.
+    """
+    # chosen is bounded by the sample, so that it may be sent to all tasks
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    size = F.octet_length("text")
+    rows = rows.filter(size <= most_bytes // 64).groupBy("doc_id", "label").agg(F.min(F.struct(size.alias("size"), F.xxhash64("text").alias("tie"), "text")).alias("r"))
+    before = F.sum("r.size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))  # of a sample's rows
+    return rows.withColumn("before", before).filter(F.col("before") <= most_bytes).select("doc_id", "label", "r.text")
+
+
 def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settings) -> np.ndarray:
     """Learns from (doc_id, label 0 to n_classes - 1) and the whole texts of those documents."""
     ready(docs.sparkSession)
@@ -108,15 +131,14 @@ def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settin
             ids, labels = batch["doc_id"].to_pylist(), batch["label"].to_pylist()
             for first, texts in blocks(batch["text"]):
                 features = Features(texts, settings)
-                each = [features.counts(k) for k in range(len(texts))]
+                each = [features.counts(k, settings.sample_buckets) for k in range(len(texts))]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(ids[first : first + len(texts)], pa.int64()), "label": pa.array(labels[first : first + len(texts)], pa.int32()),
                     "buckets": pa.array([b.tobytes() for b, _ in each], pa.binary()), "shares": pa.array([s.tobytes() for _, s in each], pa.binary()),
                 })
 
-    # bounded by per_class rows a class, so that it may be sent to all tasks and its features to the driver
     chosen = sampled(labelled.select("doc_id", F.col("label").cast("int").alias("label")), n_classes, settings.sample_per_class)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").mapInArrow(featurise, "doc_id long, label int, buckets binary, shares binary")
+    rows = teaching(docs, chosen, settings.sample_bytes).mapInArrow(featurise, "doc_id long, label int, buckets binary, shares binary")
     table = rows.toArrow().sort_by("doc_id")
     found = [(c.as_py(), np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32)) for c, b, s in zip(table["label"], table["buckets"], table["shares"], strict=True)]
     return learn(found, n_classes, settings)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from geolith.llm.kernels import ALNUM, LOWER, Hashes, blocks, joined, runs, segment_sums
 from geolith.llm.shared import documents, ready
-from geolith.llm.subwords import sampled
+from geolith.llm.subwords import sampled, teaching
 
 
 @dataclass(frozen=True)
@@ -25,7 +25,7 @@ class Settings:
     bits: int = 18  # log2 of the number of buckets
     prefixes: tuple[int, ...] = (3, 4, 5, 6, 7)  # bytes of a word's beginning
     sample_per_class: int = 2000
-    least_documents: int = 8  # of the sample that have a bucket, for it to get a weight
+    sample_bytes: int = 1 << 24  # of the texts that teach one label; none has more than a 64th
     steps: int = 60
     rate: float = 0.1
     shrink: float = 1.2  # L1 penalty, as the loss of so many documents
@@ -91,7 +91,7 @@ def learn(rows: list[tuple[int, list[np.ndarray]]], counts: dict[int, int], sett
     by = np.zeros((2, size))
     for y, sentences in rows:
         by[y, np.unique(np.concatenate(sentences or [np.zeros(0, np.int64)]))] += 1
-    used = np.flatnonzero(by.sum(0) >= settings.least_documents)
+    used = np.flatnonzero(by.sum(0))
     index = np.full(size, -1, np.int64)
     index[used] = np.arange(len(used))
     label, doc, sentence, feature = np.array([y for y, _ in rows]), [], [], []
@@ -148,9 +148,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
 
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     counts = {0: 1, 1: 1} | {r["label"]: r["n"] for r in known.filter("label IN (0, 1)").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # bounded by sample_per_class rows a label, so that it may be sent to all tasks and its features to the driver
-    chosen = sampled(known, 2, settings.sample_per_class)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").mapInArrow(featurise, "doc_id long, label int, sentences array<binary>")
+    rows = teaching(docs, sampled(known, 2, settings.sample_per_class), settings.sample_bytes).mapInArrow(featurise, "doc_id long, label int, sentences array<binary>")
     table = rows.toArrow().sort_by("doc_id")
     found = [(y, [np.frombuffer(x, np.int32) for x in s]) for y, s in zip(table["label"].to_pylist(), table["sentences"].to_pylist(), strict=True)]
     return learn(found, counts, settings)

@@ -98,6 +98,63 @@ def test_quality_learns_what_is_held_out(spark):
     assert kept.columns == docs.columns and 150 < kept.count() < 200
 
 
+FULL = (1 << 64) - 1
+
+
+def mixed(h):
+    for _ in range(2):
+        h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & FULL
+    return h ^ (h >> 32)
+
+
+def raw_hash(data):
+    return sum(int(kernels._BYTE[b]) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, b in enumerate(data)) & FULL
+
+
+HARD = ["", "a", "two words", "the cat sat. The CAT ran away! Is it a toxicword?\n\rÉß 日本 end", "x " * 90, "\t\n", "No.no?NO!! the the"]
+
+
+def test_scores_are_softmax_of_mean_feature_vectors():
+    settings = subwords.Settings(bits=10)
+    table = np.random.default_rng(1).normal(size=(1 << 10, 3)) * 5
+    got = subwords.class_scores([t.encode() for t in HARD], table, settings)
+    for text, row in zip(HARD, got, strict=True):
+        data = text.encode()
+        words = [mixed(raw_hash(w)) for w in re.findall(rb"[^\x20\x09-\x0D]+", data)]
+        found = [*words, *(mixed((3 * b - 3 * a + 0x5851F42D4C957F2D) & FULL) for a, b in zip(words, words[1:]))]
+        found += [mixed((raw_hash(data[k : k + n]) + n) & FULL) for n in settings.ngrams for k in range(len(data) - n + 1)]
+        z = sum((table[h >> 54] for h in found), np.zeros(3)) / max(len(found), 1)
+        assert row == pytest.approx(np.exp(z) / np.exp(z).sum())
+
+
+def test_toxicity_is_the_brute_force_noisy_or():
+    settings = toxicity.Settings(bits=10)
+    weights = np.random.default_rng(2).normal(size=1 << 10) * 2
+    texts = [t.encode() for t in HARD]
+    s = toxicity.Sentences(texts, settings)
+    got = -np.expm1(kernels.segment_sums(toxicity._log_clean(s.logits(weights, -1.5)), s.lo, s.hi))
+    for data, score in zip(texts, got, strict=True):
+        clean = 1.0
+        for sentence in re.split(rb"[\n\r!.?]", data.lower()):
+            words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", sentence)
+            hashes = {mixed(raw_hash(w)) for w in words} | {(mixed(raw_hash(w[:n])) + n) & FULL for w in words for n in settings.prefixes if len(w) > n}
+            if words:
+                z = -1.5 + sum(weights[b] for b in {(h * 0x9E3779B97F4A7C15 & FULL) >> 54 for h in hashes})
+                clean *= 1 - 1 / (1 + np.exp(-z))
+        assert score == pytest.approx(1 - clean)
+
+
+def test_what_teaches_is_bounded(spark):
+    docs = spark.range(40).selectExpr("id % 4 AS doc_id", "concat('word', id) AS text").union(spark.range(3000).selectExpr("7 AS doc_id", "concat('again ', id) AS text")).union(spark.sql("SELECT 8, repeat('long ', 10000000)")).union(spark.sql("SELECT 9, NULL"))
+    chosen = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id BIGINT, label INT")
+    rows = {r["doc_id"]: r["text"] for r in subwords.teaching(docs, chosen, 1 << 24).collect()}
+    assert set(rows) == {0, 1, 2, 3, 7, 9} and rows[9] == "" and len(rows[7]) == 7
+    assert subwords.teaching(docs, chosen, 64 * 12).agg(F.sum(F.octet_length("text"))).first()[0] <= 2 * 64 * 12
+    features = subwords.Features([b" ".join(b"w%d" % k for k in range(5000))], subwords.Settings())
+    few, all_ = features.counts(0, 100)[0], features.counts(0, 1 << 20)[0]
+    assert len(few) == 100 and set(few) < set(all_)
+
+
 def test_quality_of_hard_texts(spark, corpus, empty):
     docs, labels = labelled(spark)
     table = quality.quality_model(docs, labels)
@@ -121,7 +178,7 @@ def test_labels_with_nulls_and_repeats(spark):
 
 def test_toxicity_finds_the_sentence(spark):
     docs, labels = labelled(spark)
-    settings = toxicity.Settings(bits=14, least_documents=4)
+    settings = toxicity.Settings(bits=14)
     model = toxicity.toxicity_model(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))), settings)
     got = toxicity.with_toxicity(docs, model, settings).join(labels, "doc_id").join(docs, "doc_id").filter(toxicity.held_out(F.col("doc_id"))).toPandas()
     assert ((got["score"] >= 0.5) == (got["toxic"] == 1)).mean() > 0.95
@@ -539,14 +596,30 @@ def test_rates_meet_the_targets(spark):
     members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p)], "n_tokens BIGINT, posterior ARRAY<DOUBLE>").repartition(3)
     weights = np.array([0.2, 0.3, 0.5])
     for total, most in ((None, float("inf")), (float(tokens.sum()) * 0.5, 1.0), (None, 1.0)):
-        r = mixing.rates(p, mixing.fit(members, weights, total, most), most)
+        fitted = mixing.fit(members, weights, total, most)
+        r = mixing.rates(p, fitted.steps, most)
         have = (r * tokens) @ p
-        assert (r >= 0).all() and (r <= most).all()
+        assert (r >= 0).all() and (r <= most).all() and have == pytest.approx(fitted.have)
         if most > 1 or total:
-            assert np.abs(have / have.sum() - weights).max() < 0.02
-    hard = np.array([1.0, 0.0, 0.0])  # out of reach, as all documents have some of each
-    r = mixing.rates(p, mixing.fit(members, hard), float("inf"))
-    assert (r >= 0).all() and ((r * tokens) @ p)[0] / ((r * tokens) @ p).sum() > 0.8
+            assert fitted.met and np.abs(have / have.sum() - weights).max() < 1e-5
+
+
+@pytest.mark.parametrize(("weights", "share", "most"), [([0.2, 0.3, 0.5], 1.0, np.inf), ([0.98, 0.01, 0.01], 0.3, 1.0), ([0.5, 0.5, 0.0], 0.6, 1.0)])
+def test_rates_solve_the_least_squares(spark, weights, share, most):
+    """Against coordinate descent on the same bounded least squares; the last two are out of reach."""
+    rng = np.random.default_rng(10)
+    p, tokens, weights = rng.dirichlet([0.5] * 3, 80), rng.integers(1, 60, 80), np.array(weights)
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p)], "n_tokens BIGINT, posterior ARRAY<DOUBLE>")
+    fitted = mixing.fit(members, weights, share * tokens.sum(), most)
+    assert fitted.met == (most > 1)
+    metric = np.linalg.pinv((p * tokens[:, None]).T @ p)
+    a, want, r = p * tokens[:, None], weights * share * tokens.sum(), np.ones(80)
+    for _ in range(300):
+        for i in range(80):
+            r[i] = min(max(r[i] - a[i] @ metric @ (a.T @ r - want) / (a[i] @ metric @ a[i]), 0.0), most)
+    loss = lambda x: (x - want) @ metric @ (x - want)
+    assert loss(fitted.have) == pytest.approx(loss(a.T @ r), rel=0.01, abs=1e-6)
+    assert fitted.have == pytest.approx(a.T @ r, abs=0.01 * tokens.sum())
 
 
 def test_mixing(spark, corpus, empty):
@@ -559,6 +632,8 @@ def test_mixing(spark, corpus, empty):
     flat = mixing.mixed_rates(corpus, labelled.filter("false"), {"en": 1, "de": 1}).collect()
     assert all(r["posterior"] == [0.5, 0.5] for r in flat)
     assert mixing.mix(corpus, labelled, {"en": 1, "de": 1}).columns == corpus.columns
+    shared = corpus.filter("doc_id IS NOT NULL").union(corpus.filter("doc_id = 4").withColumn("text", F.lit("other words")))
+    assert mixing.mix(shared, labelled, {"en": 1, "de": 1}, most=3.0).groupBy("doc_id").count().filter("doc_id = 4 AND count % 4 <> 0").isEmpty()  # four rows, as often each
     with pytest.raises(ValueError):
         mixing.mixed_rates(corpus, labelled, {"en": 0})
 
