@@ -1,12 +1,10 @@
 """Media columns stored as content-defined chunks.
 
-A payload is cut where a rolling gear hash of its last 32 bytes begins with BITS zero bits, at least LEAST and
-at most MOST bytes apart, so that equal stretches of different payloads are cut alike. Chunks are kept once, in
+A medium is a WAVE file of unsigned 8-bit samples in one channel: 44 bytes of header, then the payload. It is cut where a rolling gear hash of its last 32 bytes begins with BITS zero bits, at least LEAST and
+at most MOST bytes apart, so that equal stretches of different media are cut alike. Chunks are kept once, in
 a table bucketed by digest: a batch's chunks meet it in an anti-join and only new digests are written. A
 medium is the ordered list of its chunks; documents point to media. Reading joins lists and chunks,
-puts every distinct medium together again and verifies it against its own digest.
-
-A medium reads as a WAVE file of unsigned 8-bit samples in one channel: 44 bytes of header, then the payload.
+puts every distinct medium together again, verifies the file against its own digest and takes the samples out of it.
 """
 
 from __future__ import annotations
@@ -84,6 +82,19 @@ def wave_header(n: int) -> bytes:
     return struct.pack("<4sI4s4sIHHIIHH4sI", b"RIFF", size(36 + n), b"WAVE", b"fmt ", 16, 1, 1, RATE, RATE, 1, 8, b"data", size(n))
 
 
+def wave(samples: bytes) -> bytes:
+    """The file that is stored."""
+    return wave_header(len(samples)) + samples
+
+
+def wave_samples(medium: bytes) -> bytes:
+    """The samples of such a file, whose header must be the one that it was written with."""
+    samples = medium[44:]
+    if medium[:44] != wave_header(len(samples)):
+        raise ValueError("not a file of 8-bit samples in one channel")
+    return samples
+
+
 def _cut_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in blocks(batch["text"]):
@@ -130,7 +141,7 @@ class ChunkStore:
             seen: set[bytes] = set()  # of this task
             for batch in batches:
                 for _, texts in blocks(batch["text"]):
-                    own = {digest(c): c for t in texts for c in chunks(payload(t))}
+                    own = {digest(c): c for t in texts for c in chunks(wave(payload(t)))}
                     new = [(d, compress(c)) for d, c in own.items() if d not in seen]
                     seen.update(own)
                     yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in new], pa.binary()), pa.array([c for _, c in new], pa.binary())], ["digest", "data"])
@@ -144,14 +155,14 @@ class ChunkStore:
 
 
 def media_lists(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, medium, digests): the payload's own digest and those of its chunks, in order."""
+    """(doc_id, n_bytes, medium, digests): the medium's own digest and those of its chunks, in order."""
     ready(docs.sparkSession)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"]
             for first, texts in blocks(batch["text"]):
-                full = [payload(t) for t in texts]
+                full = [wave(payload(t)) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(texts)), pa.array([len(t) for t in texts], pa.int64()), pa.array([digest(p) for p in full], pa.binary()), pa.array([[digest(c) for c in chunks(p)] for p in full], pa.list_(pa.binary()))],
                     ["doc_id", "n_bytes", "medium", "digests"],
@@ -173,11 +184,12 @@ FEATURES = "medium binary, payload_bytes long, payload_sha256 string, tail_crc32
 _NAMES = [part.split()[0] for part in FEATURES.split(", ")]
 
 
-def _features(medium: bytes, samples: bytes) -> tuple:
-    if digest(samples) != medium:
+def _features(medium: bytes, stored: bytes) -> tuple:
+    """All that is said of a medium, from the bytes read back."""
+    if digest(stored) != medium:
         raise ValueError(f"medium {medium.hex()} does not read back as it was written")
-    whole = wave_header(len(samples)) + samples
-    return medium, len(samples), medium.hex(), zlib.crc32(samples[-UNIT:]), len(whole), hashlib.sha256(whole).hexdigest(), feature(samples)
+    samples = wave_samples(stored)
+    return medium, len(samples), digest(samples).hex(), zlib.crc32(samples[-UNIT:]), len(stored), medium.hex(), feature(samples)
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
@@ -225,7 +237,8 @@ def media_columns(docs: DataFrame, store: ChunkStore) -> DataFrame:
     """Stores every row's text as a medium and returns doc_id, n_bytes and what its stored form reads as.
 
     Null text counts as empty, which makes a payload of UNIT bytes 0. Rows with equal texts share a medium; repeated
-    and null doc_ids keep their rows. Empty input gives no rows. Other columns are ignored.
+    and null doc_ids keep their rows. A very long text is one medium of many chunks, which one task holds at a time. Empty
+    input gives no rows. Other columns are ignored.
     """
     work = Scratch(store.spark, "media_columns")
     store.append(docs)

@@ -2,8 +2,9 @@
 
 Lengths up to the sequence length are all that packing depends on, so the documents are reduced to a
 count of pieces for each length: at most `capacity` numbers at any size of input. Over these counts,
-the driver indexes which single lengths, pairs and triples have which sum, fills gaps exactly under the
-counts that are left, and gives what remains to the best-fitting gap. The result is a list of patterns
+the driver indexes once which single lengths, pairs and triples have which sum, consumes combinations that fill gaps exactly
+under the counts that are left, and gives what remains to the best-fitting gap. The order in which gaps are served decides
+how well the rest fits, so several orders are planned and the one with the fewest sequences is taken. The result is a list of patterns
 (lengths, times used), also bounded by `capacity`. Pieces are then numbered within their length from
 counts that each task kept, and their number picks the place; neither texts nor ids are shuffled.
 """
@@ -32,69 +33,99 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head)] * (head > 0) + [(at, capacity) for at in range(head, n, capacity)]
 
 
-class _Counts:
-    """How many pieces of each length are left."""
+class SumIndex:
+    """Which single lengths, pairs and triples have which sum, under the counts that are left.
 
-    def __init__(self, counts: np.ndarray) -> None:
-        self.n = counts.astype(np.int64)
+    Lengths that are used up never come back, so that each list is read once from its start: pairs of a sum by their larger
+    length, triples by their largest and the pairs of what that leaves. `uneven` has the larger ones first.
+    """
+
+    def __init__(self, counts: np.ndarray, uneven: bool = True) -> None:
+        self.left = counts.astype(np.int64)
+        lengths = np.flatnonzero(self.left)
+        order = lengths[::-1] if uneven else lengths
+        capacity = len(counts) - 1
+        self.pairs: list[list[int]] = [[] for _ in range(capacity + 1)]  # sum -> larger lengths
+        for a in order.tolist():
+            for b in lengths[lengths <= a].tolist():
+                if a + b <= capacity:
+                    self.pairs[a + b].append(a)
+        self.triples: list[list[int]] = [[a for a in order.tolist() if 3 * a >= total and a < total and self.pairs[total - a]] for total in range(capacity + 1)]  # sum -> largest lengths
+        self.pair_at, self.triple_at = [0] * (capacity + 1), [0] * (capacity + 1)
+        self.held: list[int] = []  # lengths that a combination in the making has taken
+
+    def single(self, total: int) -> tuple[int, ...] | None:
+        return (total,) if self._free(total) > 0 else None
+
+    def _free(self, length: int) -> int:
+        return int(self.left[length]) - self.held.count(length)
+
+    def pair(self, total: int, most: int | None = None) -> tuple[int, ...] | None:
+        """Two lengths with this sum, none longer than `most`."""
+        found = self.pairs[total]
+        while self.pair_at[total] < len(found) and self._used_up(found[self.pair_at[total]], total):
+            self.pair_at[total] += 1
+        for a in found[self.pair_at[total] :]:
+            if (most is None or a <= most) and self._free(a) > (2 * a == total) and self._free(total - a) > 0:
+                return a, total - a
+        return None
+
+    def _used_up(self, a: int, total: int) -> bool:
+        return self.left[a] <= (2 * a == total) or self.left[total - a] <= 0
+
+    def triple(self, total: int) -> tuple[int, ...] | None:
+        found = self.triples[total]
+        while self.triple_at[total] < len(found) and self.left[found[self.triple_at[total]]] <= 0:
+            self.triple_at[total] += 1
+        for a in found[self.triple_at[total] :]:
+            if self._free(a) > 0:
+                self.held.append(a)
+                rest = self.pair(total - a, a)
+                self.held.pop()
+                if rest:
+                    return a, *rest
+        return None
 
     def times(self, lengths: tuple[int, ...]) -> int:
         """How often the lengths can be taken together."""
-        return min(int(self.n[x]) // lengths.count(x) for x in set(lengths))
+        return min(int(self.left[x]) // lengths.count(x) for x in set(lengths))
 
     def take(self, lengths: tuple[int, ...], times: int) -> None:
         for x in lengths:
-            self.n[x] -= times
-
-
-def _pairs(total: int, left: _Counts) -> Iterator[tuple[int, int]]:
-    """Pairs of lengths with this sum that are still there, the most uneven last."""
-    a = np.arange(1, total // 2 + 1)
-    ok = (left.n[a] > 0) & (left.n[total - a] > 0)
-    yield from ((int(total - x), int(x)) for x in a[ok][::-1])
-
-
-def _complements(gap: int, left: _Counts, most: int) -> Iterator[tuple[int, ...]]:
-    """Single lengths, pairs and triples with exactly this sum, fewest pieces first, of at most `most` pieces."""
-    if left.n[gap] > 0:
-        yield (gap,)
-    if most < 2:
-        return
-    yield from _pairs(gap, left)
-    for a in range(gap - 2, (gap + 2) // 3 - 1, -1):
-        if left.n[a] > 0:
-            yield from ((a, *pair) for pair in _pairs(gap - a, left) if pair[0] <= a)
+            self.left[x] -= times
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths in order of place, times used) that hold counts[l] pieces of each length l.
 
-    Where triples and pairs leave long pieces alone, single complements and best fit may do with fewer sequences.
+    Of the plans for each order of serving gaps, the one with the fewest sequences, the first of equals.
     """
-    n = lambda patterns: sum(times for _, times in patterns)
-    least = int(counts @ np.arange(capacity + 1)) / capacity
-    found = _plan(counts, capacity, 3)
-    return found if n(found) <= 1.002 * least + 1 else min(found, _plan(counts, capacity, 1), key=n)
-
-
-def _plan(counts: np.ndarray, capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
-    left, patterns = _Counts(counts), []
-    if left.n[capacity]:
-        patterns.append(((capacity,), int(left.n[capacity])))
-        left.n[capacity] = 0
-    for length in range(capacity - 1, 0, -1):
-        while left.n[length]:
-            before = left.n[length]
-            for rest in _complements(capacity - length, left, most):
-                if times := left.times((length, *rest)):
-                    left.take((length, *rest), times)
-                    patterns.append(((length, *rest), times))
+    down, up = range(capacity - 1, 0, -1), range(1, capacity)
+    each, passes = ((1, 2, 3),), ((1,), (2,), (3,))
+    plans = [_plan(counts, capacity, order, sizes, uneven) for order, sizes, uneven in ((down, each, True), (down, passes, True), (down, passes, False), (up, passes, False), (down, ((1,),), True))]
+    return min(plans, key=lambda patterns: sum(times for _, times in patterns))
+
+
+def _plan(counts: np.ndarray, capacity: int, order: range, passes: tuple[tuple[int, ...], ...], uneven: bool) -> list[tuple[tuple[int, ...], int]]:
+    """Serves the gaps beside each length in `order`, in each pass by combinations of so many lengths, then best fit."""
+    left, patterns = SumIndex(counts, uneven), []
+    if left.left[capacity]:
+        patterns.append(((capacity,), int(left.left[capacity])))
+        left.left[capacity] = 0
+    kinds = {1: left.single, 2: left.pair, 3: left.triple}
+    for sizes in passes:
+        for length in order:
+            while left.left[length] > 0:
+                left.held.append(length)  # this one has the gap
+                rest = next((found for k in sizes if (found := kinds[k](capacity - length))), None)
+                left.held.pop()
+                if rest is None:
                     break
-            if left.n[length] == before:
-                break
+                patterns.append(((length, *rest), times := left.times((length, *rest))))
+                left.take((length, *rest), times)
     gaps: dict[int, list[list]] = {}
     for length in range(capacity - 1, 0, -1):
-        while n := int(left.n[length]):
+        while n := int(left.left[length]):
             if fitting := [g for g in gaps if g >= length]:
                 best = min(fitting)
                 lengths, times = gaps[best].pop()
@@ -108,10 +139,10 @@ def _plan(counts: np.ndarray, capacity: int, most: int) -> list[tuple[tuple[int,
                 used, new = n // per, (length,) * per
                 gap = capacity - length * per
                 n_each = per
-                left.n[length] -= used * n_each
+                left.left[length] -= used * n_each
                 patterns.append((new, used)) if gap == 0 else gaps.setdefault(gap, []).append([new, used])
                 continue
-            left.n[length] -= used
+            left.left[length] -= used
             patterns.append((new, used)) if gap == 0 else gaps.setdefault(gap, []).append([new, used])
     return patterns + [(lengths, times) for group in gaps.values() for lengths, times in group]
 
@@ -141,10 +172,10 @@ class _Places:
         return sequence, offset
 
 
-def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
     """Pieces of each document: its ids, with end_id after them, in pieces of at most `capacity`.
 
-    nth counts the pieces of the same length before it in its task's part. Null text counts as empty.
+    nth counts the pieces of the same length before it in its task's part. Null text counts as empty. Without with_ids, ids is null.
     """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +188,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACI
                 ids = encode.ids(text.as_py()) + end
                 for k, (start, length) in enumerate(cut(len(ids) // 2, capacity)):
                     own = ids[2 * start : 2 * (start + length)]
-                    rows.append((doc_id, k, start, length, zlib.crc32(np.frombuffer(own, "<u2").astype("<u4").tobytes()), own, part, int(seen[length])))
+                    rows.append((doc_id, k, start, length, zlib.crc32(np.frombuffer(own, "<u2").astype("<u4").tobytes()), own if with_ids else None, part, int(seen[length])))
                     seen[length] += 1
                     size += len(own)
                 if size > 1 << 23:
@@ -180,10 +211,10 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: in
     """Every piece of every document with its sequence_id and offset there; ids holds its tokens (little-endian uint16).
 
     Without with_ids only places are numbered, and no ids are read again or shuffled.
-    Offsets in a sequence are gapless from 0. Null text counts as empty: the end id alone. Repeated rows are packed each time; null doc_ids too. Empty input
-    gives no rows. Other columns are ignored.
+    Offsets in a sequence are gapless from 0. Null text counts as empty: the end id alone. Repeated rows are packed each time; null doc_ids too. A very long
+    text is encoded whole, and cut after that. Empty input gives no rows. Other columns are ignored.
     """
-    pieces = Scratch(spark, "packing").table(tokenize_pieces(docs, tokenizer_path, capacity, end_id), "pieces")
+    pieces = Scratch(spark, "packing").table(tokenize_pieces(docs, tokenizer_path, capacity, end_id, with_ids), "pieces")
     sizes = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     counts = np.zeros(capacity + 1, np.int64)
     for row in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `capacity` rows

@@ -1,9 +1,12 @@
 """Every operator against a brute-force version, on a small corpus of hard cases."""
 
 import hashlib
+import io
+import itertools
 import random
 import re
 import time
+import wave
 import zlib
 from collections import Counter, defaultdict
 
@@ -322,7 +325,18 @@ def test_media_round_trip(spark, corpus, empty):
         raw = texts[r["doc_id"]][0]
         full = raw + b"\0" * (-len(raw) % 64 or (64 if not raw else 0))
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:]))
-        assert r["media_bytes"] == len(full) + 44
+        with io.BytesIO() as f:
+            with wave.open(f, "wb") as w:
+                w.setnchannels(1)
+                w.setsampwidth(1)
+                w.setframerate(8000)
+                w.writeframes(full)
+            assert (r["media_bytes"], r["media_sha256"]) == (len(f.getvalue()), hashlib.sha256(f.getvalue()).hexdigest())
+        mean = sum(full) / len(full)
+        crossings = sum((a > mean) != (b > mean) for a, b in zip(full, full[1:]))
+        rms = (sum((x - mean) ** 2 for x in full) / len(full)) ** 0.5
+        told = dict(part.split("=") for part in r["feature"].split(";"))
+        assert float(told["mean"]) == pytest.approx(mean, abs=1e-3) and float(told["rms"]) == pytest.approx(rms, abs=1e-3) and int(told["crossings"]) == crossings and told["seconds"] == f"{len(full) / 8000:.3f}"
     held = store.rows().count()
     assert held == store.rows().select("digest").distinct().count()
     store.append(corpus)
@@ -341,8 +355,13 @@ def test_chunks_are_cut_by_content():
 
 
 def test_damaged_medium_is_an_error():
-    with pytest.raises(ValueError):
-        media_chunks._features(media_chunks.digest(b"a"), b"b")
+    medium = media_chunks.wave(b"a" * 64)
+    assert media_chunks._features(media_chunks.digest(medium), medium)[1] == 64
+    for bad in (medium[:-1] + b"b", medium[:-1], b""):
+        with pytest.raises(ValueError):
+            media_chunks._features(media_chunks.digest(medium), bad)
+        with pytest.raises(ValueError):
+            media_chunks._features(media_chunks.digest(bad), bad) if bad[-1:] != b"b" else media_chunks.wave_samples(b"x" + bad)
 
 
 # ---- licences
@@ -504,6 +523,29 @@ def test_plan_uses_every_piece_once(seed):
     assert n <= -(-int(counts @ np.arange(1025)) // 1024) * 1.03 + 1 or seed in (2, 3)
 
 
+def test_sum_index_finds_combinations_as_brute_force_does():
+    rng = np.random.default_rng(3)
+    for uneven in (True, False):
+        counts = np.zeros(61, np.int64)
+        counts[rng.integers(1, 61, 25)] = rng.integers(1, 4, 25)
+        index = packing.SumIndex(counts, uneven)
+        for total in rng.integers(1, 61, 400).tolist():
+            lengths = [x for x in range(1, 61) for _ in range(int(index.left[x]))]
+            for k, found in ((1, index.single(total)), (2, index.pair(total)), (3, index.triple(total))):
+                possible = any(sum(c) == total for c in itertools.combinations(lengths, k))
+                assert (found is not None) == possible and (found is None or (sum(found) == total and len(found) == k and index.times(found) > 0))
+                if found and rng.random() < 0.1:
+                    index.take(found, 1)
+                    lengths = [x for x in range(1, 61) for _ in range(int(index.left[x]))]
+
+
+def test_plan_of_lengths_about_a_third():
+    counts = np.bincount(np.random.default_rng(0).integers(330, 360, 9000), minlength=1025)
+    assert sum(times for _, times in packing.plan(counts)) < 3400
+    counts = np.bincount(np.random.default_rng(0).integers(1, 1025, 20000), minlength=1025)
+    assert sum(times for _, times in packing.plan(counts)) < 10050
+
+
 # ---- near dedup
 
 
