@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geolith.llm.shared import Scratch, bucketed_table, documents
+from geolith.llm.shared import Scratch, bucketed_table, documents, fresh_names
 
 #: Each of these characters, alone or in a row, counts as one space.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -68,9 +68,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, salts: int = 64) -> DataFra
 def drop_exact_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row for each normalised text, with all its columns; a repeated (doc_id, text) row stays once."""
     index = DigestIndex(spark, Scratch(spark, "digest_index").path("index"))
-    stay = exact_dedup(docs, index).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__digest": text_digest(F.col("text"))})
-    return keyed.join(stay.hint("merge"), ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"]).select(*docs.columns)
+    key, digest = fresh_names(2)
+    stay = exact_dedup(docs, index).filter("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(digest))
+    keyed = docs.withColumns({key: F.col("doc_id").cast("long"), digest: text_digest(F.col("text"))})
+    same = [keyed[key].eqNullSafe(stay[key]), keyed[digest] == stay[digest]]  # a null doc_id stays where no row of its text has another
+    return keyed.join(stay.hint("merge"), same, "left_semi").dropDuplicates([key, digest]).select(*docs.columns)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

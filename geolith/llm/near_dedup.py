@@ -7,10 +7,11 @@ emits a key for every chunk and every choice of that many symbols to leave out;
 share a key for certain. At a similarity of 0.85 a pair's distance exceeds 23 of 64 with a probability
 of 9e-6; every link found is confirmed on full sets.
 
-Work is kept linear where texts abound. Equal sets are joined first and one of them goes on. Keys of few
+Work is kept linear where texts abound. Equal sets are joined first and one of them goes on. Texts are dealt out by
+ranges of (key, text), so that a key of many is no one task's; what a key counts in several ranges is added up. Keys of few
 texts give their pairs; in keys of many, each text is first compared with the smallest alone. What
 these links connect needs no further comparison, so that in those keys only pairs from different
-components are left, which tasks compare block by block, without a row for each pair compared.
+components are left, which tasks compare block by block on whole sets, without a row for each pair compared.
 """
 
 from __future__ import annotations
@@ -21,20 +22,18 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geolith.llm.components import components
 from geolith.llm.kernels import LOWER, SPACE, Hashes, blocks, joined, mixed, runs
-from geolith.llm.shared import Scratch, documents
+from geolith.llm.shared import Scratch, documents, fresh_names, partitions
 
 WORDS, PERCENT = 5, 85
 SYMBOLS, DISTANCE, CHUNKS = 64, 23, 12
-#: Keys of more texts than this are compared in blocks, of so many texts.
-FEW, BLOCK = 8, 1024
-#: Hashes in a sketch: the smallest of the set, which is the whole set if it has no more.
-SKETCH = 256
+#: Keys of more texts than this are compared in blocks, of at most so many texts and hashes (one text may have more).
+FEW, BLOCK, BLOCK_HASHES = 8, 1024, 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240917))
 _XOR = _rng.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
@@ -183,9 +182,8 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 def compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
     """Of the texts of one key in one or two blocks: pairs from different components that may be linked.
 
-    Rows: key, x and y (the blocks), block, g, n, root, signature, sketch. A pair is looked at under the first
-    key that it shares. Texts with whole sets in their sketches are settled here, and pairs that these
-    links already connect are left out; sure = False marks pairs that need their full sets.
+    Rows: key, x and y (the blocks), block, g, n, root, signature, shingles. A pair is looked at under the first
+    key that it shares. Whole sets decide, and pairs that links found here already connect are left out.
     """
     x, y = int(rows["x"].iloc[0]), int(rows["y"].iloc[0])
     rows = rows.sort_values(["block", "g"], ignore_index=True)
@@ -204,10 +202,8 @@ def compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
         p, q = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
         close[at : at + (1 << 15)] = ((signature[p] != signature[q]).sum(1) <= DISTANCE) & (keys[p, :index] != keys[q, :index]).all(1)
     i, j = i[close], j[close]
-    sketches = [np.frombuffer(s, np.uint64) for s in rows["sketch"]]
-    common = _common_many(sketches, i, j)
-    whole = (n[i] <= SKETCH) & (n[j] <= SKETCH)
-    sure = whole & _linked(common, n[i], n[j])
+    common = _common_many([np.frombuffer(s, np.uint64) for s in rows["shingles"]], i, j)
+    linked = _linked(common, n[i], n[j])
     parent = {int(r): int(r) for r in root}
 
     def find(r: int) -> int:
@@ -215,15 +211,12 @@ def compare_blocks(rows: pd.DataFrame) -> pd.DataFrame:
             parent[r] = r = parent[parent[r]]
         return r
 
-    out: list[tuple[int, int, bool]] = []
-    for p, q in zip(i[sure], j[sure], strict=True):
+    out: list[tuple[int, int]] = []
+    for p, q in zip(i[linked], j[linked], strict=True):
         if (r := find(int(root[p]))) != (s := find(int(root[q]))):
             parent[r] = s
-            out.append((int(g[p]), int(g[q]), True))
-    for p, q in zip(i[~whole], j[~whole], strict=True):
-        if find(int(root[p])) != find(int(root[q])) and _maybe(sketches[p], sketches[q]):
-            out.append((int(g[p]), int(g[q]), False))
-    return pd.DataFrame(out, columns=["u", "v", "sure"]).astype({"u": "int64", "v": "int64", "sure": "bool"})
+            out.append((int(g[p]), int(g[q])))
+    return pd.DataFrame(out, columns=["u", "v"]).astype({"u": "int64", "v": "int64"})
 
 
 def _common_many(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -243,27 +236,72 @@ def _common_many(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.nda
     return out
 
 
-def _maybe(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether the smallest hashes of the union leave a similarity of PERCENT possible, by five deviations."""
-    union = np.union1d(a, b)[:SKETCH]
-    share = np.isin(union, a, assume_unique=True) & np.isin(union, b, assume_unique=True)
-    least = PERCENT / 100
-    return bool(share.mean() >= least - 5 * (least * (1 - least) / len(union)) ** 0.5)
+def shared_keys(reps: DataFrame, work: Scratch) -> DataFrame:
+    """(key, g, n, size, lead, lead_n) of each key that several representatives have: how many they are, and the smallest with its n.
+
+    Ranges of (key, g) are counted each by its task; only the first and last key of a range can go on in another, and what
+    is counted of these, two numbers a range at most, is added up.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks()
+        key, g, n = (rows[c].to_numpy() for c in ("key", "g", "n"))
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.append(starts, len(key)))
+        size, lead = np.repeat(sizes, sizes), np.repeat(starts, sizes)
+        edge = (key == key[0]) | (key == key[-1])
+        stay = np.flatnonzero((size > 1) | edge)
+        for at in range(0, len(stay), 1 << 16):
+            k = stay[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[k], g[k], n[k], size[k], g[lead[k]], n[lead[k]], edge[k])], ["key", "g", "n", "size", "lead", "lead_n", "edge"])
+
+    schema = "key long, g long, n long, size long, lead long, lead_n long, edge boolean"
+    dealt = keyed(reps).repartitionByRange(partitions(reps.sparkSession), "key", "g").sortWithinPartitions("key", "g")
+    counted = work.table(dealt.mapInArrow(count, schema), "counted")
+    own = ["key", "g", "n", "size", "lead", "lead_n"]
+    cut = counted.filter("edge")
+    whole = cut.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("g", "n")).alias("least")).filter("size > 1")
+    # two keys for each of the session's shuffle partitions at most
+    mended = cut.select("key", "g", "n").join(F.broadcast(whole), "key").select("key", "g", "n", "size", F.col("least.g").alias("lead"), F.col("least.n").alias("lead_n"))
+    return counted.filter("NOT edge").select(*own).union(mended.select(*own))
+
+
+def blocked(rows: DataFrame) -> DataFrame:
+    """rows (key, g, n, root) with the block that each is in under its key: neighbours by size, so that blocks whose sizes are too far apart need not meet.
+
+    Ranges of (key, n, g) are numbered each by its task, and their numbers begin apart.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last, filled, block = TaskContext.get().partitionId() << 32, None, 0, 0
+        for batch in batches:
+            blocks_of = []
+            for key, n in zip(batch["key"].to_pylist(), batch["n"].to_pylist(), strict=True):
+                weight = max(n, BLOCK_HASHES // BLOCK)
+                if key != last or filled + weight > BLOCK_HASHES:
+                    last, filled, block = key, 0, block + 1
+                filled += weight
+                blocks_of.append(first + block)
+            yield batch.append_column("block", pa.array(blocks_of, pa.int64()))
+
+    dealt = rows.select("key", "g", "n", "root").repartitionByRange(partitions(rows.sparkSession), "key", "n", "g").sortWithinPartitions("key", "n", "g")
+    return dealt.mapInArrow(number, "key long, g long, n long, root long, block long")
 
 
 def crossing(many: DataFrame, roots: DataFrame, reps: DataFrame, sets: DataFrame, work: Scratch) -> DataFrame:
-    """(u, v, sure) of the keys of many texts: pairs from different components; see compare_blocks."""
+    """Links (u, v) of the keys of many texts between different components; see compare_blocks."""
     rows = many.select("key", "g", "n").join(roots.select(F.col("node").alias("g"), "root"), "g", "left").withColumn("root", F.coalesce("root", "g"))
     split = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
-    rows = rows.join(split, "key", "left_semi")
-    # by size, so that blocks whose sizes are too far apart need not meet
-    rows = work.table(rows.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("key").orderBy("n", "g")) - 1) / BLOCK).cast("int")), "rows")
+    rows = work.table(blocked(work.table(rows.join(split, "key", "left_semi"), "split")), "rows")
     spans = rows.groupBy("key", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    a, b = spans.select("key", F.col("block").alias("x"), "high"), spans.select("key", F.col("block").alias("y"), "low")
-    meet = a.join(b, "key").filter(f"x <= y AND 100 * high >= {PERCENT} * low").select("key", "x", "y")
+    a, b = spans.select("key", F.col("block").alias("x"), "low", "high"), spans.select("key", F.col("block").alias("y"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
+    meet = a.join(b, "key").filter(f"x <= y AND 100 * high >= {PERCENT} * other_low AND 100 * other_high >= {PERCENT} * low").select("key", "x", "y")
     meet = meet.select("key", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    payload = reps.select("g", "signature").join(sets.select("g", F.substring("shingles", 1, 8 * SKETCH).alias("sketch")), "g")
-    return rows.join(payload, "g").join(meet, ["key", "block"]).groupBy("key", "x", "y").applyInPandas(compare_blocks, "u long, v long, sure boolean")
+    payload = reps.select("g", "signature").join(sets, "g")
+    return rows.join(payload, "g").join(meet, ["key", "block"]).groupBy("key", "x", "y").applyInPandas(compare_blocks, "u long, v long")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -271,7 +309,8 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     Null text counts as empty; a text without words has an empty set, is linked with nothing and is kept. Rows
     with a null doc_id have a null component_id, link nothing and are not kept. Repeated rows get the same
-    values. Empty input gives no rows. Other columns are ignored.
+    values. A very long text is read whole; that takes about 60 bytes of a task's memory for each of its own. Empty input
+    gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     work = Scratch(spark, "near_dedup")
@@ -279,9 +318,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     rows = work.table(signed(docs), "signed")
     known = rows.filter("doc_id IS NOT NULL AND same IS NOT NULL")
     reps = work.table(known.groupBy(F.col("same").alias("g")).agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "reps")
-    own = Window.partitionBy("key")
-    keys = keyed(reps).withColumns({"size": F.count(F.lit(1)).over(own), "lead": F.min(F.struct("g", "n")).over(own)}).filter("size > 1")
-    keys = work.table(keys.select("key", "g", "n", "size", F.col("lead.g").alias("lead"), F.col("lead.n").alias("lead_n")), "keys")
+    keys = shared_keys(reps, work)
     many = keys.filter(F.col("size") > FEW)
     fits = f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)"
     few = keys.filter(F.col("size") <= FEW).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("g", "n"))).alias("l"))
@@ -294,8 +331,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     roots = work.table(components(links, work, "first"), "roots")
     found = work.table(crossing(many, roots, reps, sets, work), "found")
     if not found.isEmpty():
-        more = found.filter("sure").select("u", "v").union(confirmed(found.filter("NOT sure").select("u", "v").distinct(), sets))
-        roots = work.table(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more), work, "last"), "all_roots")
+        roots = work.table(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found), work, "last"), "all_roots")
+    work.drop("counted", "pairs", "sets", "links", "split", "rows", "found")  # what is returned reads none of these
     placed = reps.select("g", "id").join(roots.select(F.col("node").alias("g"), "root"), "g", "left").withColumn("root", F.coalesce("root", "g"))
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     of = placed.join(least, "root").select(F.col("g").alias("same"), "component_id")
@@ -313,8 +350,9 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
     Rows that share the doc_id that stays all stay; rows with a null doc_id go.
     """
-    stay = near_components(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.withColumn("__id", F.col("doc_id").cast("long")).join(stay, "__id", "left_semi").select(*docs.columns)
+    [key] = fresh_names(1)
+    stay = near_components(docs).filter("kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, F.col("doc_id").cast("long")).join(stay, key, "left_semi").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

@@ -532,7 +532,7 @@ def test_sum_index_finds_combinations_as_brute_force_does():
         for total in rng.integers(1, 61, 400).tolist():
             lengths = [x for x in range(1, 61) for _ in range(int(index.left[x]))]
             for k, find in ((1, index.single), (2, index.pair), (3, index.triple)):
-                    found = find(total)
+                found = find(total)
                 possible = any(sum(c) == total for c in itertools.combinations(lengths, k))
                 assert (found is not None) == possible and (found is None or (sum(found) == total and len(found) == k and index.times(found) > 0))
                 if found and rng.random() < 0.1:
