@@ -1,7 +1,7 @@
 """License scans by ordered signature rules with a keyword prefilter.
 
-Texts without a word of any anchor are passed over after one look at their bytes. Else the stretches of words
-around the anchors, met in words joined by single spaces, are read by every rule whose keyword stands there. A detection falls if another of a
+A text becomes lower-case words joined by single spaces. One automaton finds the keywords of all rules in it; texts
+without any are done. Else each rule is tried on the stretches of words around its keywords. A detection falls if another of a
 higher priority, or of the same and longer or earlier in the rules, contains its interval.
 """
 
@@ -11,28 +11,45 @@ import functools
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geolith.llm.kernels import ALNUM, blocks, joined, runs
-from geolith.llm.license_rules import Rule, rules
+from geolith.llm.kernels import ALNUM, blocks, runs
+from geolith.llm.license_rules import Rule, most_words, rules
 from geolith.llm.shared import documents, ready
 
 #: Phrases that are always counted, and their labels.
 BASE = {(b"mit", b"license"): "mit", (b"apache", b"license"): "apache", (b"general", b"public", b"license"): "gpl"}
-#: Every rule's match, as words joined by single spaces, has one of these in it.
-ANCHORS = ("licen", "ed under ", "able under ", "copyright", "permission", "redistribution", "neither the name", "advertising materials", "unencumbered", "warranty", "a beer", "not evil", "creativecommons", "c domain", "rights reserved", "and confidential", "unauthorized")
-#: Of these words, one of each anchor, a text must have one, whatever stands between its words.
-GATE = tuple(sorted({max(a.split(), key=len).encode() for a in ANCHORS}))
-#: Words on either side of an anchor that are read; no rule's match is as long.
-REACH = 48
+#: Bytes that stand in no word become spaces; the rest is lower case already.
+_WORDS = bytes(c if ALNUM[c] else 32 for c in range(256))
 
 
 @functools.cache
-def compiled() -> list[tuple[int, Rule, re.Pattern]]:
-    return [(k, rule, re.compile(rf"(?<!\S)(?:{rule.pattern})(?!\S)")) for k, rule in enumerate(rules())]
+def compiled() -> list[tuple[Rule, re.Pattern]]:
+    return [(rule, re.compile(rf"(?<!\S)(?:{rule.pattern})(?!\S)")) for rule in rules()]
+
+
+@functools.cache
+def reach() -> int:
+    """Words on either side of a keyword that are read: no match is longer."""
+    return max(most_words(rule.pattern) for rule, _ in compiled())
+
+
+@functools.cache
+def automaton() -> ahocorasick.Automaton:
+    """Finds the keywords; the value of each is its length and the numbers of the rules that have it."""
+    owners: dict[str, list[int]] = {}
+    for k, (rule, _) in enumerate(compiled()):
+        for word in rule.keywords:
+            owners.setdefault(word, []).append(k)
+    found = ahocorasick.Automaton()
+    for word, numbers in owners.items():
+        found.add_word(word, (len(word), numbers))
+    found.make_automaton()
+    return found
 
 
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
@@ -40,41 +57,35 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     return [(k + 1 - len(phrase), label) for k, word in enumerate(words) if word == b"license" for phrase, label in BASE.items() if k + 1 >= len(phrase) and tuple(words[k + 1 - len(phrase) : k + 1]) == phrase]
 
 
-def anchored(words: list[str]) -> list[int]:
-    """Words in which anchors begin."""
-    whole, found = " ".join(words), []
-    for anchor in ANCHORS:
-        at = whole.find(anchor)
-        while at >= 0:
-            found.append(at)
-            at = whole.find(anchor, at + 1)
-    if not found:
-        return []
-    begin = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
-    return (np.searchsorted(begin, found, side="right") - 1).tolist()
-
-
 def detect(words: list[bytes]) -> list[tuple[int, int, str, float, str]]:
     """(first word, end word, label, score, rule) of detections that stand, in order of place."""
-    text = [w.decode() for w in words]
+    whole = b" ".join(words).decode()
+    hits = [(end + 1 - size, numbers) for end, (size, numbers) in automaton().iter(whole)]
+    if not hits:
+        return []
+    around = reach()
+    begin = np.cumsum([0, *map(len, whole.split(" "))]) + np.arange(len(words) + 1)  # where each word begins, and where one more would
+    at = np.searchsorted(begin, [a for a, _ in hits], side="right") - 1
     near = np.zeros(len(words) + 1, np.int64)
-    for k in anchored(text):
-        near[max(k - REACH, 0)] += 1
-        near[min(k + REACH + 1, len(words))] -= 1
+    np.add.at(near, np.maximum(at - around, 0), 1)
+    np.add.at(near, np.minimum(at + around + 1, len(words)), -1)
+    starts, ends = runs(np.cumsum(near[:-1]) > 0)
+    tried: list[set[int]] = [set() for _ in starts]
+    for stretch, (_, numbers) in zip(np.searchsorted(starts, at, side="right") - 1, hits, strict=True):
+        tried[stretch].update(numbers)
     found: list[tuple[int, int, int, int, Rule]] = []
-    for first, end in zip(*runs(np.cumsum(near[:-1]) > 0), strict=True):
-        stretch = " ".join(text[first:end])
-        at = np.cumsum([0, *(len(w) + 1 for w in text[first:end])])
-        for k, rule, pattern in compiled():
-            if rule.keyword in stretch:
-                for m in pattern.finditer(stretch):
-                    a, b = np.searchsorted(at, (m.start(), m.end()))
-                    found.append((-rule.priority, int(a - b), k, int(first + a), rule))
+    for first, end, numbers in zip(starts, ends, tried, strict=True):
+        a, b = int(begin[first]), int(begin[end]) - 1
+        for k in numbers:
+            rule, pattern = compiled()[k]
+            for m in pattern.finditer(whole, a, b):
+                x, y = np.searchsorted(begin, (m.start(), m.end()))
+                found.append((-rule.priority, int(x - y), k, int(x), rule))
     kept: list[tuple[int, int, str, float, str]] = []
-    reaches: dict[int, int] = {}  # first word -> the last end of what stands there; no match is longer than REACH
+    reaches: dict[int, int] = {}  # first word -> the last end of what stands there
     for _, size, _, start, rule in sorted(found, key=lambda x: x[:4]):
         end = start - size
-        if all(reaches.get(a, -1) < end for a in range(start - REACH, start + 1)):
+        if all(reaches.get(a, -1) < end for a in range(start - around, start + 1)):
             kept.append((start, end, rule.label, rule.score, rule.name))
             reaches[start] = end
     return sorted(kept)
@@ -87,11 +98,9 @@ _ARROW = pa.schema([
 ])
 
 
-def scan(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple:
-    """The columns after doc_id and n_words of a lower-case text whose words stand at starts to ends."""
-    if not any(g in text for g in GATE):
-        return 0, None, None, "", "", 0.0, []
-    words = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+def scan(text: bytes) -> tuple:
+    """The columns after doc_id of a lower-case text."""
+    words = text.translate(_WORDS).split()
     base = base_places(words)
     detections = detect(words)
     names = {label for _, label in base}
@@ -99,7 +108,7 @@ def scan(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple:
     score = 1.0 - float(np.prod([1.0 - chance[label] for label in sorted(chance)]))
     places = [k for k, _ in base]
     rows = [dict(zip(("first_word", "end_word", "label", "score", "rule"), d, strict=True)) for d in detections]
-    return len(base), min(places, default=None), max(places, default=None), ",".join(sorted(names)), ",".join(sorted(names | set(chance))), score, rows
+    return len(words), len(base), min(places, default=None), max(places, default=None), ",".join(sorted(names)), ",".join(sorted(names | set(chance))), score, rows
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -107,7 +116,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
 
     Words are counted from 0, end_word is exclusive. score is 1 - prod(1 - s) over the labels' best detections.
     Null text counts as empty: no words, empty labels, score 0. Repeated and null doc_ids keep their rows.
-    Other columns are ignored.
+    A very long text is read whole. Other columns are ignored.
     """
     ready(docs.sparkSession)
 
@@ -116,10 +125,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             ids = batch["doc_id"].to_pylist()
             for first, texts in blocks(batch["text"]):
                 texts = [t.lower() for t in texts]  # of bytes: A-Z alone
-                data, begin, end = joined(texts)
-                starts, ends = runs(ALNUM[data])
-                lo, hi = np.searchsorted(starts, begin), np.searchsorted(starts, end)
-                rows = [(ids[first + k], int(b - a), *scan(texts[k], starts[a:b] - begin[k], ends[a:b] - begin[k])) for k, (a, b) in enumerate(zip(lo, hi, strict=True))]
+                rows = [(ids[first + k], *scan(text)) for k, text in enumerate(texts)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW.types, strict=True)], schema=_ARROW)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(read, OUTPUT)
