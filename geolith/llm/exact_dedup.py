@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from geolith.llm.shared import Scratch, bucketed_table, documents, fresh_names
+from geolith.llm.shared import BucketedTable, Scratch, documents, fresh_names
 
 #: Each of these characters, alone or in a row, counts as one space.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -22,19 +22,14 @@ def text_digest(text: F.Column) -> F.Column:
     return F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ").cast("binary"), 256)
 
 
-class DigestIndex:
-    """The bucketed table of digests: digest, doc_id of the row that stays. Survives the session under `path`."""
+class DigestIndex(BucketedTable):
+    """The bucketed table of digests: digest, keep_id of the row that stays. Survives the session under `path`.
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
-        self.spark = spark
-        self.name, self.buckets = bucketed_table(spark, path, "digest STRING, keep_id BIGINT", "digest", buckets)
-
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.name)
+    Each batch adds a file to each bucket, which costs a sort of the bucket when it is read; compact() makes them one again.
+    """
 
-    def append(self, new: DataFrame) -> None:
-        (new.select("digest", "keep_id").repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(self.name))
-        self.spark.catalog.refreshTable(self.name)
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+        super().__init__(spark, path, "digest STRING, keep_id BIGINT", "digest", buckets)
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex, salts: int = 64) -> DataFrame:
@@ -43,7 +38,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, salts: int = 64) -> DataFra
     keep_id is the indexed row's doc_id for texts seen in an earlier batch, else the smallest doc_id
     of the batch. group_size counts the batch's rows with the text. Null text counts as empty; null
     doc_ids sort last and are dropped duplicates of any other; a repeated row with the smallest doc_id
-    is kept each time, and so is a row that is fed again. Empty input gives no rows. Other columns are ignored.
+    is kept each time, and so is a row that is fed again. A very long text is one string to the functions used. Empty
+    input gives no rows. Other columns are ignored.
     A hot group is counted under (digest, salt of doc_id) before anything is keyed by digest alone.
     """
     spark = index.spark
@@ -57,7 +53,9 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, salts: int = 64) -> DataFra
         "parts",
     )
     groups = parts.filter("part = 1").select("digest", F.col("batch_id").alias("keep_id"))
-    index.append(work.table(groups.join(index.rows().hint("merge"), "digest", "left_anti"), "new"))
+    new = work.table(groups.join(index.rows().hint("merge"), "digest", "left_anti"), "new")
+    index.append(new.select("digest", "keep_id").repartition(index.buckets, "digest"))
+    work.drop("new")
     resolved = parts.drop("part", "batch_id").join(index.rows().hint("merge"), "digest")
     return (
         rows.join(resolved.hint("merge"), ["digest", "salt"])

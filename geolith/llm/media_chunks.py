@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm.kernels import blocks
-from geolith.llm.shared import Scratch, bucketed_table, documents, no_shuffle_files, ready
+from geolith.llm.shared import BucketedTable, Scratch, documents, ready
 
 #: Cuts are 2 ** BITS bytes apart on average, beyond LEAST.
 BITS, LEAST, MOST = 13, 2048, 65536
@@ -101,20 +101,16 @@ def _cut_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([c for t in texts for c in chunks(t) if len(c) > 64], pa.binary())], ["data"])
 
 
-class ChunkStore:
+class ChunkStore(BucketedTable):
     """The chunk table under `path`: digest, and data compressed by zstandard with the dictionary beside it.
 
     The dictionary is learned once, from DICTIONARY_CHUNKS chunks of as many documents, the first by a hash, and stays with the store.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
-        self.spark, self.path = spark, path
-        self.name, self.buckets = bucketed_table(spark, path, "digest BINARY, data BINARY", "digest", buckets, "uncompressed")
+        super().__init__(spark, path, "digest BINARY, data BINARY", "digest", buckets, "uncompressed")
         self.dictionary: bytes | None = None
 
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.name)
-
     def learn(self, docs: DataFrame) -> bytes:
         ready(self.spark)
         if self.dictionary is None:
@@ -132,8 +128,8 @@ class ChunkStore:
                 self.dictionary = trained
         return self.dictionary
 
-    def append(self, docs: DataFrame) -> None:
-        """Writes the chunks that the store does not hold yet."""
+    def add(self, docs: DataFrame) -> None:
+        """Writes the chunks of the texts that the store does not hold yet."""
         trained = self.learn(docs)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,9 +145,7 @@ class ChunkStore:
         # dealt out once, as the table's buckets are: the anti-join, the removal of copies and the write need no more
         dealt = docs.select("text").mapInArrow(cut, "digest binary, data binary").repartition(self.buckets, "digest")
         new = dealt.join(self.rows().select("digest").hint("merge"), "digest", "left_anti").dropDuplicates(["digest"])
-        with no_shuffle_files(self.spark):
-            new.sortWithinPartitions("digest").write.insertInto(self.name)
-        self.spark.catalog.refreshTable(self.name)
+        self.append(new)
 
 
 def media_lists(docs: DataFrame) -> DataFrame:
@@ -241,7 +235,7 @@ def media_columns(docs: DataFrame, store: ChunkStore) -> DataFrame:
     input gives no rows. Other columns are ignored.
     """
     work = Scratch(store.spark, "media_columns")
-    store.append(docs)
+    store.add(docs)
     lists = work.table(media_lists(docs), "lists")
     media = lists.groupBy("medium").agg(F.first("digests").alias("digests"))
     features = work.table(read_media(media, store), "features")

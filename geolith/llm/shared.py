@@ -43,12 +43,39 @@ def no_shuffle_files(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Of each nested use of scratch_scope, the scratch folders made in it.
+_scopes: list[list[Scratch]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Removes the scratch folders that operators make meanwhile, once it is left.
+
+    Results are read from these folders when they are asked for: write what is wanted before leaving.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for work in _scopes.pop():
+            work.remove()
+
+
 class Scratch:
-    """Written Parquet tables of one operator call; they cut lineage and survive lost executors."""
+    """Written Parquet tables of one operator call; they cut lineage and survive lost executors.
+
+    They stay in the shared folder for as long as results may be read from them: until the scope that they are made in
+    is left, or remove() is called.
+    """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         ready(spark)
         self.spark, self.at = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        if _scopes:
+            _scopes[-1].append(self)
+
+    def remove(self) -> None:
+        self.drop("")
 
     def path(self, name: str) -> str:
         return f"{self.at}/{name}"
@@ -63,7 +90,7 @@ class Scratch:
         """Removes tables that nothing reads any more."""
         jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.at)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -80,20 +107,51 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def bucketed_table(spark: SparkSession, path: str, columns: str, key: str, buckets: int | None = None, compression: str = "zstd") -> tuple[str, int]:
-    """(name, buckets) of the table under `path`, bucketed and sorted by `key`, for this session.
+class BucketedTable:
+    """The table under `path`, bucketed and sorted by `key`, for this session.
 
     A new table gets as many buckets as asked for, or as the session has shuffle partitions. The number is
-    written beside the rows: a table that is there keeps its own, whatever later sessions ask for.
+    written beside the rows, with the number of the generation of rows that counts: a table that is there keeps its own
+    buckets, whatever later sessions ask for.
     """
-    at = f"{path}/buckets"
-    try:
-        buckets = spark.read.parquet(at).first()["buckets"]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        buckets = buckets or partitions(spark)
-        spark.createDataFrame([(buckets,)], "buckets int").write.parquet(at)
-    name = f"bucketed_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (compression '{compression}') CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}/rows'")
-    return name, buckets
+
+    def __init__(self, spark: SparkSession, path: str, columns: str, key: str, buckets: int | None = None, compression: str = "zstd") -> None:
+        self.spark, self.path, self.columns, self.key, self.compression = spark, path, columns, key, compression
+        try:
+            state = spark.read.parquet(f"{path}/buckets").orderBy("generation", ascending=False).first()
+            self.buckets, generation = state["buckets"], state["generation"]
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            self.buckets, generation = buckets or partitions(spark), 0
+            self._count(generation)
+        self._open(generation)
+
+    def _count(self, generation: int) -> None:
+        self.spark.createDataFrame([(self.buckets, generation)], "buckets int, generation int").write.mode("append").parquet(f"{self.path}/buckets")
+
+    def _open(self, generation: int) -> None:
+        self.generation, self.name = generation, f"bucketed_{uuid.uuid5(uuid.NAMESPACE_URL, self.path).hex}_{generation}"
+        options = f"OPTIONS (compression '{self.compression}') CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/rows-{generation}'"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.columns}) USING parquet {options}")
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def append(self, rows: DataFrame) -> None:
+        """Adds rows that are dealt out by the key over as many partitions as there are buckets: a file for each bucket."""
+        with no_shuffle_files(self.spark):
+            rows.sortWithinPartitions(self.key).write.insertInto(self.name)
+        self.spark.catalog.refreshTable(self.name)
+
+    def compact(self) -> None:
+        """Writes the rows anew, one sorted file a bucket, and lets them count once they are there; then the old ones go."""
+        old, before = self.generation, self.name
+        # read as plain files: a scan by buckets would make the exchange look needless
+        rows = self.spark.read.schema(self.rows().schema).parquet(f"{self.path}/rows-{old}").repartition(self.buckets, self.key)
+        self._open(old + 1)
+        self.append(rows)
+        self._count(self.generation)
+        self.spark.sql(f"DROP TABLE {before}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows-{old}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import itertools
+import os
 import random
 import re
 import time
@@ -16,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geolith.llm import components, exact_dedup, kernels, license_rules, license_scan, media_chunks, mixing, near_dedup, packing, quality, secret_scan, subwords, token_output, toxicity
-from geolith.llm.shared import Scratch
+from geolith.llm.shared import Scratch, scratch_scope
 
 
 def lower(text):
@@ -66,6 +67,29 @@ def test_an_index_keeps_its_buckets(spark, corpus):
     assert again.buckets == 3 and again.rows().count() == held == again.rows().select("digest").distinct().count()
 
 
+def test_a_compacted_index_has_one_file_a_bucket(spark, corpus):
+    path = Scratch(spark, "t").path("i")
+    index = exact_dedup.DigestIndex(spark, path, 2)
+    for part in ("doc_id < 40", "doc_id >= 40 AND doc_id < 80", "doc_id >= 80"):
+        exact_dedup.exact_dedup(corpus.filter(part), index)
+    before = sorted(map(tuple, index.rows().collect()))
+    assert index.rows().select(F.input_file_name()).distinct().count() > 2
+    index.compact()
+    for again in (index, exact_dedup.DigestIndex(spark, path)):
+        assert sorted(map(tuple, again.rows().collect())) == before and again.buckets == 2
+        assert again.rows().select(F.input_file_name()).distinct().count() == 2
+    assert exact_dedup.exact_dedup(corpus.filter("doc_id >= 80"), exact_dedup.DigestIndex(spark, path)).count() == corpus.filter("doc_id >= 80").count()
+
+
+def test_scratch_goes_with_its_scope(spark, corpus):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    with scratch_scope():
+        near_dedup.near_components(corpus).count()
+        inside = set(os.listdir(folder))
+    assert inside > before and set(os.listdir(folder)) == before
+
+
 def test_drop_exact_copies_keeps_columns(spark, corpus):
     kept = exact_dedup.drop_exact_copies(spark, corpus)
     assert kept.columns == corpus.columns
@@ -339,7 +363,8 @@ def test_media_round_trip(spark, corpus, empty):
         assert float(told["mean"]) == pytest.approx(mean, abs=1e-3) and float(told["rms"]) == pytest.approx(rms, abs=1e-3) and int(told["crossings"]) == crossings and told["seconds"] == f"{len(full) / 8000:.3f}"
     held = store.rows().count()
     assert held == store.rows().select("digest").distinct().count()
-    store.append(corpus)
+    store.add(corpus)
+    store.compact()
     assert store.rows().count() == held
     assert media_chunks.media_columns(empty, media_chunks.ChunkStore(spark, Scratch(spark, "t").path("store"), 4)).count() == 0
 

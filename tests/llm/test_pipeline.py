@@ -1,7 +1,11 @@
 """The registered queries on the smallest tables, and the pipeline stage by stage."""
 
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -54,6 +58,35 @@ def test_run_is_the_stages(spark, stages):
     assert sorted(map(tuple, got)) == sorted(map(tuple, stages[4][1].select(columns).collect()))
 
 
+@pytest.fixture(scope="module")
+def hard(spark):
+    """Rows with nulls, empty and repeated texts and rows, and columns whose names operators might use."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", "doc_id AS __id", "'x' AS __digest", "1 AS __n", "text AS ids", "'y' AS digest", "doc_id AS `key`", "0.5D AS score")
+    some = rows.limit(40)
+    return rows.union(some).union(some.withColumn("doc_id", F.lit(None).cast("long"))).union(some.withColumn("text", F.lit(None).cast("string"))).union(some.withColumn("lang", F.lit(None).cast("string")).withColumn("text", F.lit("")))
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_stages_on_hard_rows(spark, hard, k):
+    stage = corpus_pipeline.STAGES[k][1]
+    got = stage(spark, hard, SF)
+    assert got.schema == hard.schema
+    kept, whole = Counter(map(tuple, got.collect())), Counter(map(tuple, hard.collect()))
+    assert kept and all(n <= whole[row] for row, n in kept.items())  # rows stay as they are
+    if k == 1:
+        texts = [re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "") for r in got.collect()]
+        assert len(texts) == len(set(texts)) == len({re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or "") for r in hard.collect()})
+    assert stage(spark, hard.filter("false"), SF).count() == 0
+
+
+def test_packing_stage_on_hard_rows(spark, hard):
+    stage = corpus_pipeline.STAGES[4][1]
+    got = stage(spark, hard, SF).groupBy("doc_id").agg(F.sum((F.col("piece") == 0).cast("int")).alias("n"))
+    want = hard.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert stage(spark, hard.filter("false"), SF).count() == 0
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, name):
     assert name in entry.queries()
