@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolith.llm import exact_dedup, mixing, near_dedup, packing, quality
-from geolith.llm.shared import Scratch, documents
+from geolith.llm.shared import Scratch, documents, scratch_scope
 
 #: Target weights of the languages' tokens, near what the corpus has; no document is repeated.
 WEIGHTS = {"de": 0.15, "en": 0.6, "es": 0.1, "fr": 0.15}
@@ -52,10 +52,18 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Between stages one written table is kept, and nothing else that stages wrote.
+
+    Null and empty texts go through all stages as empty ones; rows with a null doc_id end with the near-copies stage; repeated rows
+    become one in the exact-copies stage. Further columns of documents stay until the last stage. An empty table gives no rows.
+    """
     docs = documents(spark, sf_dir)
     work = Scratch(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        docs = work.table(stage(spark, docs, sf_dir), f"stage-{k}")
+        with scratch_scope():
+            docs = work.table(stage(spark, docs, sf_dir), f"stage-{k}")
+        if k:
+            work.drop(f"stage-{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
