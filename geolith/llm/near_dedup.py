@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geolith.llm.components import components
 from geolith.llm.kernels import LOWER, SPACE, Hashes, blocks, joined, mixed, runs
@@ -269,33 +270,50 @@ def shared_keys(reps: DataFrame, work: Scratch) -> DataFrame:
     return counted.filter("NOT edge").select(*own).union(mended.select(*own))
 
 
-def blocked(rows: DataFrame) -> DataFrame:
-    """rows (key, g, n, root) with the block that each is in under its key: neighbours by size, so that blocks whose sizes are too far apart need not meet.
+def blocked(rows: DataFrame, work: Scratch) -> DataFrame:
+    """rows (key, g, n, root) of the keys with several roots, and the block that each is in under its key.
 
-    Ranges of (key, n, g) are numbered each by its task, and their numbers begin apart.
+    Blocks hold neighbours by size, so that those whose sizes are too far apart need not meet. Ranges of (key, n, g) are gone
+    through each by its task; what comes before the first key of a range, and the roots that the first and last key have in
+    others, two rows a range at most, are put together.
     """
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, last, filled, block = TaskContext.get().partitionId() << 32, None, 0, 0
-        for batch in batches:
-            blocks_of = []
-            for key, n in zip(batch["key"].to_pylist(), batch["n"].to_pylist(), strict=True):
-                weight = max(n, BLOCK_HASHES // BLOCK)
-                if key != last or filled + weight > BLOCK_HASHES:
-                    last, filled, block = key, 0, block + 1
-                filled += weight
-                blocks_of.append(first + block)
-            yield batch.append_column("block", pa.array(blocks_of, pa.int64()))
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table, part = pa.Table.from_batches(held).combine_chunks(), TaskContext.get().partitionId()
+        key, g, n, root = (table[c].to_numpy() for c in ("key", "g", "n", "root"))
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.append(starts, len(key)))
+        weight = np.maximum(n, BLOCK_HASHES // BLOCK)
+        before = np.cumsum(weight) - weight
+        before -= np.repeat(before[starts], sizes)
+        low, high = (np.repeat(f.reduceat(root, starts), sizes) for f in (np.minimum, np.maximum))
+        edge = (key == key[0]) | (key == key[-1])
+        stay = np.flatnonzero(edge | (low != high))
+        for at in range(0, len(stay), 1 << 16):
+            k = stay[at : at + (1 << 16)]
+            columns = [key[k], g[k], n[k], root[k], before[k], before[k] + weight[k], low[k], high[k], edge[k], np.full(len(k), part, np.int32)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["key", "g", "n", "root", "before", "filled", "low", "high", "edge", "part"])
 
+    schema = "key long, g long, n long, root long, before long, filled long, low long, high long, edge boolean, part int"
     dealt = rows.select("key", "g", "n", "root").repartitionByRange(partitions(rows.sparkSession), "key", "n", "g").sortWithinPartitions("key", "n", "g")
-    return dealt.mapInArrow(number, "key long, g long, n long, root long, block long")
+    numbered = work.table(dealt.mapInArrow(number, schema), "numbered")
+    whole = Window.partitionBy("key")
+    ends = numbered.filter("edge").groupBy("key", "part").agg(F.max("filled").alias("filled"), F.min("low").alias("low"), F.max("high").alias("high"))
+    ends = ends.select("key", "part", F.min("low").over(whole).alias("low"), F.max("high").over(whole).alias("high"), (F.sum("filled").over(whole.orderBy("part")) - F.col("filled")).alias("offset"))
+    # two rows for each of the session's shuffle partitions at most
+    mended = numbered.filter("edge").drop("low", "high").join(F.broadcast(ends.filter("low <> high").drop("low", "high")), ["key", "part"])
+    placed = numbered.filter("NOT edge").withColumn("offset", F.lit(0).cast("long"))
+    own = ["key", "g", "n", "root", F.floor((F.col("offset") + F.col("before")) / BLOCK_HASHES).cast("long").alias("block")]
+    return placed.select(*own).union(mended.select(*own))
 
 
 def crossing(many: DataFrame, roots: DataFrame, reps: DataFrame, sets: DataFrame, work: Scratch) -> DataFrame:
     """Links (u, v) of the keys of many texts between different components; see compare_blocks."""
     rows = many.select("key", "g", "n").join(roots.select(F.col("node").alias("g"), "root"), "g", "left").withColumn("root", F.coalesce("root", "g"))
-    split = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
-    rows = work.table(blocked(work.table(rows.join(split, "key", "left_semi"), "split")), "rows")
+    rows = work.table(blocked(work.table(rows, "split"), work), "rows")
     spans = rows.groupBy("key", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = spans.select("key", F.col("block").alias("x"), "low", "high"), spans.select("key", F.col("block").alias("y"), F.col("low").alias("other_low"), F.col("high").alias("other_high"))
     meet = a.join(b, "key").filter(f"x <= y AND 100 * high >= {PERCENT} * other_low AND 100 * other_high >= {PERCENT} * low").select("key", "x", "y")
@@ -332,7 +350,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     found = work.table(crossing(many, roots, reps, sets, work), "found")
     if not found.isEmpty():
         roots = work.table(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found), work, "last"), "all_roots")
-    work.drop("counted", "pairs", "sets", "links", "split", "rows", "found")  # what is returned reads none of these
+    work.drop("counted", "pairs", "sets", "links", "split", "numbered", "rows", "found")  # what is returned reads none of these
     placed = reps.select("g", "id").join(roots.select(F.col("node").alias("g"), "root"), "g", "left").withColumn("root", F.coalesce("root", "g"))
     least = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     of = placed.join(least, "root").select(F.col("g").alias("same"), "component_id")
