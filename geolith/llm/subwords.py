@@ -9,12 +9,13 @@ of class scores for each bucket, of a size that `bits` fixes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,7 +59,7 @@ class Features:
         return total / np.maximum(self.n, 1).reshape(-1, *[1] * (table.ndim - 1))
 
     def counts(self, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Text k's distinct buckets and how often each occurs, over the number of its features.
+        """Text k's distinct buckets and how often each occurs.
 
         Of more than `most` distinct buckets of the whole text, those stay that a hash puts first, the same ones for all texts.
         """
@@ -66,23 +67,34 @@ class Features:
         if len(buckets) > most:
             stay = np.sort(np.argsort(mixed(buckets.astype(np.uint64) + np.uint64(1)), kind="stable")[:most])
             buckets, n = buckets[stay], n[stay]
-        return buckets.astype(np.int32), (n / max(int(self.n[k]), 1)).astype(np.float32)
+        return buckets.astype(np.int64), n
 
 
-def learn(rows: list[tuple[int, np.ndarray, np.ndarray]], n_classes: int, settings: Settings) -> np.ndarray:
-    """The table of class scores (buckets x classes) from rows of (class, buckets, weights).
+def packed(buckets: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending buckets and their counts in a few bytes each, for the way to the driver."""
+    raw = np.concatenate([np.diff(buckets, prepend=0), n]).astype("<u4")
+    return zstandard.compress(np.ascontiguousarray(raw.view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+
+
+def unpacked(data: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(raw[: len(raw) // 2], dtype=np.int64), raw[len(raw) // 2 :]
+
+
+def learn(labels: np.ndarray, features: Callable[[int], tuple[np.ndarray, np.ndarray]], n_classes: int, settings: Settings) -> np.ndarray:
+    """The table of class scores (buckets x classes) from each row's class, and its buckets and their shares.
 
     Classes weigh alike whatever their number of rows; without rows all scores are 0.
     """
     rng = np.random.Generator(np.random.PCG64(settings.seed))
     vectors = rng.uniform(-1, 1, (1 << settings.bits, settings.dim)) / settings.dim
     outputs = np.zeros((settings.dim, n_classes))
-    if not rows:
+    if not len(labels):
         return vectors @ outputs
-    weight = len(rows) / n_classes / np.maximum(np.bincount([c for c, _, _ in rows], minlength=n_classes), 1)
-    steps = settings.epochs * len(rows)
-    for step, k in enumerate(np.concatenate([rng.permutation(len(rows)) for _ in range(settings.epochs)])):
-        label, buckets, shares = rows[k]
+    weight = len(labels) / n_classes / np.maximum(np.bincount(labels, minlength=n_classes), 1)
+    steps = settings.epochs * len(labels)
+    for step, k in enumerate(np.concatenate([rng.permutation(len(labels)) for _ in range(settings.epochs)])):
+        label, (buckets, shares) = labels[k], features(int(k))
         if not len(buckets):
             continue
         mean = shares @ vectors[buckets]
@@ -134,14 +146,20 @@ def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settin
                 each = [features.counts(k, settings.sample_buckets) for k in range(len(texts))]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(ids[first : first + len(texts)], pa.int64()), "label": pa.array(labels[first : first + len(texts)], pa.int32()),
-                    "buckets": pa.array([b.tobytes() for b, _ in each], pa.binary()), "shares": pa.array([s.tobytes() for _, s in each], pa.binary()),
+                    "n": pa.array(features.n, pa.int64()), "features": pa.array([packed(*e) for e in each], pa.binary()),
                 })
 
     chosen = sampled(labelled.select("doc_id", F.col("label").cast("int").alias("label")), n_classes, settings.sample_per_class)
-    rows = teaching(docs, chosen, settings.sample_bytes).mapInArrow(featurise, "doc_id long, label int, buckets binary, shares binary")
-    table = rows.toArrow().sort_by("doc_id")
-    found = [(c.as_py(), np.frombuffer(b.as_buffer(), np.int32), np.frombuffer(s.as_buffer(), np.float32)) for c, b, s in zip(table["label"], table["buckets"], table["shares"], strict=True)]
-    return learn(found, n_classes, settings)
+    rows = teaching(docs, chosen, settings.sample_bytes).mapInArrow(featurise, "doc_id long, label int, n long, features binary")
+    table = rows.toArrow().combine_chunks()
+    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
+    n, held = table["n"].to_numpy(), table["features"]
+
+    def features(k: int) -> tuple[np.ndarray, np.ndarray]:
+        buckets, times = unpacked(held[int(order[k])].as_buffer())
+        return buckets, (times / max(int(n[order[k]]), 1)).astype(np.float32)
+
+    return learn(table["label"].to_numpy()[order], features, n_classes, settings)
 
 
 def class_scores(texts: list[bytes], table: np.ndarray, settings: Settings) -> np.ndarray:
