@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Words beyond this many make a worker's cache start anew; longer words are not kept.
-CACHE_WORDS, CACHE_CHARS = 800_000, 48
+CACHE_WORDS, CACHE_CHARS = 250_000, 48
 
 #: A space after other white space; with \x85 and the separators that Python and the library count alike or not.
 _RUN = re.compile(r"[^\S\x20]\x20")
