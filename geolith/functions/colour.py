@@ -25,5 +25,31 @@ def moved(x: Column, mean: Column, spread: Column, to_mean: Column, to_spread: C
     return F.try_divide(x - mean, F.nullif(spread, F.lit(0.0))) * to_spread + to_mean
 
 
+def _root(a: Column, b: Column, d: Column) -> tuple[Column, Column, Column]:
+    """Root of the symmetric positive matrix (a, b; b, d)."""
+    det = F.sqrt(a * d - b * b)
+    tau = F.sqrt(a + d + det * 2)
+    return (a + det) / tau, b / tau, (d + det) / tau
+
+
+def _around(m: tuple[Column, Column, Column], s: tuple[Column, Column, Column]) -> tuple[Column, Column, Column]:
+    """m s m, of symmetric matrices."""
+    (a, b, d), (p, q, r) = m, s
+    return a * (a * p + b * q) + b * (a * q + b * r), a * (b * p + d * q) + b * (b * q + d * r), b * (b * p + d * q) + d * (b * q + d * r)
+
+
+def transport(a: Column, b: Column, d: Column, ta: Column, tb: Column, td: Column) -> tuple[Column, Column, Column]:
+    """The symmetric matrix that takes the covariance (a, b; b, d) to (ta, tb; tb, td) and moves least."""
+    h = _root(a, b, d)
+    det = h[0] * h[2] - h[1] * h[1]
+    return _around((h[2] / det, -h[1] / det, h[0] / det), _root(*_around(h, (ta, tb, td))))
+
+
+def roof_score(r: Column, g: Column, b: Column) -> Column:
+    """How much a colour looks like a roof: bright and not green."""
+    unit = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
+    return unit(unit((r + g + b) / 3.0) * unit(F.lit(0.15) - (g - (r + b) / 2.0)) * 6.0)
+
+
 def blend(base: Column, over: Column, alpha: Column) -> Column:
     return over * alpha + base * (F.lit(1.0) - alpha)

@@ -64,6 +64,35 @@ def utm_forward(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
     return F.lit(FALSE_EAST) + F.lit(SCALE * radius) * east, F.lit(SCALE * radius) * north
 
 
+def inverse_series() -> list[float]:
+    """Fixed values of the inverse transverse Mercator series, to the sixth order of the third flattening."""
+    n = FLATTENING / (2 - FLATTENING)
+    return [
+        n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360 - 81 * n**5 / 512 + 96199 * n**6 / 604800,
+        n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440 + 46 * n**5 / 105 - 1118711 * n**6 / 3870720,
+        17 * n**3 / 480 - 37 * n**4 / 840 - 209 * n**5 / 4480 + 5569 * n**6 / 90720,
+        4397 * n**4 / 161280 - 11 * n**5 / 504 - 830251 * n**6 / 7257600,
+        4583 * n**5 / 161280 - 108847 * n**6 / 3991680,
+        20648693 * n**6 / 638668800,
+    ]
+
+
+def utm_inverse(e: Column, n: Column, zone: int) -> tuple[Column, Column]:
+    """Longitude and latitude of UTM coordinates on the northern hemisphere."""
+    radius, ecc, _ = third_flattening()
+    x, y = n / F.lit(SCALE * radius), (e - FALSE_EAST) / F.lit(SCALE * radius)
+    xi, eta = x, y
+    for j, b in enumerate(inverse_series(), 1):
+        xi = xi - F.lit(b) * F.sin(x * (2.0 * j)) * F.cosh(y * (2.0 * j))
+        eta = eta - F.lit(b) * F.cos(x * (2.0 * j)) * F.sinh(y * (2.0 * j))
+    t = F.sin(xi) / F.sqrt(F.sinh(eta) * F.sinh(eta) + F.cos(xi) * F.cos(xi))
+    conformal = F.asinh(t)
+    q = conformal
+    for _ in range(5):
+        q = conformal + F.lit(ecc) * F.atanh(F.lit(ecc) * F.tanh(q))
+    return F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + F.lit(6.0 * zone - 183.0), F.degrees(F.atan(F.sinh(q)))
+
+
 def slippy_tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
     """Web map tile that holds a point."""
     n = float(1 << zoom)

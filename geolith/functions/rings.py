@@ -82,6 +82,24 @@ def distance_to_segment(x: Column, y: Column, ax: Column, ay: Column, bx: Column
     return F.hypot(x - ax - t * dx, y - ay - t * dy)
 
 
+def clipped_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """The part of a ring inside a box, cut by one side of it after the other; several parts stay joined along the sides."""
+    sides = F.array(*[F.struct(F.lit(axis).alias("axis"), bound.cast("double").alias("bound"), F.lit(sign).alias("sign")) for axis, bound, sign in (("x", x0, 1.0), ("x", x1, -1.0), ("y", y0, 1.0), ("y", y1, -1.0))])
+
+    def cut(held: Column, side: Column) -> Column:
+        beyond = lambda p: (F.when(side["axis"] == "x", p["x"]).otherwise(p["y"]) - side["bound"]) * side["sign"]
+
+        def kept(e: Column) -> Column:
+            p, q, here, there = e["a"], e["b"], beyond(e["a"]), beyond(e["b"])
+            t = F.coalesce(F.try_divide(here, here - there), F.lit(0.0))
+            at = point(p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"]))
+            return F.filter(F.array(F.when(here >= 0, point(p["x"], p["y"])), F.when((here >= 0) != (there >= 0), at)), lambda v: v.isNotNull())
+
+        return F.flatten(F.transform(edges(held), kept))
+
+    return F.aggregate(sides, ring, cut)
+
+
 def clipped_length(ax: Column, ay: Column, bx: Column, by: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Length of a segment inside a box, by the parameters at which it passes the sides."""
     dx, dy = bx - ax, by - ay

@@ -12,6 +12,13 @@ def _cell(value: Column, size: float) -> Column:
     return F.floor(value / size).cast("long")
 
 
+def cells_of_box(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
+    """(cx, cy) of each grid cell that a box reaches into."""
+    across = F.sequence(_cell(x0, size), _cell(x1, size))
+    up = F.sequence(_cell(y0, size), _cell(y1, size))
+    return F.flatten(F.transform(across, lambda i: F.transform(up, lambda j: F.struct(i.alias("cx"), j.alias("cy")))))
+
+
 def near_pairs(left: DataFrame, right: DataFrame, reach: float) -> DataFrame:
     """Rows of left (x, y) with rows of right (x, y, ...) at most `reach` away on either axis: a square, not a circle.
 

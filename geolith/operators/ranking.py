@@ -12,7 +12,40 @@ def first_of(rows: DataFrame, by: list[Column | str], order: list[Column | str])
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
-def exclusive_sum(value: str, by: str, order: str) -> Column:
+def numbered(rows: DataFrame, by: list[str], bucket: Column, order: list[Column | str], name: str) -> DataFrame:
+    """rows with their number from 1 within the key, by `order`.
+
+    bucket never falls along the order: rows are numbered within each (key, bucket), after the counts of those before, so that
+    a key of many rows is no one task's.
+    """
+    parts = rows.withColumn("_b", bucket)
+    before = exclusive_sum("_c", by, "_b")
+    counts = parts.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c")).select(*[F.col(c).alias(f"_k{k}") for k, c in enumerate([*by, "_b"])], before.alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*order))
+    same = [F.col(c).eqNullSafe(F.col(f"_k{k}")) for k, c in enumerate([*by, "_b"])]
+    return parts.withColumn("_n", own).join(counts, same).select(*rows.columns, (F.col("_before") + F.col("_n")).alias(name))
+
+
+def percentiles(rows: DataFrame, by: str, value: str, shares: list[float], width: float) -> DataFrame:
+    """(by, p): the exact percentiles of the values of each key, with straight lines between neighbours.
+
+    Equal values are counted first, and those counts added up over buckets of values `width` wide, so that no key's values meet in one task.
+    """
+    counts = rows.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", F.floor(F.col(value) / width))
+    totals = counts.groupBy(by, "_b").agg(F.sum("_c").alias("_s"))
+    ahead = totals.select(by, "_b", exclusive_sum("_s", by, "_b").alias("_ahead"), F.sum("_s").over(Window.partitionBy(by)).alias("_all"))
+    within = F.sum("_c").over(Window.partitionBy(by, "_b").orderBy(value))
+    d = counts.withColumn("_end", within).join(ahead, [by, "_b"]).withColumn("_end", F.col("_ahead") + F.col("_end")).withColumn("_start", F.col("_end") - F.col("_c"))
+    found = []
+    for k, share in enumerate(shares):
+        place = (F.col("_all") - 1) * F.lit(share)
+        at = lambda place: F.max(F.when((F.col("_start") <= place) & (place < F.col("_end")), F.col(value)))
+        low, high, part = at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
+        found.append((low + (high - low) * part).alias(f"_p{k}"))
+    return d.groupBy(by).agg(*found).select(by, F.array(*[f"_p{k}" for k in range(len(shares))]).alias("p"))
+
+
+def exclusive_sum(value: str, by: str | list[str], order: str) -> Column:
     """Sum of the values before a row: offsets in a pool."""
     return F.coalesce(F.sum(value).over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 

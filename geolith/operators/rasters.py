@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from geolith.functions import rings
+
 #: Cross element: the cell and its four neighbours.
 CROSS = ((0, 0), (-1, 0), (1, 0), (0, -1), (0, 1))
 AROUND = tuple((a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0))
@@ -19,12 +23,13 @@ def pooled(raster: DataFrame, size: int) -> DataFrame:
 def _slope_along(axis: str, across: str, step: float) -> Column:
     """Central difference; one-sided at the border."""
     w = Window.partitionBy(across).orderBy(axis)
-    after, before = F.lead("z").over(w), F.lag("z").over(w)
+    beside = lambda move, gap: F.when(F.abs(move(axis).over(w) - F.col(axis)) == gap, move("z").over(w))
+    after, before = beside(F.lead, 1), beside(F.lag, 1)
     return F.coalesce((after - before) / (2 * step), (after - F.col("z")) / step, (F.col("z") - before) / step, F.lit(0.0))
 
 
 def gradient(raster: DataFrame, step: float = 1.0) -> DataFrame:
-    """Adds gx (along columns) and gy (along rows). Cells of a row or column must be gapless."""
+    """Adds gx (along columns) and gy (along rows). Where a neighbour is missing, the slope is one-sided; without both it is 0."""
     return raster.withColumns({"gx": _slope_along("j", "i", step), "gy": _slope_along("i", "j", step)})
 
 
@@ -99,11 +104,40 @@ def anti_transposed(raster: DataFrame, size: int) -> DataFrame:
     return raster.select((F.lit(size - 1) - F.col("j")).alias("i"), (F.lit(size - 1) - F.col("i")).alias("j"), "z")
 
 
+def painted_lines(lines: DataFrame, height: int, width: int, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
+    """The columns of lines (ax, ay, bx, ey, w) with (i, j) of each cell of side 1 whose centre lies within w / 2 of the line.
+
+    A line meets the cells of its own box alone.
+    """
+    half = F.col("w") / 2
+    span = lambda a, b, start, n: F.sequence(F.greatest(F.floor(F.least(a, b) - half - start).cast("int"), F.lit(0)), F.least(F.floor(F.greatest(a, b) + half - start).cast("int"), F.lit(n - 1)))
+    on = (F.greatest("ax", "bx") + half >= x0) & (F.least("ax", "bx") - half < x0 + width) & (F.greatest("ay", "ey") + half >= y0) & (F.least("ay", "ey") - half < y0 + height)
+    cells = lines.filter(on).withColumn("j", F.explode(span("ax", "bx", x0, width))).withColumn("i", F.explode(span("ay", "ey", y0, height)))
+    near = rings.distance_to_segment(F.col("j") + (0.5 + x0), F.col("i") + (0.5 + y0), F.col("ax"), F.col("ay"), F.col("bx"), F.col("ey")) <= half
+    return cells.filter(near)
+
+
+def painted_polygons(shapes: DataFrame, order: str, height: int, width: int) -> DataFrame:
+    """(i, j, lit, top) of each cell with its centre in a polygon (outer, holes): whether the last one by `order` has it outside of its holes, and which that is.
+
+    A polygon meets the cells of its own box alone; what lies over what is one aggregate.
+    """
+    least = lambda axis: F.array_min(F.transform("outer", lambda p: p[axis]))
+    most = lambda axis: F.array_max(F.transform("outer", lambda p: p[axis]))
+    boxed = shapes.select("*", *[f(axis).alias(f"{name}_{axis}") for name, f in (("least", least), ("most", most)) for axis in "xy"])
+    boxed = boxed.filter((F.col("most_x") >= 0) & (F.col("least_x") < width) & (F.col("most_y") >= 0) & (F.col("least_y") < height))
+    span = lambda axis, n: F.explode(F.sequence(F.greatest(F.floor(f"least_{axis}").cast("int"), F.lit(0)), F.least(F.floor(f"most_{axis}").cast("int"), F.lit(n - 1))))
+    cells = boxed.withColumn("j", span("x", width)).withColumn("i", span("y", height))
+    x, y = F.col("j") + 0.5, F.col("i") + 0.5
+    held = cells.filter(rings.contains(F.col("outer"), x, y)).withColumn("lit", ~F.exists("holes", lambda h: rings.contains(h, x, y)))
+    return held.groupBy("i", "j").agg(F.max(F.struct(F.col(order).alias("top"), "lit")).alias("m")).select("i", "j", "m.lit", "m.top")
+
+
 def distances(mask: DataFrame, height: int, width: int) -> DataFrame:
     """(i, j, d2): squared distance of each of height x width cells to the nearest cell of the mask; none if it is empty.
 
-    First the nearest mask cell of the same column, by windows; then the least over the columns of the row, of
-    which there are `width`.
+    First the nearest mask cell of the same column, by windows; then each row's columns as parabolas, whose lower
+    envelope gives the least over all columns in time linear in the row.
     """
     number = mask.sparkSession.range(height * width)
     cells = number.select(F.floor(F.col("id") / width).cast("int").alias("i"), (F.col("id") % width).cast("int").alias("j"))
@@ -112,8 +146,23 @@ def distances(mask: DataFrame, height: int, width: int) -> DataFrame:
     above = F.last("at", ignorenulls=True).over(column)
     below = F.first("at", ignorenulls=True).over(column.rowsBetween(0, Window.unboundedFollowing))
     near = hit.withColumn("g", F.least(F.col("i") - above, below - F.col("i"))).filter("g IS NOT NULL").select("i", F.col("j").alias("k"), "g")
-    steps = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("j")
-    return near.select("i", "k", "g", steps).groupBy("i", "j").agg(F.min((F.col("j") - F.col("k")) * (F.col("j") - F.col("k")) + F.col("g") * F.col("g")).alias("d2"))
+
+    def envelope(row: pd.DataFrame) -> pd.DataFrame:
+        row = row.sort_values("k")
+        k, f = row["k"].to_numpy(np.float64), row["g"].to_numpy(np.float64) ** 2
+        owners, starts = [0], [-np.inf]  # parabolas of the envelope, and from where each is lowest
+        for q in range(1, len(k)):
+            meet = lambda p, q=q: ((f[q] + k[q] ** 2) - (f[p] + k[p] ** 2)) / (2 * (k[q] - k[p]))
+            while (x := meet(owners[-1])) <= starts[-1]:
+                owners.pop()
+                starts.pop()
+            owners.append(q)
+            starts.append(x)
+        j = np.arange(width)
+        own = np.array(owners)[np.searchsorted(starts, j, side="right") - 1]
+        return pd.DataFrame({"i": np.int32(row["i"].iloc[0]), "j": j.astype(np.int32), "d2": ((j - k[own]) ** 2 + f[own]).astype(np.int64)})
+
+    return near.groupBy("i").applyInPandas(envelope, "i int, j int, d2 long")
 
 
 def best_shift(left: DataFrame, right: DataFrame, reach: int) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geolith.functions import geo
 from geolith.operators import rasters as R
+from geolith.operators.ranking import numbered, percentiles
 from geolith.plans.registry import Registry
 from geolith.plans.tables import POINTS_SQL, RASTER_SQL, event_raster, table, vector_points
 from geolith.plans.vectors import PLACES_SQL, supplier_places
@@ -61,8 +61,9 @@ def q_largest_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {POINTS_SQL}, a AS (SELECT src, vec_id, atan2(y, x) AS a FROM points) SELECT src, vec_id, CAST(row_number() OVER (PARTITION BY src ORDER BY a, vec_id) AS INT) AS place FROM a
 """)
 def q_angular_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("src").orderBy(F.atan2("y", "x"), "vec_id"))
-    return vector_points(spark, sf_dir).select("src", "vec_id", place.alias("place"))
+    p = vector_points(spark, sf_dir).withColumn("a", F.atan2("y", "x"))
+    sector = F.floor(F.col("a") * (1024 / 3.141592653589793))
+    return numbered(p.select("src", "vec_id", "a"), ["src"], sector, ["a", "vec_id"], "place").select("src", "vec_id", F.col("place").cast("int").alias("place"))
 
 
 @query(f"""
@@ -118,7 +119,10 @@ SELECT src, round(mx, 6) AS mx, round(my, 6) AS my, round(wx, 6) AS wx, round(wy
 def q_alignment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median and weighted mean of shifts of each source, and whether its anchor should move."""
     w = F.abs("x") + 0.1
-    r = vector_points(spark, sf_dir).groupBy("src").agg(F.median("x").alias("mx"), F.median("y").alias("my"), (F.sum(w * F.col("x")) / F.sum(w)).alias("wx"), (F.sum(w * F.col("y")) / F.sum(w)).alias("wy"))
+    p = vector_points(spark, sf_dir)
+    middle = lambda c: percentiles(p, "src", c, [0.5], 0.25).select("src", F.col("p")[0].alias(f"m{c}"))
+    r = p.groupBy("src").agg((F.sum(w * F.col("x")) / F.sum(w)).alias("wx"), (F.sum(w * F.col("y")) / F.sum(w)).alias("wy"))
+    r = r.join(middle("x"), "src").join(middle("y"), "src")
     anchor = F.when(F.hypot("mx", "my") > 1.5, "move").otherwise("keep")
     return r.select("src", *[F.round(c, 6).alias(c) for c in ("mx", "my", "wx", "wy")], anchor.alias("anchor"))
 

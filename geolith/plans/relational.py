@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from geolith.functions.geo import GridSpec
 from geolith.operators.gates import gate, missing_and_extra, summary, with_fallback
 from geolith.operators.proximity import box_join, nearest_within, prioritised_union
-from geolith.operators.ranking import exclusive_sum, first_of, longest_run
+from geolith.operators.ranking import exclusive_sum, first_of, longest_run, percentiles
 from geolith.plans.registry import Registry
 from geolith.plans.tables import POINTS_SQL, table, vector_points
 
@@ -32,8 +32,9 @@ SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.25), 6) AS p25, round(
 FROM orders GROUP BY o_orderstatus
 """)
 def q_area_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = F.percentile("o_totalprice", F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.95))))
-    d = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(p.alias("p"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.count(F.lit(1)).alias("n"))
+    o = table(spark, sf_dir, "orders").select("o_orderstatus", "o_totalprice")
+    p = percentiles(o, "o_orderstatus", "o_totalprice", [0.25, 0.5, 0.75, 0.95], 1000.0)
+    d = o.groupBy("o_orderstatus").agg(F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"), F.count(F.lit(1)).alias("n")).join(p, "o_orderstatus")
     return d.select("o_orderstatus", *[F.round(F.col("p")[k], 6).alias(n) for k, n in enumerate(("p25", "p50", "p75", "p95"))], "low", "high", "n")
 
 
@@ -254,8 +255,8 @@ UNION ALL SELECT s_suppkey, NULL AS n_name, 'no nation' AS state FROM supplier W
 def q_lookup_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
     n = table(spark, sf_dir, "nation").filter("n_nationkey < 20").select("n_nationkey", "n_name")
-    found = s.join(n, "n_nationkey").select("s_suppkey", "n_name", F.lit("found").alias("state"))
-    return found.unionByName(s.join(n, "n_nationkey", "left_anti").select("s_suppkey", F.lit(None).cast("string").alias("n_name"), F.lit("no nation").alias("state")))
+    found = n.withColumn("state", F.lit("found"))
+    return s.join(found, "n_nationkey", "left").select("s_suppkey", "n_name", F.coalesce("state", F.lit("no nation")).alias("state"))
 
 
 @query("""
@@ -267,8 +268,7 @@ def q_resume_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "view", "split").otherwise("done")
     ledger = table(spark, sf_dir, "events").select(F.col("user_id").alias("tile"), status.alias("status"), "ts", "event_id")
     last = first_of(ledger, ["tile"], [F.desc("ts"), F.desc("event_id")])
-    done = last.filter("status = 'done'").select("tile")
-    return last.select("tile", "status").join(done, "tile", "left_anti").orderBy("tile").limit(40)
+    return last.filter("status <> 'done'").select("tile", "status").orderBy("tile").limit(40)
 
 
 @query("SELECT l_orderkey, l_partkey, l_extendedprice, l_quantity FROM lineitem WHERE l_extendedprice > 20000 AND l_extendedprice < 60000 AND l_quantity > 10 AND l_quantity < 20")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from geolith.functions import geo, rings
 from geolith.functions.colour import lab, moved
 from geolith.operators.rasters import bilinear
+from geolith.operators.ranking import numbered, percentiles
 from geolith.plans.registry import Registry
 from geolith.plans.tables import DAYS, HOURS, POINTS_SQL, RASTER_SQL, event_raster, part_rings, table, vector_points
 
@@ -137,9 +137,11 @@ SELECT event_id, round((value - mid) / nullif(mad, 0), 6) AS z FROM d JOIN k USI
 """)
 def q_mad_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
-    d = e.join(e.groupBy("event_type").agg(F.median("value").alias("mid")), "event_type").withColumn("dev", F.abs(F.col("value") - F.col("mid")))
+    middle = lambda rows, c, name: percentiles(rows, "event_type", c, [0.5], 1.0).select("event_type", F.col("p")[0].alias(name))
+    d = e.join(middle(e, "value", "mid"), "event_type").withColumn("dev", F.abs(F.col("value") - F.col("mid")))
     z = (F.col("value") - F.col("mid")) / F.nullif(F.col("mad"), F.lit(0.0))
-    return d.join(d.groupBy("event_type").agg((F.median("dev") * 1.4826).alias("mad")), "event_type").filter(F.abs(z) > 4).select("event_id", F.round(z, 6).alias("z"))
+    spread = middle(d, "dev", "mad").withColumn("mad", F.col("mad") * 1.4826)
+    return d.join(spread, "event_type").filter(F.abs(z) > 4).select("event_id", F.round(z, 6).alias("z"))
 
 
 @query(f"""
@@ -150,7 +152,7 @@ def q_cov_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = vector_points(spark, sf_dir)
     s = p.groupBy("src").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"))
     to = s.filter("src = 0").select(*[F.col(c).alias(f"t{c}") for c in ("mx", "my", "sx", "sy")])
-    d = p.join(s, "src").crossJoin(F.broadcast(to))  # one row
+    d = p.join(s.join(to, how="left"), "src")  # one row beside the sources' own
     m = lambda c: F.round(moved(F.col(c), F.col(f"m{c}"), F.col(f"s{c}"), F.col(f"tm{c}"), F.col(f"ts{c}")), 5).alias(c)
     return d.select("vec_id", m("x"), m("y"))
 
@@ -232,9 +234,9 @@ WITH {RING_SQL} SELECT p_partkey, row_number() OVER (PARTITION BY CAST(w AS INT)
 """)
 def q_variant_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = part_rings(spark, sf_dir).filter("w > 0 AND h > 0")
-    place = F.row_number().over(Window.partitionBy(F.col("w").cast("int") % 5).orderBy(F.desc(F.col("w") * F.col("h")), "p_partkey"))
+    d = numbered(d.select("p_partkey", "w", "h", (F.col("w").cast("int") % 5).alias("kind")), ["kind"], F.floor(F.col("w") * F.col("h") / -10), [F.desc(F.col("w") * F.col("h")), "p_partkey"], "place")
     most, least = F.greatest("w", "h"), F.least("w", "h")
-    return d.select("p_partkey", place.alias("place"), F.round(F.least(F.greatest(most / 20, F.lit(0.5)), F.lit(2.0)), 6).alias("scale"), ((least > 0) & (most / least >= 2.2)).alias("long"))
+    return d.select("p_partkey", "place", F.round(F.least(F.greatest(most / 20, F.lit(0.5)), F.lit(2.0)), 6).alias("scale"), ((least > 0) & (most / least >= 2.2)).alias("long"))
 
 
 @query(f"WITH {RING_SQL} SELECT p_partkey, round(w * h, 6) AS area, greatest(w, h) AS length FROM rings WHERE w > 0 AND h > 0")

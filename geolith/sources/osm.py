@@ -32,7 +32,7 @@ def _one_of(key: str, values: list[str], kinds: tuple[str, ...]) -> Callable[[],
 
 #: Layer -> the predicate of its elements.
 LAYERS: dict[str, Callable[[], Column]] = {
-    "water": lambda: F.col("type").isin("way", "relation") & ((F.col("tags")["natural"] == "water") | F.col("tags")["water"].isNotNull() | (F.col("tags")["waterway"] == "riverbank")),
+    "water": lambda: F.col("type").isin("way", "relation") & ((F.col("tags")["natural"] == "water") | F.col("tags")["waterway"].isin("riverbank", "dock") | (F.col("tags")["landuse"] == "reservoir")),
     "forest": lambda: F.col("type").isin("way", "relation") & ((F.col("tags")["landuse"] == "forest") | (F.col("tags")["natural"] == "wood")),
     "waterways": _one_of("waterway", WATERWAYS, ("way",)),
     "roads": _one_of("highway", ROADS, ("way",)),
@@ -55,6 +55,11 @@ def layer(rows: DataFrame, name: str) -> DataFrame:
     return rows.filter(LAYERS[name]())
 
 
+def intermittent() -> Column:
+    """Whether an element is tagged as running dry."""
+    return F.coalesce(F.col("tags")["intermittent"] == "yes", F.lit(False))
+
+
 def width(tag: Column, widths: dict[str, float], default: float) -> Column:
     """A class's width, else the default."""
     return F.coalesce(F.create_map(*[F.lit(x) for pair in widths.items() for x in pair])[tag], F.lit(default))

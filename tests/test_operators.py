@@ -201,3 +201,40 @@ def test_connected(spark):
     got = {r["node"]: r["label"] for r in connected(spark.createDataFrame(edges, "u BIGINT, v BIGINT")).collect()}
     assert got == {**{k: 0 for k in range(51)}, **{k: 100 for k in range(100, 130)}, 200: 200, 201: 200}
     assert connected(spark.createDataFrame([], "u BIGINT, v BIGINT")).count() == 0
+
+
+def test_percentiles_and_numbers_are_exact(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(k), float(v)) for k, v in zip(rng.integers(0, 3, 900), np.round(rng.exponential(5, 900), 1))] + [(9, 2.5), (None, 1.0)]
+    d = spark.createDataFrame(rows, "k INT, v DOUBLE")
+    got = {r["k"]: r["p"] for r in ranking.percentiles(d.filter("k IS NOT NULL"), "k", "v", [0.0, 0.3, 0.5, 1.0], 0.7).collect()}
+    for k in (0, 1, 2, 9):
+        assert got[k] == pytest.approx(np.percentile([v for a, v in rows if a == k], [0, 30, 50, 100]).tolist())
+    numbered = ranking.numbered(d.withColumn("id", F.monotonically_increasing_id()), ["k"], F.floor(F.col("v") / 2), ["v", "id"], "place").collect()
+    for k in (0, 9, None):
+        own = sorted((r for r in numbered if r["k"] == k), key=lambda r: r["place"])
+        assert [r["place"] for r in own] == list(range(1, len(own) + 1)) and [(r["v"], r["id"]) for r in own] == sorted((r["v"], r["id"]) for r in own)
+
+
+def test_distances_and_gaps(spark):
+    rng = np.random.default_rng(5)
+    cells = {(int(i), int(j)) for i, j in rng.integers(0, 25, (12, 2))}
+    got = {(r["i"], r["j"]): r["d2"] for r in rasters.distances(spark.createDataFrame(sorted(cells), "i INT, j INT"), 25, 25).collect()}
+    assert got == {(i, j): min((i - a) ** 2 + (j - b) ** 2 for a, b in cells) for i in range(25) for j in range(25)}
+    row = spark.createDataFrame([(0, 0, 1.0), (0, 1, 3.0), (0, 5, 50.0), (0, 6, 51.0), (0, 9, 7.0)], "i INT, j INT, z DOUBLE")
+    assert {r["j"]: r["gx"] for r in rasters.gradient(row).collect()} == {0: 2.0, 1: 2.0, 5: 1.0, 6: 1.0, 9: 0.0}
+
+
+def test_clipping_keeps_the_area_inside(spark):
+    rng = np.random.default_rng(6)
+    rings_of = [[(float(x), float(y)) for x, y in zip(*[r * f(a) + c for f, c in ((np.cos, rng.uniform(-2, 12)), (np.sin, rng.uniform(-2, 12)))])] for r in rng.uniform(1, 8, 20) for a in [np.linspace(0, 2 * np.pi, 9)[:-1]]]
+    d = spark.createDataFrame([(k, r) for k, r in enumerate(rings_of)], "k INT, ring ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>")
+    box = [F.lit(v) for v in (0.0, 0.0, 10.0, 10.0)]
+    got = {r["k"]: r["area"] for r in d.select("k", F.abs(rings.signed_area(rings.clipped_to_box(F.col("ring"), *box))).alias("area")).collect()}
+    g = (np.arange(400) + 0.5) / 40
+    x, y = np.meshgrid(g, g)
+    for k, ring in enumerate(rings_of):  # convex: inside where all edges have the cell on their left
+        inside = np.ones_like(x, bool)
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            inside &= (bx - ax) * (y - ay) - (by - ay) * (x - ax) >= 0
+        assert abs(got[k] - inside.mean() * 100) < 0.8

@@ -39,3 +39,9 @@ def test_manifest_falls_back_to_the_region(spark):
 
 def test_tiles():
     assert len(osm.tiles(20.0, 40.0, 23.0, 42.0, 0.85, True)) == 12 and len(osm.tiles(20.0, 40.0, 23.0, 42.0, 0.85, False)) == 1
+
+
+def test_water_layer(spark):
+    rows = [(1, "way", {"natural": "water"}), (2, "way", {"waterway": "dock"}), (3, "relation", {"landuse": "reservoir"}), (4, "way", {"water": "lake"}), (5, "node", {"natural": "water"}), (6, "way", {"waterway": "river"}), (7, "relation", {"waterway": "riverbank", "intermittent": "yes"})]
+    d = osm.layer(spark.createDataFrame(rows, "id INT, type STRING, tags MAP<STRING, STRING>"), "water").withColumn("dry", osm.intermittent())
+    assert {r["id"]: r["dry"] for r in d.collect()} == {1: False, 2: False, 3: False, 7: True}

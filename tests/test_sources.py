@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geolith.plans import stages
+from geolith.operators import freshness
 from geolith.sources import files, formats, text
 from geolith.streaming import ledger
 
@@ -102,18 +102,18 @@ def test_stream_appends_each_key_once(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.schema(schema).parquet(target).collect()) == ["a", "b", "c"]
 
 
-def test_stages():
-    made = {"in": 10.0, "mid": 9.5, "out": 3.0}
-    ran = []
-    step = lambda name, i, o, gate=False: stages.Stage(name, lambda: ran.append(name), (i,), (o,) if o else (), gate)
-    steps = [step("one", "in", "mid"), step("two", "mid", "out"), step("check", "out", "", True)]
-    what = lambda **k: [w for _, w in stages.plan(steps, made.get, **k)]
-    assert what() == ["fresh", "run", "run"] and what(force=True) == ["run"] * 3 and what(only={"one"}) == ["fresh", "skipped", "skipped"]
-    assert what(first="two", skip={"check"}) == ["skipped", "run", "skipped"]
-    assert stages.execute(stages.plan(steps, made.get), dry=True) == ["two", "check"] and ran == []
-    assert stages.execute(stages.plan(steps, made.get)) == ran == ["two", "check"]
+def test_stages(spark, tmp_path):
+    rows = [("one", "input", 10), ("one", "output", 9), ("two", "input", 9), ("two", "output", 3), ("three", "input", 3), ("three", "output", None), ("check", "input", 3)]
+    parts = spark.createDataFrame(rows, "stage STRING, role STRING, t INT").selectExpr("stage", "role", "timestamp_seconds(t) AS made")
+    states = freshness.stage_states(parts)
+    assert {r["stage"]: r["state"] for r in states.collect()} == {"one": "fresh", "two": "stale", "three": "missing", "check": "gate"}
+    order = ["one", "two", "three", "check"]
+    runs = lambda **k: {r["stage"] for r in freshness.to_run(states, order, **k).filter("runs").collect()}
+    assert runs() == {"two", "three", "check"} and runs(force=True) == set(order) and runs(only={"one"}) == set() and runs(first="three", skip={"check"}) == {"three"}
     with pytest.raises(ValueError):
-        what(only={"none"})
+        runs(only={"none"})
+    (tmp_path / "a.bin").write_bytes(b"xyz")
+    assert [(r["length"], r["made"] is not None) for r in freshness.listing(spark, str(tmp_path)).collect()] == [(3, True)]
 
 
 def test_raster_in_bands(spark, tmp_path):
