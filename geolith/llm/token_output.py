@@ -42,7 +42,7 @@ _CATALOGUE = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("file",
 
 
 def dac_encode(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
-    """Chunk levels, continuation bitmaps and rank directories of unsigned ids."""
+    """Chunk levels, continuation bitmaps and rank directories of unsigned ids; nothing goes on from the last level, which has neither."""
     levels, bitmaps, ranks, rest = [], [], [], ids.astype(np.uint32)
     while True:
         levels.append((rest & ((1 << LEVEL_BITS) - 1)).astype(np.uint8).tobytes())
@@ -54,7 +54,7 @@ def dac_encode(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
         ranks.append(np.concatenate([[0], np.cumsum(blocks)[:-1]]).astype("<u4").tobytes() if len(rest) else b"")
         rest = more[goes_on]
         if not len(rest):
-            return levels, bitmaps, ranks
+            return levels, [*bitmaps[:-1], b""], [*ranks[:-1], b""]
 
 
 class Dac:
@@ -77,7 +77,8 @@ class Dac:
         above = np.zeros(0, np.uint32)
         for section, n in zip(self.sections[::-1], self.sizes[::-1], strict=True):
             ids = np.frombuffer(section, np.uint8, n).astype(np.uint32)
-            ids[np.unpackbits(np.frombuffer(section, np.uint8, -(-n // 8), n), count=n, bitorder="little").astype(bool)] |= above << LEVEL_BITS
+            if len(section) > n:
+                ids[np.unpackbits(np.frombuffer(section, np.uint8, -(-n // 8), n), count=n, bitorder="little").astype(bool)] |= above << LEVEL_BITS
             above = ids
         return above
 
@@ -87,6 +88,8 @@ def read_code(read: Callable[[int, int, int], bytes], sizes: list[int], at: int)
     value = 0
     for level, n in enumerate(sizes):
         value |= read(level, at, 1)[0] << (LEVEL_BITS * level)
+        if level == len(sizes) - 1:
+            break
         block, bitmap = at // RANK_BLOCK, n
         first = block * RANK_BLOCK // 8
         bits = int.from_bytes(read(level, bitmap + first, at // 8 - first + 1), "little")  # from the block's start to the place
@@ -124,7 +127,7 @@ class SegmentFile:
         self.levels_at = []
         for n in self.sizes:
             self.levels_at.append(at)
-            at += n + -(-n // 8) + 4 * -(-n // RANK_BLOCK)
+            at += n if len(self.levels_at) == n_levels else n + -(-n // 8) + 4 * -(-n // RANK_BLOCK)
         self.end = at
 
     def _at(self, first: int, size: int) -> bytes:
@@ -250,7 +253,7 @@ def segment_starts(spark: SparkSession, path: str) -> DataFrame:
 
 def read_token_ids(spark: SparkSession, path: str, of: Callable[[np.ndarray], object], kind: str) -> DataFrame:
     """Each document of `path`: doc_id, start, n_tokens and value, which is of(its ids as uint32), of SQL type `kind`."""
-    schema = f"part int, segment int, doc_id long, at long, n_tokens long, value {kind}"
+    schema = f"doc_id long, start long, n_tokens long, value {kind}"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = file_system(f"{path}/files")
@@ -260,16 +263,14 @@ def read_token_ids(spark: SparkSession, path: str, of: Callable[[np.ndarray], ob
                     doc_ids, places, ids = SegmentFile(file).whole()
                 if len(ids) != row["n_ids"]:
                     raise ValueError(f"{row['file']} has {len(ids)} ids in place of {row['n_ids']}")
-                n = len(doc_ids)
                 yield pa.RecordBatch.from_pydict({
-                    "part": pa.array(np.full(n, row["part"], np.int32)), "segment": pa.array(np.full(n, row["segment"], np.int32)),
-                    "doc_id": pa.array(doc_ids, mask=doc_ids == NO_ID), "at": places[:-1], "n_tokens": np.diff(places),
+                    "doc_id": pa.array(doc_ids, mask=doc_ids == NO_ID), "start": places[:-1] + row["start"], "n_tokens": np.diff(places),
                     "value": pa.array([of(ids[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)]),
                 })
 
+    files = catalogue(spark, path).join(segment_starts(spark, path), ["part", "segment"]).select("file", "n_ids", "start")
     # a few rows of the catalogue a task, each of which is a file
-    each = catalogue(spark, path).repartition(partitions(spark)).mapInArrow(decode, schema)
-    return each.join(segment_starts(spark, path), ["part", "segment"]).select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "value")
+    return files.repartition(partitions(spark)).mapInArrow(decode, schema)
 
 
 def crc32_of_ids(ids: np.ndarray) -> int:
