@@ -9,7 +9,8 @@ A segment is a file of its own: a header, the doc_ids and the places where their
 and ranks. A catalogue in Parquet has one row for each segment. A token is read by byte ranges of one file: a few for
 the document's place by bisection, three for each level. Files are written through pyarrow's file systems (mounted folders, HDFS
 and object stores) under a name that no other attempt of the task has; only the catalogue's rows, which Spark commits, say
-which files count. Texts are encoded where they are, and ids alone are dealt out by ranges of doc_id.
+which files count. Texts are dealt out by ranges of doc_id and encoded there: to order ids in their place, they must be written first,
+which takes more of the disk than the texts take.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geolith.llm.shared import Scratch, documents, partitions, ready
+from geolith.llm.shared import Scratch, documents, no_shuffle_files, partitions, ready
 from geolith.llm.tokens import encoder, end_mark
 
 #: Bits of a chunk, of which codes of 16 bits have two at most; bits of a bitmap that a rank entry covers.
@@ -178,15 +179,9 @@ def write_token_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id
     spark = docs.sparkSession
     ready(spark)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, end = encoder(tokenizer_path), end_mark(end_id)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                own = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([own["doc_id"], own["tie"], pa.array([code.ids(t.as_py()) + end for t in own["text"]], pa.binary())], ["doc_id", "tie", "ids"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, segment, held, size = TaskContext.get().partitionId(), 0, [], 0
+        code, end = encoder(tokenizer_path), end_mark(end_id)
         store, root = file_system(f"{path}/files")
         store.create_dir(root)
 
@@ -199,8 +194,8 @@ def write_token_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id
             return pa.RecordBatch.from_pylist([{"part": part, "segment": segment, "file": name, "first_id": int(doc_ids[0]), "last_id": int(doc_ids[-1]), "n_docs": len(held), "n_ids": int(lengths.sum())}], schema=_CATALOGUE)
 
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), batch["ids"], strict=True):
-                held.append((NO_ID if doc_id is None else doc_id, ids.as_py()))
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                held.append((NO_ID if doc_id is None else doc_id, code.ids(text.as_py()) + end))
                 size += len(held[-1][1]) // 2
                 if size >= segment_ids:
                     yield close()
@@ -208,12 +203,9 @@ def write_token_segments(docs: DataFrame, path: str, tokenizer_path: str, end_id
         if held:
             yield close()
 
-    work = Scratch(spark, "token_ids")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
-    encoded = work.table(rows.mapInArrow(encode, "doc_id long, tie long, ids binary"), "encoded")
-    ordered = encoded.repartitionByRange(partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "ids").mapInArrow(write, SEGMENT).write.parquet(f"{path}/catalogue")
-    work.drop("encoded")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie")).repartitionByRange(partitions(spark), "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    with no_shuffle_files(spark):
+        ordered.select("doc_id", "text").mapInArrow(write, SEGMENT).write.parquet(f"{path}/catalogue")
 
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
