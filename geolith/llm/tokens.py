@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import re
 import string
+import unicodedata
 from array import array
 
 import numpy as np
@@ -24,6 +25,11 @@ _RUN = re.compile(r"[^\S\x20]\x20")
 _BROKEN = re.compile(r"\s\n|\n\s|^\n|\n$")
 
 
+def _stays_letter(letters: str) -> bool:
+    """Whether letters still end in one as the library writes them; a mark at their end would join what follows."""
+    return letters.isascii() or unicodedata.normalize("NFC", letters.lower())[-1:].isalpha()
+
+
 class _Words(dict):
     """word -> its ids as little-endian uint16, with `before` in front of the word."""
 
@@ -48,7 +54,7 @@ class _Words(dict):
     def __missing__(self, word: str) -> bytes:
         if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
             ids = self.plain(word)
-        elif (letters := word.rstrip(string.punctuation)) != word and letters.isalpha():  # what is no letter, digit or space is a pre-token of its own
+        elif (letters := word.rstrip(string.punctuation)) != word and letters.isalpha() and _stays_letter(letters):  # what is no letter, digit or space is a pre-token of its own
             ids = self[letters] + self.bare[word[len(letters) :]]
         elif "\n" in word and not _BROKEN.search(word):
             ids = self.bare["\n"].join(map(self.bare.__getitem__, (lines := word.split("\n"))[1:]))

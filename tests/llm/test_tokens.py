@@ -26,6 +26,14 @@ def test_same_as_library_on_any_text(name, text):
     assert np.frombuffer(e.ids(text), "<u2").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_letters_that_end_in_marks(name):
+    e = encoder(public_tokenizers.path(name))
+    for c in ("\u0130", "\u0958", "\u0929", "\ufb1d", "\u1e9e", "\u01c5", "e\u0301"):
+        for text in (f"{c}##", f"a{c}.", f"x {c}{c}!? b", f"{c}\n{c}#"):
+            assert np.frombuffer(e.ids(text), "<u2").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_null_and_empty():
     e = encoder(public_tokenizers.path(FILES[0]))
     assert e.ids(None) == e.ids("") == b""
