@@ -31,7 +31,7 @@ def q_water_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Consecutive points as lines, of three classes.
-LINES_SQL = "lines AS (SELECT a.vec_id AS k, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS ey, CASE a.src WHEN 0 THEN 8.0 WHEN 1 THEN 5.0 ELSE 2.0 END AS w FROM points a JOIN points b ON b.vec_id = a.vec_id + 1)"
+LINES_SQL = "lines AS (SELECT a.vec_id AS k, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS ey, CAST(CASE a.src WHEN 0 THEN 8 WHEN 1 THEN 5 ELSE 2 END AS DOUBLE) AS w FROM points a JOIN points b ON b.vec_id = a.vec_id + 1)"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def q_line_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Parts as rectangles with a hole, moved about a grid of 60 x 60 cells; later parts are painted over earlier ones.
-_PARTS_SQL = "p AS (SELECT p_partkey AS k, (p_partkey * 7 % 50)::DOUBLE AS x0, (p_partkey * 13 % 50)::DOUBLE AS y0, 4.0 + p_size % 9 AS w, 4.0 + p_partkey % 6 AS h FROM part)"
+_PARTS_SQL = "p AS (SELECT p_partkey AS k, (p_partkey * 7 % 50)::DOUBLE AS x0, (p_partkey * 13 % 50)::DOUBLE AS y0, CAST(4 + p_size % 9 AS DOUBLE) AS w, CAST(4 + p_partkey % 6 AS DOUBLE) AS h FROM part)"
 
 
 @query(f"""
@@ -94,7 +94,7 @@ def q_painted_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {_PARTS_SQL}, t AS (SELECT a * 10.0 AS tx, b * 10.0 AS ty FROM range(6) q(a), range(6) s(b)),
+WITH {_PARTS_SQL}, t AS (SELECT CAST(a * 10 AS DOUBLE) AS tx, CAST(b * 10 AS DOUBLE) AS ty FROM range(6) q(a), range(6) s(b)),
 o AS (SELECT k, tx, ty, least(x0 + w, tx + 10) - greatest(x0, tx) AS ow, least(y0 + h, ty + 10) - greatest(y0, ty) AS oh FROM p JOIN t ON x0 < tx + 10 AND x0 + w > tx AND y0 < ty + 10 AND y0 + h > ty)
 SELECT tx, ty, count(*) AS n, round(sum(ow * oh), 5) AS area FROM o GROUP BY tx, ty
 """)

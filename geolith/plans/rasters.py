@@ -15,8 +15,8 @@ from geolith.plans.tables import DAYS, HOURS, POINTS_SQL, RASTER_SQL, event_rast
 
 query = Registry()
 
-GRADIENT_SQL = f"""{RASTER_SQL}, n AS (SELECT *, lag(z) OVER r AS l, lead(z) OVER r AS rr, lag(z) OVER c AS u, lead(z) OVER c AS d FROM raster
-  WINDOW r AS (PARTITION BY i ORDER BY j), c AS (PARTITION BY j ORDER BY i)),
+GRADIENT_SQL = f"""{RASTER_SQL}, n AS (SELECT o.i, o.j, o.z, l.z AS l, rr.z AS rr, u.z AS u, d.z AS d FROM raster o LEFT JOIN raster l ON l.i = o.i AND l.j = o.j - 1
+  LEFT JOIN raster rr ON rr.i = o.i AND rr.j = o.j + 1 LEFT JOIN raster u ON u.i = o.i - 1 AND u.j = o.j LEFT JOIN raster d ON d.i = o.i + 1 AND d.j = o.j),
 g AS (SELECT i, j, z, coalesce((rr - l) / 2, rr - z, z - l, 0) AS gx, coalesce((d - u) / 2, d - z, z - u, 0) AS gy FROM n)"""
 
 
@@ -167,13 +167,13 @@ def q_window_colour(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {GRADIENT_SQL}, t AS (SELECT i, j, z, ((degrees(atan2(-gx, gy)) % 360) + 360) % 360 AS asp, z > 45 OR (z > 38 AND j % 3 = 0) AS forest FROM g),
 p AS (SELECT *, least(greatest((z - 30) / 40, 0), 1) * 0.7 + 0.3 * (1 + cos(radians(asp))) / 2 AS prob FROM t)
-SELECT i, j, CASE WHEN NOT forest OR z > 90 THEN 0 WHEN prob >= 0.5 THEN 1 ELSE 2 END AS species, round(prob, 5) AS prob FROM p
+SELECT i, j, CASE WHEN NOT forest OR z > 90 THEN 0 WHEN prob >= 0.5 THEN 1 ELSE 2 END AS species, round(prob, 8) AS prob FROM p
 """)
 def q_species_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = R.gradient(event_raster(spark, sf_dir)).withColumn("asp", R.aspect_degrees(F.col("gx"), F.col("gy")))
     forest = (F.col("z") > 45) | ((F.col("z") > 38) & (F.col("j") % 3 == 0))
     t = t.withColumn("prob", ramp(F.col("z"), 30.0, 70.0) * 0.7 + (F.cos(F.radians("asp")) + 1) * 0.15)
-    return t.select("i", "j", F.when(~forest | (F.col("z") > 90), 0).when(F.col("prob") >= 0.5, 1).otherwise(2).alias("species"), F.round("prob", 5).alias("prob"))
+    return t.select("i", "j", F.when(~forest | (F.col("z") > 90), 0).when(F.col("prob") >= 0.5, 1).otherwise(2).alias("species"), F.round("prob", 8).alias("prob"))
 
 
 @query(f"""
