@@ -53,3 +53,9 @@ def roof_score(r: Column, g: Column, b: Column) -> Column:
 
 def blend(base: Column, over: Column, alpha: Column) -> Column:
     return over * alpha + base * (F.lit(1.0) - alpha)
+
+
+def clamped_shift(value: Column, mean: Column, spread: Column, to_mean: Column, to_spread: Column, most: float) -> Column:
+    """How far a channel moves towards another's mean and spread, at most `most`; a spread below 0.001 counts as 1."""
+    target = (value - mean) / F.when(spread < 1e-3, 1.0).otherwise(spread) * to_spread + to_mean
+    return F.least(F.greatest(target - value, F.lit(-most)), F.lit(most))

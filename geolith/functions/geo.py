@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -132,3 +133,62 @@ def web_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 def web_mercator_inverse(x: Column, y: Column) -> tuple[Column, Column]:
     return F.degrees(x / AXIS), F.degrees(F.atan(F.sinh(y / AXIS)))
+
+
+#: Fixed values of EPSG 3035: GRS 80, centre, false easting and northing.
+GRS80_FLATTENING, LAEA_LON, LAEA_LAT, LAEA_EAST, LAEA_NORTH = 1 / 298.257222101, 10.0, 52.0, 4321000.0, 3210000.0
+
+
+@dataclass(frozen=True)
+class LaeaTerms:
+    """What the equal-area projection's formulas need of the ellipsoid and the centre."""
+
+    ecc: float
+    q_pole: float
+    radius: float
+    sin_centre: float
+    cos_centre: float
+    stretch: float
+
+
+def laea_terms() -> LaeaTerms:
+    square = GRS80_FLATTENING * (2 - GRS80_FLATTENING)
+    ecc, sine = math.sqrt(square), math.sin(math.radians(LAEA_LAT))
+    q = lambda s: (1 - square) * (s / (1 - square * s * s) + math.atanh(ecc * s) / ecc)
+    radius, sin_centre = AXIS * math.sqrt(q(1.0) / 2), q(sine) / q(1.0)
+    cos_centre = math.sqrt(1 - sin_centre**2)
+    return LaeaTerms(ecc, q(1.0), radius, sin_centre, cos_centre, AXIS * math.cos(math.radians(LAEA_LAT)) / math.sqrt(1 - square * sine * sine) / (radius * cos_centre))
+
+
+def laea_forward(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Easting and northing in EPSG 3035."""
+    t = laea_terms()
+    s, lam = F.sin(F.radians(lat)), F.radians(lon - LAEA_LON)
+    sine = (s / (1 - F.lit(t.ecc**2) * s * s) + F.atanh(F.lit(t.ecc) * s) / t.ecc) * ((1 - t.ecc**2) / t.q_pole)
+    cosine = F.sqrt(1 - sine * sine)
+    b = F.lit(t.radius) * F.sqrt(F.lit(2.0) / (1 + F.lit(t.sin_centre) * sine + F.lit(t.cos_centre) * cosine * F.cos(lam)))
+    return F.lit(LAEA_EAST) + b * t.stretch * cosine * F.sin(lam), F.lit(LAEA_NORTH) + b / t.stretch * (F.lit(t.cos_centre) * sine - F.lit(t.sin_centre) * cosine * F.cos(lam))
+
+
+def laea_inverse(e: Column, n: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of EPSG 3035 coordinates."""
+    t = laea_terms()
+    x, y = (e - LAEA_EAST) / t.stretch, (n - LAEA_NORTH) * t.stretch
+    rho = F.hypot(x, y)
+    c = F.asin(rho / (2 * t.radius)) * 2
+    authalic = F.when(rho == 0, F.asin(F.lit(t.sin_centre))).otherwise(F.asin(F.cos(c) * t.sin_centre + y * F.sin(c) * t.cos_centre / rho))
+    lam = F.atan2(x * F.sin(c), rho * t.cos_centre * F.cos(c) - y * t.sin_centre * F.sin(c))
+    e2, e4, e6 = t.ecc**2, t.ecc**4, t.ecc**6
+    phi = authalic + F.sin(authalic * 2) * (e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) + F.sin(authalic * 4) * (23 * e4 / 360 + 251 * e6 / 3780) + F.sin(authalic * 6) * (761 * e6 / 45360)
+    return F.degrees(lam) + LAEA_LON, F.degrees(phi)
+
+
+def orientation(heading: Column) -> Column:
+    """A heading in degrees as radians from 0 to below a whole turn."""
+    return F.pmod(F.radians(heading), F.lit(2 * math.pi))
+
+
+def nearer_direction(heading: Column, axis: Column) -> Column:
+    """The direction of an axis, in degrees, that lies nearer to a heading."""
+    apart = F.abs(F.pmod(axis - heading + 180.0, F.lit(360.0)) - 180.0)
+    return F.pmod(F.when(apart < 90, axis).otherwise(axis + 180.0), F.lit(360.0))

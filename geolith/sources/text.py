@@ -70,3 +70,52 @@ def mosaic_offsets(tiles: DataFrame, size: int) -> DataFrame:
     """(path, x, y, left, top): each tile's offset in the mosaic of all; rows are counted upwards in names, downwards here."""
     span = tiles.agg(F.min("x").alias("x0"), F.max("y").alias("y1"))
     return tiles.crossJoin(F.broadcast(span)).select("path", "x", "y", ((F.col("x") - F.col("x0")) * size).alias("left"), ((F.col("y1") - F.col("y")) * size).alias("top"))  # span is one row
+
+
+def without_nodata(cells: DataFrame, lines: DataFrame, value: str, key: str = "data ignore value") -> DataFrame:
+    """Cells whose value is the one that the header's lines name as missing get null; without such a line they stay."""
+    header = key_values(lines).filter(F.col("key") == key).agg(F.max(F.col("value").try_cast("double")).alias("nodata"))  # one row
+    return cells.crossJoin(F.broadcast(header)).withColumn(value, F.when(F.col(value).eqNullSafe(F.col("nodata")), None).otherwise(F.col(value))).drop("nodata")
+
+
+def in_metres(features: DataFrame, zone: str = "32634") -> DataFrame:
+    """(collection, metres) of (collection, place, crs, x, y): whether its tag names the zone or its first coordinate is no degree.
+
+    Features without coordinates don't count; an untagged collection of such alone is taken to be in metres.
+    """
+    first = F.min_by(F.struct("x", "y"), F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), F.col("place")))
+    found = features.groupBy("collection").agg(F.max(F.coalesce(F.contains("crs", F.lit(zone)), F.lit(False))).alias("tagged"), first.alias("p"))
+    degrees = (F.abs("p.x") <= 180) & (F.abs("p.y") <= 90)
+    return found.select("collection", (F.col("tagged") | ~F.coalesce(degrees, F.lit(False))).alias("metres"))
+
+
+def mosaic_lines(tiles: DataFrame, size: int, step: float, left: float, bottom: float, srs: str, bands: int = 3) -> DataFrame:
+    """(band, place, y, x, value): the lines of a virtual mosaic in XML, in the order of these columns; no tiles, no lines."""
+    extent = tiles.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).filter("x0 IS NOT NULL")
+    n = lambda a, b: ((F.col(b) - F.col(a) + 1) * size).cast("long")
+    corner = (F.lit(left) + F.col("x0") * size * step).cast("double"), (F.lit(bottom) + (F.col("y1") + 1) * size * step).cast("double")
+    at = lambda place: (F.lit(place).alias("place"), F.lit(None).cast("long").alias("y"), F.lit(None).cast("long").alias("x"))
+    head = F.format_string(f'<VRTDataset rasterXSize="%d" rasterYSize="%d"><SRS>{srs}</SRS><GeoTransform>%.6f, {step:.6f}, 0, %.6f, 0, {-step:.6f}</GeoTransform>', n("x0", "x1"), n("y0", "y1"), *corner)
+    every = extent.select(F.explode(F.sequence(F.lit(1), F.lit(bands))).alias("band"))
+    opened = every.select("band", *at(1), F.format_string('<VRTRasterBand dataType="Byte" band="%d">', "band").alias("value"))
+    closed = every.select("band", *at(3), F.lit("</VRTRasterBand>").alias("value"))
+    square = f'xSize="{size}" ySize="{size}"'
+    source = F.format_string(
+        f'<SimpleSource><SourceFilename relativeToVRT="0">%s</SourceFilename><SourceBand>%d</SourceBand><SrcRect xOff="0" yOff="0" {square}/><DstRect xOff="%d" yOff="%d" {square}/></SimpleSource>',
+        F.replace("path", F.lit("&"), F.lit("&amp;")), "band", "left", "top",
+    )
+    placed = mosaic_offsets(tiles, size).withColumn("band", F.explode(F.sequence(F.lit(1), F.lit(bands))))
+    sources = placed.select("band", F.lit(2).alias("place"), F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), source.alias("value"))
+    first = extent.select(F.lit(0).alias("band"), *at(0), head.alias("value"))
+    last = extent.select(F.lit(bands + 1).alias("band"), *at(0), F.lit("</VRTDataset>").alias("value"))
+    return first.unionByName(opened).unionByName(sources).unionByName(closed).unionByName(last)
+
+
+def sidecar_lines(rows: DataFrame) -> DataFrame:
+    """A JSON object for each row of statistics."""
+    return rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+
+
+def tile_folder(x: F.Column, y: F.Column, of: int = 256) -> F.Column:
+    """Folder of a tile, so that none holds more than of x of tiles."""
+    return F.concat(F.lit("x"), F.floor(x / of).cast("string"), F.lit("/y"), F.floor(y / of).cast("string"))
