@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from geolith.llm import exact_dedup, license_scan, media_chunks, mixing, near_dedup, packing, quality, secret_scan, token_output, toxicity
+from geolith.llm import exact_dedup, license_scan, media_chunks, mixing, near_dedup, neighbours, packing, quality, secret_scan, token_output, toxicity, vector_codes, whitening
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_nearest_neighbours": neighbours.op12_nearest_neighbours,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
-ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op9_near_dedup": near_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op9_near_dedup": near_dedup.ORACLE_SQL, "op12_nearest_neighbours": neighbours.ORACLE_SQL, "op13_vector_codes": vector_codes.ORACLE_SQL}
