@@ -58,16 +58,19 @@ _NO_OPERAND = {"new", "await", "not", "return", "yield", "const", "static", "fin
 def read_assignments(text: str) -> Assignments:
     """The assignments of a text, and of its comments and strings as texts of their own.
 
+    In a comment, further marks of comments end a line and nothing else: so a text is read once for itself, once for its comments, and
+    once more for each level of strings in strings, of which there are few, as each uses up a kind of quote.
+
     Names keep their last part: of `a.b->c`, it is `c`. Literals that + or mere adjacency joins are one, from the first's
     start to the last's end. Lines of a block or of a string over several lines are a literal each.
     """
     found = Assignments()
-    parts = [(text, 0)]
-    while parts:  # strings in strings end after a few levels, as each uses up a kind of quote
-        own, at = parts.pop()
-        lexer = _Lexer(own, at, found)
+    parts = [(text, 0, False)]
+    while parts:
+        own, at, comment = parts.pop()
+        lexer = _Lexer(own, at, found, comment)
         _parse(lexer, found)
-        parts += [(own[a:b], at + a) for a, b in lexer.inner if "=" in own[a:b] or ":" in own[a:b]]
+        parts += [(own[a:b], at + a, inner) for a, b, inner in lexer.inner if "=" in own[a:b] or ":" in own[a:b]]
     return found
 
 
@@ -81,10 +84,10 @@ class _Lexer:
     Kinds: name, string, bare, variable, set, join, open, close, comma, end, line, ask, other.
     """
 
-    def __init__(self, text: str, offset: int, found: Assignments) -> None:
-        self.text, self.offset, self.found = text, offset, found
+    def __init__(self, text: str, offset: int, found: Assignments, comment: bool = False) -> None:
+        self.text, self.offset, self.found, self.comment = text, offset, found, comment
         self.tokens: list[tuple[str, int, int, str]] = []
-        self.inner: list[tuple[int, int]] = []  # comments and strings, which may hold assignments
+        self.inner: list[tuple[int, int, bool]] = []  # comments and strings, which may hold assignments, and whether they are in a comment
         self.dead: dict[str, int] = {}  # what does not close before this place
         at, after = 0, ""  # after: the operator before a value
         while at < len(text):
@@ -121,7 +124,7 @@ class _Lexer:
             return at
         self.tokens.append(("string", begin, end, text[begin:end]))
         if end - begin > 2:
-            self.inner.append((begin, end))
+            self.inner.append((begin, end, self.comment))
         return end + len(quote)
 
     def _plain(self, at: int) -> tuple[int, str]:
@@ -180,17 +183,21 @@ class _Lexer:
 
     def _comment(self, at: int, mark: str) -> int:
         text = self.text
+        if self.comment:
+            if not (mark == "//" and at and text[at - 1] == ":") and self.tokens and self.tokens[-1][0] != "line":
+                self.tokens.append(("line", at, at + len(mark), mark))
+            return at + len(mark)
         close = {"/*": "*/", "<!--": "-->"}.get(mark)
         if close:
             end = self._close(close, at + len(mark))
             if end < 0:
                 return at + len(mark)
-            self.inner.append((at + len(mark), end))
+            self.inner.append((at + len(mark), end, True))
             return end + len(close)
         if mark == "//" and at and text[at - 1] == ":":  # of an address
             return at + 2
         end = self._line_end(at)
-        self.inner.append((at + len(mark), end))
+        self.inner.append((at + len(mark), end, True))
         return end
 
     def _typed(self, at: int) -> int | None:

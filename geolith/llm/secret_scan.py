@@ -42,6 +42,8 @@ KEY_KINDS = {"api", "access", "secret", "private", "auth", "encryption", "signin
 #: Values that stand for a secret but are none.
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|change[_-]?me|example|sample|test(?:ing)?|dummy|none|null|nil|true|false|undefined|todo|placeholder|your[_-].*|<.*>|\$\(.*\)|\{\{.*\}\}|%\(.*\)s|secret|password|token)$")
 REPORT, LEAST = 0.5, 8
+#: Words of a passphrase at most; more are prose.
+WORDS = 12
 
 
 def name_score(name: str) -> float:
@@ -53,9 +55,18 @@ def name_score(name: str) -> float:
     return max(score, SENSITIVE["apikey"] if "apikey" in "".join(parts) else 0.0)
 
 
-def literal_score(value: str) -> float:
-    """How much a literal looks like a secret: its entropy, over what its length allows. Sensitive names are none."""
-    if len(value) < LEAST or PLACEHOLDER.match(value) or (re.fullmatch(r"[A-Za-z][A-Za-z_.-]*", value) and name_score(value) > 0) or re.search(r"\s", value) or len(set(value)) < 5:
+def phrase(value: str, name: str) -> bool:
+    """Whether several words may be a secret: one of them mixes letters and digits, or the name ends in "passphrase" and they are no message."""
+    words = value.split()
+    mixed = any(re.search(r"[A-Za-z]\d|\d[A-Za-z]", w) for w in words)
+    return len(words) <= WORDS and (mixed or (re.search(r"(?i)pass_?phrase$", name) is not None and len(words) > 2 and value[-1] not in ".!?:" and not any(name_score(w) for w in words)))
+
+
+def literal_score(value: str, name: str = "") -> float:
+    """How much a literal that `name` takes looks like a secret: its entropy, over what its length allows. Sensitive names are none."""
+    if len(value) < LEAST or PLACEHOLDER.match(value) or (re.fullmatch(r"[A-Za-z][A-Za-z_.-]*", value) and name_score(value) > 0) or len(set(value)) < 5:
+        return 0.0
+    if re.search(r"\s", value) and not phrase(value, name):
         return 0.0
     n = len(value)
     bits = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -100,7 +111,7 @@ def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
     for name, literals in found.literals.items():
         score, target = reach.get(name, (0.0, ""))
         for a, b, value in literals if score > 0 else ():
-            if value not in assigned and (s := score * literal_score(value)) >= REPORT:
+            if value not in assigned and (s := score * literal_score(value, target)) >= REPORT:
                 best[a, b] = max(best.get((a, b), (0.0, "")), (s, target))
     return sorted((a, b, *v) for (a, b), v in best.items())
 

@@ -317,12 +317,39 @@ def test_literals_reach_names_as_in_a_closure(seed):
 
 @pytest.mark.parametrize("text", [
     "".join(f"a{k} = hub\nhub = a{k}\n" for k in range(12000)) + "password=hub", "password='" + "\\'" * 100000, "password = " + "(" * 200000, "password=1 /*" * 30000, "<password>" * 40000, "key: b[]|" * 50000 + " x",
+    *(m * (1_000_000 // len(m)) + "\npassword = 'aG7xPq92LmZt'" for m in ("#", "# ", "//", "// # ", "<!-- ", "/*", "/* # // ", "# = ", "// \"= ", "# '= ", "#\"'=`")),
     "a-" * 150000 + "key=", "--aaaa " * 50000 + "key=", "${a:-" * 60000 + "key=", "key: |\n" * 50000, "<key " + 'a="b" ' * 60000 + ">", "password =" + " " * 300000 + "x", "#define " * 50000 + "key",
 ])
 def test_lexing_is_linear(text):
     began = time.process_time()
     secret_scan.assigned_literals(text)
-    assert time.process_time() - began < 6
+    assert time.process_time() - began < (6 if len(text) < 900_000 else 15)
+
+
+@pytest.mark.parametrize("mark", ["#", "# ", "//", "<!-- ", "/* ", "# // <!-- ", "# = "])
+def test_nested_comment_marks_take_time_in_proportion(mark):
+    def took(size):
+        text = mark * (size // len(mark)) + "\npassword = 'aG7xPq92LmZt'"
+        began = time.process_time()
+        found = secret_scan.assigned_literals(text)
+        assert [text[a:b] for a, b, *_ in found] == (["aG7xPq92LmZt"] if "'" not in mark else [])
+        return time.process_time() - began
+
+    assert took(1_000_000) < 2.8 * max(took(500_000), 0.2)
+
+
+def test_comments_in_comments_keep_their_assignments():
+    for line in ("### password = 'aG7xPq92LmZt'", "# old # password = 'aG7xPq92LmZt'", "/* x = 1 // token: aG7xPq92LmZt */", "<!-- # api_key=aG7xPq92LmZt -->", "// see http://a.b # secret = aG7xPq92LmZt"):
+        assert [line[a:b] for a, b, *_ in secret_scan.assigned_literals(line)] == ["aG7xPq92LmZt"], line
+
+
+def test_passphrases_of_several_words():
+    find = lambda line: [line[a:b] for a, b, *_ in secret_scan.assigned_literals(line)]
+    assert find('passphrase = "correct-horse-42-Battery staple9"') == ["correct-horse-42-Battery staple9"]
+    assert find('db_password: "purple kite7 Over 9hills"') == ["purple kite7 Over 9hills"]
+    assert find('WALLET_PASSPHRASE = "anchor violin sudden meadow crisp lantern"') == ["anchor violin sudden meadow crisp lantern"]
+    for line in ('password_hint = "Please type what you were sent"', 'token_error = "Invalid token after 3 attempts"', 'passphrase = "Enter your passphrase here, please"'):
+        assert find(line) == []
 
 
 def test_forms_that_are_no_types_keep_their_values():
