@@ -10,7 +10,7 @@ from its posterior and the steps so far: no state is kept for each document betw
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,10 +23,12 @@ from geolith.llm.shared import Scratch, documents, fresh_names, ready
 from geolith.llm.subwords import Settings, class_scores, train
 
 SETTINGS = Settings(bits=16, dim=8, ngrams=(4,), sample_per_class=600, epochs=5)
-#: A target is met within CLOSE of itself. A round that lowers the loss by less than GAIN of it ends the fit: targets are out of reach.
-CLOSE, GAIN = 1e-5, 1e-3
-#: Lengths of the steps that are tried together, in one pass.
-LENGTHS = (1.0, 4.0, 16.0, 64.0)
+#: A target is met within CLOSE of itself. Targets are out of reach once a bound proves it, or once the projected gradient is below STILL of the gradient.
+CLOSE, STILL = 1e-5, 1e-6
+#: Steps that are tried together, in one pass: lengths in the metric of all rows, and shares of that metric beside the rows within their bounds.
+LENGTHS, SHARES = (4.0, 1.0), (0.3, 0.1, 0.03, 0.01, 1e-3, 1e-4, 1e-6, 0.0)
+#: Without repeats, a total is lowered this share below the bound that rules it out.
+MARGIN = 0.01
 #: Target weights of the domains, here the languages of the documents.
 TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 
@@ -84,64 +86,114 @@ class Fit:
         return bool((self.off <= CLOSE).all())
 
 
-def _sums(members: DataFrame, steps: list[np.ndarray], tried: list[np.ndarray], most: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """After `steps` and each of the steps that are tried: the expected tokens of each domain, and the sums of tokens x p p' over all rows and over those whose rates are within the bounds."""
-    n = len(tried[0])
+@dataclass(frozen=True)
+class Measured:
+    """Sums over all rows at some rates, for the direction that is asked about."""
+
+    have: np.ndarray  # expected tokens of each domain
+    free: np.ndarray  # tokens x p p' over the rows whose rates are within the bounds
+    reach: float  # the most that any rates give along the direction; infinite where it is unbounded
+    gradient: float  # tokens x (p . direction)^2
+    projected: float  # of the rows whose rates the bounds let follow it
+
+
+def measured(p: np.ndarray, tokens: np.ndarray, steps: list[np.ndarray], tried: list[np.ndarray], along: list[np.ndarray], most: float) -> np.ndarray:
+    """What some rows add to the sums, a row of numbers for each step that is tried: after `steps` and that step, and along that direction."""
+    n = p.shape[1]
+    before, out = rates(p, steps, most), np.zeros((len(tried), n + n * n + 3))
+    for k, (step, direction) in enumerate(zip(tried, along, strict=True)):
+        r = np.clip(before - p @ step, 0.0, most)
+        inside, pull = (r > 0) & (r < most), p @ direction
+        held = p[inside]
+        follows = inside | ((r <= 0) & (pull > 0)) | ((r >= most) & (pull < 0))
+        out[k, :n] = (tokens * r) @ p
+        out[k, n:-3] = ((held * tokens[inside, None]).T @ held).ravel()
+        out[k, -3] = (tokens * np.maximum(pull, 0)).sum()
+        out[k, -2:] = (tokens * pull * pull).sum(), (tokens * pull * pull)[follows].sum()
+    return out
 
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, gram, free = np.zeros((len(tried), n)), np.zeros((n, n)), np.zeros((len(tried), n, n))
-        for batch in batches:
-            p, tokens = _matrix(batch, n), batch["n_tokens"].to_numpy().astype(np.float64)
-            weighed, before = p * tokens[:, None], rates(p, steps, most)
-            gram += weighed.T @ p
-            for k, step in enumerate(tried):
-                r = np.clip(before - p @ step, 0.0, most)
-                inside = (r > 0) & (r < most)
-                total[k] += (tokens * r) @ p
-                free[k] += weighed[inside].T @ p[inside]
-        amount = np.concatenate([total.ravel(), gram.ravel(), free.ravel()])
-        yield pa.RecordBatch.from_pydict({"place": pa.array(range(len(amount)), pa.int32()), "amount": amount})
-
-    sums = members.mapInArrow(part, "place int, amount double").groupBy("place").agg(F.sum("amount").alias("amount")).collect()  # a few numbers
-    out = np.zeros(len(tried) * (n + n * n) + n * n)
-    for row in sums:
-        out[row["place"]] = row["amount"]
-    total, gram, free = np.split(out, [len(tried) * n, len(tried) * n + n * n])
-    return list(zip(total.reshape(-1, n), [gram.reshape(n, n)] * len(tried), free.reshape(-1, n, n), strict=True))
-
-
-def fit(members: DataFrame, weights: np.ndarray, total: float | None = None, most: float = float("inf")) -> Fit:
+
+def _read(numbers: np.ndarray, n: int, most: float) -> list[Measured]:
+    reach = lambda x: x * most if np.isfinite(most) else (np.inf if x > 0 else 0.0)
+    return [Measured(row[:n], row[n:-3].reshape(n, n), reach(row[-3]), row[-2], row[-1]) for row in numbers]
+
+
+Measure = Callable[[list[np.ndarray], list[np.ndarray], list[np.ndarray]], list[Measured]]
+
+
+def over(members: DataFrame, n: int, most: float) -> Measure:
+    """Measures all rows of (n_tokens, posterior) in one pass of tasks, whose few numbers the driver gets summed up."""
+
+    def measure(steps: list[np.ndarray], tried: list[np.ndarray], along: list[np.ndarray]) -> list[Measured]:
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = np.zeros((len(tried), n + n * n + 3))
+            for batch in batches:
+                held += measured(_matrix(batch, n), batch["n_tokens"].to_numpy().astype(np.float64), steps, tried, along, most)
+            yield pa.RecordBatch.from_pydict({"place": pa.array(range(held.size), pa.int32()), "amount": held.ravel()})
+
+        sums = members.mapInArrow(part, "place int, amount double").groupBy("place").agg(F.sum("amount").alias("amount")).collect()
+        out = np.zeros((len(tried), n + n * n + 3))
+        for row in sums:
+            out.flat[row["place"]] = row["amount"]
+        return _read(out, n, most)
+
+    return measure
+
+
+def _inverse(gram: np.ndarray) -> np.ndarray:
+    """The pseudo-inverse, from the gram of domains that are brought to one size first: small ones count as much as large ones."""
+    size = np.sqrt(np.diag(gram))
+    scale = np.where(size > 0, 1 / np.where(size > 0, size, 1), 0)
+    return scale[:, None] * np.linalg.pinv(scale[:, None] * gram * scale, rcond=1e-12) * scale
+
+
+def fit(measure: Measure, weights: np.ndarray, total: float | None = None, most: float = float("inf")) -> Fit:
     """Steps whose rates bring the domains' expected tokens to weights x total.
 
-    total is all tokens there are by default; with most = 1 it is as many as the weights allow without a repeat.
     The least squares are those in the metric of the domains' shared tokens, in which projected steps of length 1 always
     descend. Each pass over the documents tries steps of several lengths, and some in the metric of the rows that are
-    within their bounds, and keeps the one that descends furthest. Ends when every target is met within CLOSE of itself, or when
-    a pass gains less than GAIN: then the targets are out of reach, and the rates bring them as near as they came.
+    within their bounds, and keeps the one that descends furthest. Ends when every target is met within CLOSE of itself, or is proven out of reach:
+    along y = metric x (want - have), no rates give more than the sums `reach`, so that y . want above it rules the targets out. The rates then bring
+    them as near as they can come: until what the bound leaves open, or the projected gradient, is next to nothing.
+
+    total is all tokens there are by default; without repeats (most = 1) it is the largest that the weights allow: each such bound
+    y . (weights x total) <= reach lowers the total to what it leaves, less MARGIN, until what is asked for is met. Where next to nothing is left, as for a domain that no document is in, total is all tokens again,
+    and out of reach.
     """
-    steps: list[np.ndarray] = []
-    [(have, gram, free)] = _sums(members, steps, [np.zeros(len(weights))], most)
-    if not have.sum():
-        return Fit(steps, have, have)
+    n, steps, first = len(weights), [], min(1.0, most)
+    zero = np.zeros(n)
+    now, half = measure(steps, [zero, np.full(n, first / 2)], [zero, zero])
+    if not now.have.sum():
+        return Fit(steps, now.have, now.have)
+    lowered = total is None and most <= 1
     if total is None:
-        total = have.sum()
-        if most <= 1:
-            total = float(np.min(have[weights > 0] / weights[weights > 0]))
-    want = weights * total
-    metric = np.linalg.pinv(gram, rcond=1e-9)
+        total = now.have.sum()
+        if lowered:
+            total = float(min(total, np.min(now.have[weights > 0] / weights[weights > 0])))
+    metric, want, least = _inverse(half.free), weights * total, CLOSE * now.have.sum()
+    if lowered and total < least:
+        return fit(measure, weights, now.have.sum(), most)
     loss = lambda x: float((x - want) @ metric @ (x - want))
-    while not Fit(steps, have, want).met:
-        off, inner = have - want, np.linalg.pinv(free, rcond=1e-9)
-        tried = [metric @ off * k for k in LENGTHS] + [inner @ off / k for k in LENGTHS[:2]]
-        sums = _sums(members, steps, tried, most)
-        best = min(range(len(tried)), key=lambda k: loss(sums[k][0]))
-        gain = 1 - loss(sums[best][0]) / loss(have)
-        if gain > 0:
-            steps.append(tried[best])
-            have, _, free = sums[best]
-        if gain < GAIN:
+    while not Fit(steps, now.have, want).met:
+        off = now.have - want
+        pull = -metric @ off
+        tried = [zero] + [metric @ off * k for k in LENGTHS] + [_inverse(now.free + half.free * k) @ off for k in SHARES]
+        here, *found = measure(steps, tried, [pull] * len(tried))
+        if lowered and here.reach < pull @ want:
+            total = here.reach / (pull @ weights) * (1 - MARGIN)
+            if total < least:
+                return fit(measure, weights, measure([], [zero], [zero])[0].have.sum(), most)
+            want = weights * total
+            now = here
+            continue
+        if not lowered and (here.reach - pull @ here.have < STILL * loss(here.have) or here.projected <= STILL**2 * here.gradient):
             break
-    return Fit(steps, have, want)
+        best = min(range(len(found)), key=lambda k: loss(found[k].have))
+        if loss(found[best].have) >= loss(here.have):
+            break  # nothing descends any further in double precision
+        steps.append(tried[best + 1])
+        now = found[best]
+    return Fit(steps, now.have, want)
 
 
 def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], total: float | None = None, most: float = float("inf"), settings: Settings = SETTINGS) -> DataFrame:
@@ -163,7 +215,7 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, floa
         raise ValueError("targets must be nonnegative and have a positive sum")
     weights /= weights.sum()
     members = Scratch(spark, "mixing").table(posteriors(docs, labelled, domains, settings), "members")
-    fitted = fit(members.select("n_tokens", "posterior"), weights, total, most)
+    fitted = fit(over(members.select("n_tokens", "posterior"), len(domains), most), weights, total, most)
     if not fitted.met:
         warnings.warn("targets out of reach, off by " + ", ".join(f"{d}: {x:.2%}" for d, x in zip(domains, fitted.off, strict=True)), stacklevel=2)
     steps = fitted.steps

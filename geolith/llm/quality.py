@@ -31,7 +31,8 @@ def with_scores(docs: DataFrame, table: np.ndarray, settings: Settings = SETTING
     """(doc_id, score): the probability of label 1 for each row's whole text.
 
     Null text counts as empty; empty texts, and all texts if there were no labels, score 0.5. Rows are scored
-    one by one: repeated and null doc_ids keep their rows. Other columns are ignored.
+    one by one: repeated and null doc_ids keep their rows. A very long text is scored whole, in about 60 bytes of a task's memory for each of its
+    own. Other columns are ignored.
     """
     spark = docs.sparkSession
     ready(spark)
@@ -55,7 +56,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings = SETTINGS) -> DataFrame:
     """The rows of docs that score 0.5 or more, with all their columns, in one pass over them.
 
-    Texts without evidence (null, empty, or no labels at all) score 0.5 and stay.
+    Texts without evidence (null, empty, or no labels at all) score 0.5 and stay. A very long text is scored whole, as in with_scores.
     """
     table = spark.sparkContext.broadcast(quality_model(docs, labels, settings))
 

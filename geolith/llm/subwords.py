@@ -2,8 +2,7 @@
 and character n-grams; a softmax over that mean gives its classes. Vectors and softmax are learned
 together by stochastic gradient descent in numpy.
 
-The rows that teach it are bounded by `sample_per_class`, their texts by `sample_bytes` and what is taken of a
-text by `sample_buckets`, so that their features fit the driver; all other work is one pass over the documents. As the output is linear in the vectors, tasks get one table
+The rows that teach it are bounded by `sample_per_class` and their texts by `sample_bytes`, so that their features, which travel packed, fit the driver; all other work is one pass over the documents. As the output is linear in the vectors, tasks get one table
 of class scores for each bucket, of a size that `bits` fixes.
 """
 
@@ -31,7 +30,6 @@ class Settings:
     ngrams: tuple[int, ...] = (3, 5)  # bytes of a character n-gram
     sample_per_class: int = 1200
     sample_bytes: int = 1 << 24  # of the texts that teach one class; none has more than a 64th
-    sample_buckets: int = 8192  # of a text that teaches
     epochs: int = 8
     rate: float = 0.6
     seed: int = 7
@@ -58,15 +56,9 @@ class Features:
         total = sum(segment_sums(table[b.astype(np.int64)], s, e) for b, s, e in self.groups)
         return total / np.maximum(self.n, 1).reshape(-1, *[1] * (table.ndim - 1))
 
-    def counts(self, k: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Text k's distinct buckets and how often each occurs.
-
-        Of more than `most` distinct buckets of the whole text, those stay that a hash puts first, the same ones for all texts.
-        """
+    def counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Text k's distinct buckets and how often each occurs."""
         buckets, n = np.unique(np.concatenate([b[s[k] : e[k]] for b, s, e in self.groups]), return_counts=True)
-        if len(buckets) > most:
-            stay = np.sort(np.argsort(mixed(buckets.astype(np.uint64) + np.uint64(1)), kind="stable")[:most])
-            buckets, n = buckets[stay], n[stay]
         return buckets.astype(np.int64), n
 
 
@@ -143,7 +135,7 @@ def train(docs: DataFrame, labelled: DataFrame, n_classes: int, settings: Settin
             ids, labels = batch["doc_id"].to_pylist(), batch["label"].to_pylist()
             for first, texts in blocks(batch["text"]):
                 features = Features(texts, settings)
-                each = [features.counts(k, settings.sample_buckets) for k in range(len(texts))]
+                each = [features.counts(k) for k in range(len(texts))]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(ids[first : first + len(texts)], pa.int64()), "label": pa.array(labels[first : first + len(texts)], pa.int32()),
                     "n": pa.array(features.n, pa.int64()), "features": pa.array([packed(*e) for e in each], pa.binary()),
