@@ -3,8 +3,8 @@
 Lengths up to the sequence length are all that packing depends on, so the documents are reduced to a
 count of pieces for each length: at most `capacity` numbers at any size of input. Over these counts,
 the driver indexes once which single lengths, pairs and triples have which sum, consumes combinations that fill gaps exactly
-under the counts that are left, and gives what remains to the best-fitting gap. The order in which gaps are served decides
-how well the rest fits, so several orders are planned and the one with the fewest sequences is taken. The result is a list of patterns
+under the counts that are left, and gives what remains to the best-fitting gap. A combination serves the longest piece that has no
+place yet, so that it takes no gap that a longer piece could have had. The result is a list of patterns
 (lengths, times used), also bounded by `capacity`. Pieces are then numbered within their length from
 counts that each task kept, and their number picks the place; neither texts nor ids are shuffled.
 """
@@ -37,13 +37,13 @@ class SumIndex:
     """Which single lengths, pairs and triples have which sum, under the counts that are left.
 
     Lengths that are used up never come back, so that each list is read once from its start: pairs of a sum by their larger
-    length, triples by their largest and the pairs of what that leaves. `uneven` has the larger ones first.
+    length, triples by their largest and the pairs of what that leaves. The longest come first, unless `upward`.
     """
 
-    def __init__(self, counts: np.ndarray, uneven: bool = True) -> None:
+    def __init__(self, counts: np.ndarray, upward: bool = False) -> None:
         self.left = counts.astype(np.int64)
         lengths = np.flatnonzero(self.left)
-        order = lengths[::-1] if uneven else lengths
+        order = lengths if upward else lengths[::-1]
         capacity = len(counts) - 1
         self.pairs: list[list[int]] = [[] for _ in range(capacity + 1)]  # sum -> larger lengths
         for a in order.tolist():
@@ -54,8 +54,15 @@ class SumIndex:
         self.pair_at, self.triple_at = [0] * (capacity + 1), [0] * (capacity + 1)
         self.held: list[int] = []  # lengths that a combination in the making has taken
 
-    def single(self, total: int) -> tuple[int, ...] | None:
-        return (total,) if self._free(total) > 0 else None
+    def single(self, total: int, most: int | None = None) -> tuple[int, ...] | None:
+        return (total,) if 0 < total <= (most or total) and self._free(total) > 0 else None
+
+    def beside(self, length: int, gap: int) -> tuple[int, ...] | None:
+        """What fills the gap exactly beside a piece of this length: one, two or three pieces, none longer than it."""
+        self.held.append(length)
+        found = next((f for of in (self.single, self.pair, self.triple) if (f := of(gap - length, length))), None) if gap > length else None
+        self.held.pop()
+        return found
 
     def _free(self, length: int) -> int:
         return int(self.left[length]) - self.held.count(length)
@@ -73,12 +80,13 @@ class SumIndex:
     def _used_up(self, a: int, total: int) -> bool:
         return self.left[a] <= (2 * a == total) or self.left[total - a] <= 0
 
-    def triple(self, total: int) -> tuple[int, ...] | None:
+    def triple(self, total: int, most: int | None = None) -> tuple[int, ...] | None:
+        """Three lengths with this sum, none longer than `most`."""
         found = self.triples[total]
         while self.triple_at[total] < len(found) and self.left[found[self.triple_at[total]]] <= 0:
             self.triple_at[total] += 1
         for a in found[self.triple_at[total] :]:
-            if self._free(a) > 0:
+            if (most is None or a <= most) and self._free(a) > 0:
                 self.held.append(a)
                 rest = self.pair(total - a, a)
                 self.held.pop()
@@ -95,56 +103,84 @@ class SumIndex:
             self.left[x] -= times
 
 
+class _Open:
+    """Patterns in the making by their gaps, and those without one."""
+
+    def __init__(self) -> None:
+        self.full: list[tuple[tuple[int, ...], int]] = []
+        self.gaps: dict[int, list[tuple[tuple[int, ...], int]]] = {}
+
+    def put(self, lengths: tuple[int, ...], times: int, gap: int) -> None:
+        self.gaps.setdefault(gap, []).append((lengths, times)) if gap else self.full.append((lengths, times))
+
+    def add(self, gap: int, lengths: tuple[int, ...], times: int) -> int:
+        """Adds lengths to one pattern with this gap, at most `times`; how often it was done."""
+        held, n = self.gaps[gap].pop()
+        if not self.gaps[gap]:
+            del self.gaps[gap]
+        used = min(n, times)
+        if used < n:
+            self.put(held, n - used, gap)
+        self.put((*held, *lengths), used, gap - sum(lengths))
+        return used
+
+    def all(self) -> list[tuple[tuple[int, ...], int]]:
+        return self.full + [p for group in self.gaps.values() for p in group]
+
+
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths in order of place, times used) that hold counts[l] pieces of each length l.
 
-    Of the plans for each order of serving gaps, the one with the fewest sequences, the first of equals.
+    Pieces over half of the capacity open a sequence each, as any plan must. The others come from the longest down: the gap that is exactly
+    theirs, or one that they fill with one, two or three shorter ones, fewest first and the smallest such gap, or else the best-fitting one.
+    Those that no gap had room for share sequences of their own.
+    """
+    index, made = SumIndex(counts), _Open()
+    left, rest = index.left, np.zeros(capacity + 1, np.int64)
+    for length in range(capacity, capacity // 2, -1):
+        if left[length]:
+            made.put((length,), int(left[length]), capacity - length)
+            left[length] = 0
+    for length in range(capacity // 2, 0, -1):
+        while left[length] > 0:
+            fitting = sorted(g for g in made.gaps if g >= length)
+            if not fitting:
+                rest[length], left[length] = left[length], 0
+                break
+            exact = ((len(found), g, found) for g in fitting if (found := index.beside(length, g)))
+            _, gap, found = (0, length, ()) if fitting[0] == length else min(exact, default=(0, fitting[0], ()))
+            lengths = (length, *found)
+            index.take(lengths, made.add(gap, lengths, index.times(lengths)))
+    return made.all() + _shared(rest, capacity)
+
+
+def _shared(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of pieces of at most half the capacity, none of which has a place.
+
+    The shortest first: all that sums to the capacity by twos, threes and fours, then the best-fitting gap from the longest down.
     """
-    down, up = range(capacity - 1, 0, -1), range(1, capacity)
-    each, passes = ((1, 2, 3),), ((1,), (2,), (3,))
-    plans = [_plan(counts, capacity, order, sizes, uneven) for order, sizes, uneven in ((down, each, True), (down, passes, True), (down, passes, False), (up, passes, False), (down, ((1,),), True))]
-    return min(plans, key=lambda patterns: sum(times for _, times in patterns))
-
-
-def _plan(counts: np.ndarray, capacity: int, order: range, passes: tuple[tuple[int, ...], ...], uneven: bool) -> list[tuple[tuple[int, ...], int]]:
-    """Serves the gaps beside each length in `order`, in each pass by combinations of so many lengths, then best fit."""
-    left, patterns = SumIndex(counts, uneven), []
-    if left.left[capacity]:
-        patterns.append(((capacity,), int(left.left[capacity])))
-        left.left[capacity] = 0
-    kinds = {1: left.single, 2: left.pair, 3: left.triple}
-    for sizes in passes:
-        for length in order:
-            while left.left[length] > 0:
-                left.held.append(length)  # this one has the gap
-                rest = next((found for k in sizes if (found := kinds[k](capacity - length))), None)
-                left.held.pop()
-                if rest is None:
+    index, made = SumIndex(counts, upward=True), _Open()
+    left = index.left
+    for kind in (index.single, index.pair, index.triple):
+        for length in np.flatnonzero(counts).tolist():
+            while left[length] > 0:
+                index.held.append(length)  # this one has the gap
+                found = kind(capacity - length)
+                index.held.pop()
+                if found is None:
                     break
-                patterns.append(((length, *rest), times := left.times((length, *rest))))
-                left.take((length, *rest), times)
-    gaps: dict[int, list[list]] = {}
-    for length in range(capacity - 1, 0, -1):
-        while n := int(left.left[length]):
-            if fitting := [g for g in gaps if g >= length]:
-                best = min(fitting)
-                lengths, times = gaps[best].pop()
-                gaps[best] or gaps.pop(best)
-                used = min(n, times)
-                if used < times:
-                    gaps.setdefault(best, []).append([lengths, times - used])
-                new, gap = (*lengths, length), best - length
+                made.put((length, *found), times := index.times((length, *found)), 0)
+                index.take((length, *found), times)
+    for length in np.flatnonzero(left)[::-1].tolist():
+        while left[length] > 0:
+            if fitting := [g for g in made.gaps if g >= length]:
+                left[length] -= made.add(min(fitting), (length,), int(left[length]))
             else:
-                per = min(n, capacity // length)
-                used, new = n // per, (length,) * per
-                gap = capacity - length * per
-                n_each = per
-                left.left[length] -= used * n_each
-                patterns.append((new, used)) if gap == 0 else gaps.setdefault(gap, []).append([new, used])
-                continue
-            left.left[length] -= used
-            patterns.append((new, used)) if gap == 0 else gaps.setdefault(gap, []).append([new, used])
-    return patterns + [(lengths, times) for group in gaps.values() for lengths, times in group]
+                each = min(int(left[length]), capacity // length)
+                times = int(left[length]) // each
+                made.put((length,) * each, times, capacity - each * length)
+                left[length] -= each * times
+    return made.all()
 
 
 class _Places:
