@@ -120,17 +120,24 @@ def painted_lines(lines: DataFrame, height: int, width: int, x0: float = 0.0, y0
 def painted_polygons(shapes: DataFrame, order: str, height: int, width: int) -> DataFrame:
     """(i, j, lit, top) of each cell with its centre in a polygon (outer, holes): whether the last one by `order` has it outside of its holes, and which that is.
 
-    A polygon meets the cells of its own box alone; what lies over what is one aggregate.
+    Each edge gives the place where it crosses the middle of each row that it spans; of a polygon and row, these in order bound spans of cells,
+    by ring. Only such spans are written out as cells, and what lies over what is one aggregate.
     """
-    least = lambda axis: F.array_min(F.transform("outer", lambda p: p[axis]))
-    most = lambda axis: F.array_max(F.transform("outer", lambda p: p[axis]))
-    boxed = shapes.select("*", *[f(axis).alias(f"{name}_{axis}") for name, f in (("least", least), ("most", most)) for axis in "xy"])
-    boxed = boxed.filter((F.col("most_x") >= 0) & (F.col("least_x") < width) & (F.col("most_y") >= 0) & (F.col("least_y") < height))
-    span = lambda axis, n: F.explode(F.sequence(F.greatest(F.floor(f"least_{axis}").cast("int"), F.lit(0)), F.least(F.floor(f"most_{axis}").cast("int"), F.lit(n - 1))))
-    cells = boxed.withColumn("j", span("x", width)).withColumn("i", span("y", height))
-    x, y = F.col("j") + 0.5, F.col("i") + 0.5
-    held = cells.filter(rings.contains(F.col("outer"), x, y)).withColumn("lit", ~F.exists("holes", lambda h: rings.contains(h, x, y)))
-    return held.groupBy("i", "j").agg(F.max(F.struct(F.col(order).alias("top"), "lit")).alias("m")).select("i", "j", "m.lit", "m.top")
+    ringed = shapes.select(F.col(order).alias("k"), F.posexplode(F.concat(F.array("outer"), "holes")).alias("ring", "points")).filter(F.size("points") > 2)
+    e = ringed.select("k", "ring", F.explode(rings.edges(F.col("points"))).alias("e")).select("k", "ring", *[F.col(f"e.{end}.{axis}").alias(f"{end}{axis}") for end in "ab" for axis in "xy"])
+    # rows whose middle is at or above the lower end and below the upper one
+    first = F.greatest(F.ceil(F.least("ay", "by") - 0.5), F.lit(0)).cast("int")
+    last = F.least(F.ceil(F.greatest("ay", "by") - 0.5) - 1, F.lit(height - 1)).cast("int")
+    rows = e.filter(first <= last).withColumn("i", F.explode(F.sequence(first, last)))
+    x = F.try_divide((F.col("bx") - F.col("ax")) * (F.col("i") + 0.5 - F.col("ay")), F.col("by") - F.col("ay")) + F.col("ax")
+    crossed = rows.groupBy("k", "i").agg(F.array_sort(F.collect_list(F.struct("ring", x.alias("x")))).alias("c"))
+    # a ring crosses a row an even number of times: crossings two by two bound its spans
+    spans = crossed.withColumn("s", F.transform(F.sequence(F.lit(0), (F.size("c") / 2).cast("int") - 1), lambda n: F.struct(F.col("c")[2 * n]["ring"].alias("ring"), F.ceil(F.col("c")[2 * n]["x"] - 0.5).cast("int").alias("a"), (F.ceil(F.col("c")[2 * n + 1]["x"] - 0.5) - 1).cast("int").alias("b"))))
+    parted = spans.select("k", "i", F.explode(F.filter("s", lambda s: s["ring"] == 0)).alias("o"), F.filter("s", lambda s: s["ring"] > 0).alias("h"))
+    start, stop = F.greatest("o.a", F.lit(0)), F.least("o.b", F.lit(width - 1))
+    cells = parted.filter(start <= stop).withColumn("j", F.explode(F.sequence(start, stop)))
+    held = cells.select("i", "j", "k", (~F.exists("h", lambda h: F.col("j").between(h["a"], h["b"]))).alias("lit"))
+    return held.groupBy("i", "j").agg(F.max(F.struct(F.col("k").alias("top"), "lit")).alias("m")).select("i", "j", "m.lit", "m.top")
 
 
 def distances(mask: DataFrame, height: int, width: int) -> DataFrame:

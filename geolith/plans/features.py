@@ -65,12 +65,12 @@ def q_line_buffers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {POINTS_SQL}, {LINES_SQL}, s AS (SELECT * FROM lines WHERE k % 10 = 0), c AS (SELECT i, j FROM range(-30, 30) a(i), range(-30, 30) b(j))
-SELECT i, j, count(*) AS lines FROM c JOIN s ON {_distance_sql("(j + 0.5)", "(i + 0.5)")} <= w / 2 GROUP BY i, j
+WITH {POINTS_SQL}, {LINES_SQL}, c AS (SELECT i, j FROM range(-30, 30) a(i), range(-30, 30) b(j))
+SELECT i, j, count(*) AS lines FROM c JOIN lines ON {_distance_sql("(j + 0.5)", "(i + 0.5)")} <= w / 2 GROUP BY i, j
 """)
 def q_line_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of side 1 whose centres lie within half a line's width of it, with the number of such lines."""
-    lines = _lines(spark, sf_dir).filter("k % 10 = 0")
+    lines = _lines(spark, sf_dir)
     cells = R.painted_lines(lines, 60, 60, -30.0, -30.0)
     return cells.groupBy((F.col("i") - 30).alias("i"), (F.col("j") - 30).alias("j")).agg(F.count(F.lit(1)).alias("lines"))
 
@@ -104,9 +104,10 @@ def q_polygon_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select(d(k * 7 % 50).alias("x0"), d(k * 13 % 50).alias("y0"), d(4 + F.col("p_size") % 9).alias("w"), d(4 + k % 6).alias("h"))
     x1, y1 = F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
     ring = F.array(rings.point(F.col("x0"), F.col("y0")), rings.point(x1, F.col("y0")), rings.point(x1, y1), rings.point(F.col("x0"), y1))
-    tiles = p.select(ring.alias("ring"), F.explode(cells_of_box(F.col("x0"), F.col("y0"), x1, y1, 10.0)).alias("c")).select("ring", (F.col("c.cx") * 10.0).alias("tx"), (F.col("c.cy") * 10.0).alias("ty"))
-    cut = tiles.withColumn("piece", rings.clipped_to_box(F.col("ring"), F.col("tx"), F.col("ty"), F.col("tx") + 10, F.col("ty") + 10)).withColumn("area", F.abs(rings.signed_area(F.col("piece"))))
-    return cut.filter("area > 0 AND tx < 60 AND ty < 60").groupBy("tx", "ty").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("area"), 5).alias("area"))
+    tiles = p.select(rings.edges(ring).alias("edges"), F.explode(cells_of_box(F.col("x0"), F.col("y0"), x1, y1, 10.0)).alias("c")).select("edges", (F.col("c.cx") * 10.0).alias("tx"), (F.col("c.cy") * 10.0).alias("ty"))
+    area = rings.area_in_box(F.col("edges"), F.col("tx"), F.col("ty"), F.col("tx") + 10, F.col("ty") + 10)
+    cut = tiles.filter("tx < 60 AND ty < 60").select("tx", "ty", F.explode(F.array(area)).alias("area"))  # explode: else each use of it computes it again
+    return cut.groupBy("tx", "ty").agg(F.count_if(F.col("area") > 0).alias("n"), F.round(F.sum("area"), 5).alias("area")).filter("n > 0")
 
 
 @query(f"WITH {_utm_sql()} SELECT s_suppkey, round(18.5 + (s_suppkey * 7919 % 5000) / 1000.0::DOUBLE, 7) AS lon, round(40.0 + (s_suppkey * 104729 % 3000) / 1000.0::DOUBLE, 7) AS lat FROM utm")

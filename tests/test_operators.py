@@ -238,3 +238,37 @@ def test_clipping_keeps_the_area_inside(spark):
         for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
             inside &= (bx - ax) * (y - ay) - (by - ay) * (x - ax) >= 0
         assert abs(got[k] - inside.mean() * 100) < 0.8
+    summed = {r["k"]: r["area"] for r in d.select("k", rings.area_in_box(rings.edges(F.col("ring")), *box).alias("area")).collect()}
+    assert summed == pytest.approx(got, abs=1e-9)
+
+
+def test_area_in_a_box_of_concave_rings(spark):
+    """A comb whose teeth alone reach into the box, either way round, and a box inside and outside of it."""
+    comb = [(0, 0), (9, 0), (9, 10), (8, 10), (8, 1), (5, 1), (5, 10), (4, 10), (4, 1), (1, 1), (1, 10), (0, 10)]
+    d = spark.createDataFrame([(k, [{"x": float(x), "y": float(y)} for x, y in r]) for k, r in ((0, comb), (1, comb[::-1]))], "k INT, ring ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>")
+    areas = lambda *box: {r[0] for r in d.select(rings.area_in_box(rings.edges(F.col("ring")), *[F.lit(float(v)) for v in box]).alias("a")).collect()}
+    assert areas(0, 5, 9, 8) == {9.0} and areas(0.5, 5, 4.5, 7) == {2.0} and areas(2, 3, 3, 4) == {0.0} and areas(2, 0, 4, 0.5) == {1.0} and areas(-5, -5, 20, 20) == {9.0 + 27.0}
+
+
+def test_painted_polygons_as_point_by_point(spark):
+    """Concave outlines and two holes, one of which reaches out of the polygon, against the even-odd rule of each cell."""
+    rng = np.random.default_rng(8)
+    shapes = []
+    for k in range(12):
+        c = rng.uniform(0, 30, 2)
+        around = lambda r, n, c=c: [(float(c[0] + s * np.cos(a)), float(c[1] + s * np.sin(a))) for a, s in zip(np.sort(rng.uniform(0, 2 * np.pi, n)), rng.uniform(r / 3, r, n))]
+        shapes.append((k, around(12, 11), [around(4, 5), around(9, 3)] if k % 2 else []))
+    ring = lambda r: [{"x": x, "y": y} for x, y in r]
+    d = spark.createDataFrame([(k, ring(o), [ring(h) for h in hs]) for k, o, hs in shapes], "k INT, outer ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>, holes ARRAY<ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>>")
+
+    def inside(r, x, y):
+        return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(r, r[1:] + r[:1])) % 2 == 1
+
+    want = {}
+    for k, o, hs in shapes:
+        for i in range(25):
+            for j in range(30):
+                if inside(o, j + 0.5, i + 0.5):
+                    want[i, j] = (not any(inside(h, j + 0.5, i + 0.5) for h in hs), k)
+    got = {(r["i"], r["j"]): (r["lit"], r["top"]) for r in rasters.painted_polygons(d, "k", 25, 30).collect()}
+    assert got == want
