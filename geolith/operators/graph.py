@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geolith.operators.rasters import checkpointed
+from geolith.session import Rounds
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -18,16 +18,17 @@ def connected(edges: DataFrame) -> DataFrame:
 
     Each round hangs a node's neighbours on the smallest of them, first those above it, then those below, until
     nothing changes: stars around the labels, after rounds that grow with the logarithm of a component's length.
-    Each is checkpointed, where executors share a folder for it.
+    Each is written out in the session's shared folder.
     """
+    rounds, nodes_at = Rounds(edges.sparkSession, "components"), Rounds(edges.sparkSession, "component-nodes")
     turned = lambda d: d.select(F.col("v").alias("u"), F.col("u").alias("v"))
-    edges = checkpointed(edges.select("u", "v").distinct())
+    edges = nodes_at.write(edges.select("u", "v").distinct())
     at = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     mark = None
     while True:
         large = _with_least(at.union(turned(at))).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         hung = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        at = checkpointed(_with_least(large.distinct()).select(hung.alias("e")).select("e.u", "e.v").filter("u <> v").distinct())
+        at = rounds.write(_with_least(large.distinct()).select(hung.alias("e")).select("e.u", "e.v").filter("u <> v").distinct())
         now = at.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == mark:
             break

@@ -81,11 +81,6 @@ def labelled(mask: DataFrame, width: int) -> DataFrame:
     return at.join(labels, F.col("u") == F.col("node")).select("i", "j", "label")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df cut from its lineage in the session's checkpoint folder; unchanged where none is set."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
-
-
 def bilinear(raster: DataFrame, samples: DataFrame, height: int, width: int) -> DataFrame:
     """Samples (y, x in cells) with z between their four cells; places beyond the border count as the border."""
     y, x = F.least(F.greatest(F.col("y"), F.lit(0.0)), F.lit(height - 1.0)), F.least(F.greatest(F.col("x"), F.lit(0.0)), F.lit(width - 1.0))
