@@ -36,10 +36,10 @@ class GridSpec:
 AXIS, FLATTENING, SCALE, FALSE_EAST = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0
 
 
-def third_flattening() -> tuple[float, float, list[float]]:
+def third_flattening(axis: float = AXIS, flattening: float = FLATTENING) -> tuple[float, float, list[float]]:
     """Rectifying radius, eccentricity and the sixth-order Krueger coefficients of the forward series."""
-    n = FLATTENING / (2 - FLATTENING)
-    radius = AXIS / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
+    n = flattening / (2 - flattening)
+    radius = axis / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
     alpha = [
         n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180 - 127 * n**5 / 288 + 7891 * n**6 / 37800,
         13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440 + 281 * n**5 / 630 - 1983433 * n**6 / 1935360,
@@ -51,23 +51,53 @@ def third_flattening() -> tuple[float, float, list[float]]:
     return radius, (2 * n**0.5) / (1 + n), alpha
 
 
+@dataclass(frozen=True)
+class TransverseMercator:
+    """A projection: central meridian in degrees, scale there, false easting, and the ellipsoid."""
+
+    meridian: float
+    scale: float = SCALE
+    east: float = FALSE_EAST
+    axis: float = AXIS
+    flattening: float = FLATTENING
+
+    def forward(self, lon: Column, lat: Column) -> tuple[Column, Column]:
+        """Easting and northing on the northern hemisphere."""
+        radius, ecc, alpha = third_flattening(self.axis, self.flattening)
+        phi, lam = F.radians(lat), F.radians(lon - F.lit(self.meridian))
+        sine = F.sin(phi)
+        t = F.sinh(F.atanh(sine) - F.lit(ecc) * F.atanh(F.lit(ecc) * sine))
+        xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
+        north, east = xi, eta
+        for j, a in enumerate(alpha, 1):
+            north = north + F.lit(a) * F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j))
+            east = east + F.lit(a) * F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j))
+        return F.lit(self.east) + F.lit(self.scale * radius) * east, F.lit(self.scale * radius) * north
+
+    def inverse(self, e: Column, n: Column) -> tuple[Column, Column]:
+        """Longitude and latitude on the northern hemisphere."""
+        radius, ecc, _ = third_flattening(self.axis, self.flattening)
+        x, y = n / F.lit(self.scale * radius), (e - self.east) / F.lit(self.scale * radius)
+        xi, eta = x, y
+        for j, b in enumerate(inverse_series(self.flattening), 1):
+            xi = xi - F.lit(b) * F.sin(x * (2.0 * j)) * F.cosh(y * (2.0 * j))
+            eta = eta - F.lit(b) * F.cos(x * (2.0 * j)) * F.sinh(y * (2.0 * j))
+        t = F.sin(xi) / F.sqrt(F.sinh(eta) * F.sinh(eta) + F.cos(xi) * F.cos(xi))
+        conformal = F.asinh(t)
+        q = conformal
+        for _ in range(5):
+            q = conformal + F.lit(ecc) * F.atanh(F.lit(ecc) * F.tanh(q))
+        return F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + F.lit(self.meridian), F.degrees(F.atan(F.sinh(q)))
+
+
 def utm_forward(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
     """Easting and northing on the northern hemisphere."""
-    radius, ecc, alpha = third_flattening()
-    phi, lam = F.radians(lat), F.radians(lon - F.lit(6.0 * zone - 183.0))
-    sine = F.sin(phi)
-    t = F.sinh(F.atanh(sine) - F.lit(ecc) * F.atanh(F.lit(ecc) * sine))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    north, east = xi, eta
-    for j, a in enumerate(alpha, 1):
-        north = north + F.lit(a) * F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j))
-        east = east + F.lit(a) * F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j))
-    return F.lit(FALSE_EAST) + F.lit(SCALE * radius) * east, F.lit(SCALE * radius) * north
-
-
-def inverse_series() -> list[float]:
+    return TransverseMercator(6.0 * zone - 183.0).forward(lon, lat)
+
+
+def inverse_series(flattening: float = FLATTENING) -> list[float]:
     """Fixed values of the inverse transverse Mercator series, to the sixth order of the third flattening."""
-    n = FLATTENING / (2 - FLATTENING)
+    n = flattening / (2 - flattening)
     return [
         n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360 - 81 * n**5 / 512 + 96199 * n**6 / 604800,
         n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440 + 46 * n**5 / 105 - 1118711 * n**6 / 3870720,
@@ -80,18 +110,7 @@ def inverse_series() -> list[float]:
 
 def utm_inverse(e: Column, n: Column, zone: int) -> tuple[Column, Column]:
     """Longitude and latitude of UTM coordinates on the northern hemisphere."""
-    radius, ecc, _ = third_flattening()
-    x, y = n / F.lit(SCALE * radius), (e - FALSE_EAST) / F.lit(SCALE * radius)
-    xi, eta = x, y
-    for j, b in enumerate(inverse_series(), 1):
-        xi = xi - F.lit(b) * F.sin(x * (2.0 * j)) * F.cosh(y * (2.0 * j))
-        eta = eta - F.lit(b) * F.cos(x * (2.0 * j)) * F.sinh(y * (2.0 * j))
-    t = F.sin(xi) / F.sqrt(F.sinh(eta) * F.sinh(eta) + F.cos(xi) * F.cos(xi))
-    conformal = F.asinh(t)
-    q = conformal
-    for _ in range(5):
-        q = conformal + F.lit(ecc) * F.atanh(F.lit(ecc) * F.tanh(q))
-    return F.degrees(F.atan2(F.sinh(eta), F.cos(xi))) + F.lit(6.0 * zone - 183.0), F.degrees(F.atan(F.sinh(q)))
+    return TransverseMercator(6.0 * zone - 183.0).inverse(e, n)
 
 
 def slippy_tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:

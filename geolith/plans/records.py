@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geolith.functions import geo, rings
+from geolith.functions import datum, geo, rings
 from geolith.functions.colour import clamped_shift
 from geolith.operators.proximity import cells_of_box
 from geolith.plans.features import _PARTS_SQL, LINES_SQL, _lines
@@ -29,6 +29,29 @@ def q_placement_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("s_suppkey", F.round("px", 4).alias("pos_x"), F.round("py", 4).alias("pos_y"), F.round("ori", 6).alias("ori"), F.round(F.lit(ANCHOR_E) - F.col("px"), 3).alias("e"), F.round(F.col("py") + ANCHOR_N, 3).alias("n"))
 
 
+def _datum_sql() -> str:
+    """Places shifted to the other datum and projected there, step by step."""
+    t, a, f = datum.BALKANS_SHIFT, datum.BESSEL_AXIS, datum.BESSEL_FLATTENING
+    e2, b2 = geo.FLATTENING * (2 - geo.FLATTENING), f * (2 - f)
+    radius, ecc, alpha = geo.third_flattening(a, f)
+    north = " + ".join(f"{c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(alpha, 1))
+    east = " + ".join(f"{c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(alpha, 1))
+    near = lambda beta: f"atan2(z + {b2 / (1 - b2) * a * (1 - f)!r} * pow(sin({beta}), 3), sqrt(x * x + y * y) - {b2 * a!r} * pow(cos({beta}), 3))"
+    return f"""{PLACES_SQL}, g AS (SELECT s_suppkey, lon AS lon0, lat AS lat0, radians(lat) AS p, radians(lon) AS l, {geo.AXIS!r} / sqrt(1 - {e2!r} * sin(radians(lat)) * sin(radians(lat))) AS n FROM places),
+c AS (SELECT s_suppkey, lon0, lat0, n * cos(p) * cos(l) - ({t.x}) AS x, n * cos(p) * sin(l) - ({t.y}) AS y, n * {1 - e2!r} * sin(p) - ({t.z}) AS z FROM g),
+q AS (SELECT *, {near(f"atan2(z, sqrt(x * x + y * y) * {1 - f!r})")} AS phi1 FROM c), r AS (SELECT *, {near(f"atan2({1 - f!r} * sin(phi1), cos(phi1))")} AS phi, atan2(y, x) - radians(21) AS lam FROM q),
+s AS (SELECT *, sinh(atanh(sin(phi)) - {ecc!r} * atanh({ecc!r} * sin(phi))) AS t FROM r), w AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM s),
+shifted AS (SELECT s_suppkey, lon0, lat0, 7500000 + {datum.BALKANS_7.scale * radius!r} * (eta + {east}) AS e, {datum.BALKANS_7.scale * radius!r} * (xi + {north}) AS n FROM w)"""
+
+
+@query(f"WITH {_datum_sql()} SELECT s_suppkey, round(e, 4) AS e, round(n, 4) AS n, round(lon0, 7) AS lon, round(lat0, 7) AS lat FROM shifted")
+def q_datum_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places in the coordinates of another datum and projection, and the places again from these."""
+    there = datum.to_balkans_7(supplier_places(spark, sf_dir).select("s_suppkey", "lon", "lat", F.lit(0.0).alias("h")), "lon", "lat", "e", "n", "h").select("s_suppkey", "e", "n", "h")
+    back = datum.balkans_7(there, "e", "n", "lon", "lat", "h")
+    return back.select("s_suppkey", F.round("e", 4).alias("e"), F.round("n", 4).alias("n"), F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
+
+
 def _laea_sql() -> str:
     t = geo.laea_terms()
     q = f"(1 - {t.ecc**2!r}) * (s / (1 - {t.ecc**2!r} * s * s) - ln((1 - {t.ecc!r} * s) / (1 + {t.ecc!r} * s)) / (2 * {t.ecc!r}))"
