@@ -139,3 +139,21 @@ def q_runway_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("k"), F.round(along, 5).alias("along"), F.round(across, 5).alias("across"), ((F.abs(across) <= 60) & (F.abs(along) <= 150)).alias("on_runway"),
         (F.abs(geo.axis_difference(F.col("heading"), F.lit(30.0))) <= 3).alias("aligned"),
     )
+
+
+@query("""
+WITH b AS (SELECT p_partkey AS k, (p_partkey * 7919) % 65536 AS a, (p_partkey * 104729) % 65536 AS b, (p_partkey * 2654435761) % 4294967296 AS bits FROM part),
+e AS (SELECT *, ((a >> 11) << 3) | (a >> 13) AS r0, (((a >> 5) & 63) << 2) | ((a >> 9) & 3) AS g0, ((a & 31) << 3) | ((a & 31) >> 2) AS b0, ((b >> 11) << 3) | (b >> 13) AS r1, (((b >> 5) & 63) << 2) | ((b >> 9) & 3) AS g1, ((b & 31) << 3) | ((b & 31) >> 2) AS b1 FROM b),
+p AS (SELECT *, n // 4 AS i, n % 4 AS j, (bits >> (2 * n)) & 3 AS c, a > b AS four FROM e, range(16) t(n)),
+m AS (SELECT k, i, j, c, four, CASE c WHEN 0 THEN 3 WHEN 1 THEN 0 WHEN 2 THEN CASE WHEN four THEN 2 ELSE -1 END ELSE CASE WHEN four THEN 1 ELSE -2 END END AS w, r0, g0, b0, r1, g1, b1 FROM p)
+SELECT k, i::INT AS i, j::INT AS j, (CASE w WHEN -2 THEN 0 WHEN -1 THEN (r0 + r1) // 2 ELSE (w * r0 + (3 - w) * r1) // 3 END)::INT AS r, (CASE w WHEN -2 THEN 0 WHEN -1 THEN (g0 + g1) // 2 ELSE (w * g0 + (3 - w) * g1) // 3 END)::INT AS g,
+  (CASE w WHEN -2 THEN 0 WHEN -1 THEN (b0 + b1) // 2 ELSE (w * b0 + (3 - w) * b1) // 3 END)::INT AS b, (CASE w WHEN -2 THEN 0 ELSE 255 END)::INT AS a FROM m
+""")
+def q_block_texture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels of compressed blocks, whose colours and bits follow from the part."""
+    from geolith.sources.textures import block_pixels
+
+    k = F.col("p_partkey")
+    little = lambda v, n: F.concat(*[F.lpad(F.hex(F.shiftright(v, 8 * b).bitwiseAND(F.lit(255))), 2, "0") for b in range(n)])
+    block = F.unhex(F.concat(little(k * 7919 % 65536, 2), little(k * 104729 % 65536, 2), little(k * 2654435761 % 4294967296, 4)))
+    return block_pixels(table(spark, sf_dir, "part").select(k.alias("k"), block.alias("block")), "block")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from geolith.sources import formats
+from geolith.sources.store import located, read_range, size_of
 
 OBJECT_ROWS = "x float, y float, z float, scale float, heading float, name string"
 AIRPORT_ROWS = "name string, lat float, lon float, elevation float, direction int, length int, width int, frequency float"
@@ -87,10 +88,11 @@ def encoded_grids(cells: DataFrame, side: int, encode: Callable[[np.ndarray], by
 
 
 class FileSink(DataSource):
-    """format("geolith_files"): rows of (name, content) become files of a folder that all executors mount.
+    """format("geolith_files"): rows of (name, content) become files of a folder of any store that pyarrow knows.
 
     A file is written under another name and takes its own when the job commits, so a lost executor leaves
-    none half written; option overwrite = false keeps files that are there.
+    none half written. Option overwrite = false keeps files that are there. With an option backup, a folder, a file that is overwritten for the first time is
+    kept there under its name: later ones leave the first backup as it is.
     """
 
     @classmethod
@@ -101,42 +103,52 @@ class FileSink(DataSource):
         return "name string, content binary"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return _FileWriter(self.options["path"], self.options.get("overwrite", "true").lower() != "false")
+        return _FileWriter(self.options["path"], self.options.get("overwrite", "true").lower() != "false", self.options.get("backup"))
 
 
 class _FileWriter(DataSourceWriter):
-    def __init__(self, path: str, overwrite: bool) -> None:
-        self.path, self.overwrite = path.removeprefix("file://"), overwrite
+    def __init__(self, path: str, overwrite: bool, backup: str | None) -> None:
+        self.path, self.overwrite, self.backup = path.rstrip("/"), overwrite, backup and backup.rstrip("/")
 
     def write(self, iterator) -> WriterCommitMessage:
-        import os
         import uuid
 
         done = []
+        store, root = located(self.path)
         for row in iterator:
-            final = os.path.join(self.path, row["name"])
-            os.makedirs(os.path.dirname(final), exist_ok=True)
+            final = f"{root}/{row['name']}"
+            store.create_dir(final.rpartition("/")[0])
             draft = f"{final}.{uuid.uuid4().hex}.part"
-            with open(draft, "wb") as f:
+            with store.open_output_stream(draft) as f:
                 f.write(row["content"])
-            done.append((draft, final))
+            done.append((draft, row["name"]))
         return _Done(done)
 
     def commit(self, messages: list) -> None:
-        import os
-
-        for draft, final in (x for m in messages if m for x in m.files):
-            if self.overwrite or not os.path.exists(final):
-                os.replace(draft, final)
-            else:
-                os.remove(draft)
+        from pyarrow.fs import FileType
+
+        store, root = located(self.path)
+        there = lambda s, path: s.get_file_info(path).type != FileType.NotFound
+        for draft, name in (x for m in messages if m for x in m.files):
+            final = f"{root}/{name}"
+            if there(store, final) and not self.overwrite:
+                store.delete_file(draft)
+                continue
+            if self.backup and there(store, final):
+                kept, folder = located(self.backup)
+                first = f"{folder}/{name}"
+                if not there(kept, first):
+                    kept.create_dir(first.rpartition("/")[0])
+                    with store.open_input_stream(final) as old, kept.open_output_stream(f"{first}.part") as new:
+                        while part := old.read(1 << 20):
+                            new.write(part)
+                    kept.move(f"{first}.part", first)
+            store.move(draft, final)
 
     def abort(self, messages: list) -> None:
-        import os
-
-        for draft, _ in (x for m in messages if m for x in m.files):
-            if os.path.exists(draft):
-                os.remove(draft)
+        store, _ = located(self.path)
+        for draft, _name in (x for m in messages if m for x in m.files):
+            store.delete_file(draft)
 
 
 class _Done(WriterCommitMessage):
@@ -147,7 +159,7 @@ class _Done(WriterCommitMessage):
 class RawRaster(DataSource):
     """format("geolith_raster"): a headerless raster of 16-bit heights, read in bands of rows.
 
-    Options: path (below a folder that all executors mount), width, height, band (rows a task). Values below 0
+    Options: path (of any store that pyarrow knows), width, height, band (rows a task). Values below 0
     become 0; a file of another size is an error.
     """
 
@@ -160,7 +172,7 @@ class RawRaster(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         o = self.options
-        return _BandReader(o["path"].removeprefix("file://"), int(o["width"]), int(o["height"]), int(o.get("band", "256")))
+        return _BandReader(o["path"], int(o["width"]), int(o["height"]), int(o.get("band", "256")))
 
 
 class _BandReader(DataSourceReader):
@@ -168,16 +180,12 @@ class _BandReader(DataSourceReader):
         self.path, self.width, self.height, self.band = path, width, height, band
 
     def partitions(self) -> list[InputPartition]:
-        import os
-
-        if (size := os.path.getsize(self.path)) != 2 * self.width * self.height:
+        if (size := size_of(self.path)) != 2 * self.width * self.height:
             raise ValueError(f"{size // 2} samples are not {self.width} x {self.height}")
         return [InputPartition(row) for row in range(0, self.height, self.band)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         rows = min(self.band, self.height - partition.value)
-        with open(self.path, "rb") as f:
-            f.seek(2 * self.width * partition.value)
-            z = formats.decode_heights(f.read(2 * self.width * rows), self.width, rows)
+        z = formats.decode_heights(read_range(self.path, 2 * self.width * partition.value, 2 * self.width * rows), self.width, rows)
         i, j = np.indices(z.shape, dtype=np.int32)
         yield pa.RecordBatch.from_arrays([pa.array((i + partition.value).ravel()), pa.array(j.ravel()), pa.array(z.ravel().astype(np.int32))], ["i", "j", "z"])
