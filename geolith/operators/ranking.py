@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,13 +31,17 @@ def numbered(rows: DataFrame, by: list[str], bucket: Column, order: list[Column
 def percentiles(rows: DataFrame, by: str, value: str, shares: list[float], width: float) -> DataFrame:
     """(by, p): the exact percentiles of the values of each key, with straight lines between neighbours.
 
-    Equal values are counted first, and those counts added up over buckets of values `width` wide, so that no key's values meet in one task.
+    A first pass counts the values in buckets `width` wide, which tells the buckets that hold the wanted ranks; a second one takes the values of
+    these alone, equal ones as one. So few values are shuffled, and no key's values meet in one task.
     """
-    counts = rows.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", F.floor(F.col(value) / width))
-    totals = counts.groupBy(by, "_b").agg(F.sum("_c").alias("_s"))
-    ahead = totals.select(by, "_b", exclusive_sum("_s", by, "_b").alias("_ahead"), F.sum("_s").over(Window.partitionBy(by)).alias("_all"))
+    there = rows.filter(F.col(value).isNotNull()).select(by, value, F.floor(F.col(value) / width).alias("_b"))
+    totals = there.groupBy(by, "_b").agg(F.count(F.lit(1)).alias("_s"))
+    ahead = totals.select(by, "_b", "_s", exclusive_sum("_s", by, "_b").alias("_ahead"), F.sum("_s").over(Window.partitionBy(by)).alias("_all"))
+    ranks = [f((F.col("_all") - 1) * F.lit(share)) for share in shares for f in (F.floor, F.ceil)]
+    holds = reduce(lambda a, b: a | b, [(F.col("_ahead") <= r) & (r < F.col("_ahead") + F.col("_s")) for r in ranks])
+    counts = there.join(ahead.filter(holds).drop("_s"), [by, "_b"]).groupBy(by, "_b", value, "_ahead", "_all").agg(F.count(F.lit(1)).alias("_c"))
     within = F.sum("_c").over(Window.partitionBy(by, "_b").orderBy(value))
-    d = counts.withColumn("_end", within).join(ahead, [by, "_b"]).withColumn("_end", F.col("_ahead") + F.col("_end")).withColumn("_start", F.col("_end") - F.col("_c"))
+    d = counts.withColumn("_end", F.col("_ahead") + within).withColumn("_start", F.col("_end") - F.col("_c"))
     found = []
     for k, share in enumerate(shares):
         place = (F.col("_all") - 1) * F.lit(share)
