@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geolith.functions import rings
 from geolith.session import Rounds
 
 #: Directions of edges on cells' sides, clockwise from the top one as rows go down: east, south, west, north.
@@ -242,6 +243,30 @@ def repaired(polygons: DataFrame, key: str, ring: str, cell: float, snap: float
     return union(polygons, key, ring, cell, snap, group=key).withColumnRenamed("g", key)
 
 
+def snapped(rows: DataFrame, key: str, ring: str, fill: float) -> DataFrame:
+    """rows with `snapped`, whether their ring has at least the share `fill` of the smallest rectangle around it, and that rectangle in place of such a ring.
+
+    A side of the smallest rectangle goes through two vertices: each pair's direction is tried, in one aggregate. For rings of few vertices, such as simplified ones. Rings
+    whose vertices are fewer than three, or all on one line, stay.
+    """
+    n = F.size(ring)
+    later = lambda i: F.slice(ring, i + 2, F.greatest(n - i - 1, F.lit(0)))
+    ways = F.flatten(F.transform(ring, lambda p, i: F.transform(later(i), lambda q: F.struct((q["x"] - p["x"]).alias("x"), (q["y"] - p["y"]).alias("y")))))
+    tried = rows.filter(n > 2).select(F.col(key).alias("_k"), F.col(ring).alias("_r"), F.explode(F.array_distinct(ways)).alias("d"))
+    length = F.hypot("d.x", "d.y")
+    turned = tried.filter(length > 0).select("_k", "_r", (F.col("d.x") / length).alias("ux"), (F.col("d.y") / length).alias("uy"))
+    along = F.transform("_r", lambda p: p["x"] * F.col("ux") + p["y"] * F.col("uy"))
+    across = F.transform("_r", lambda p: p["y"] * F.col("ux") - p["x"] * F.col("uy"))
+    spans = turned.select("_k", "ux", "uy", F.array_min(along).alias("a0"), F.array_max(along).alias("a1"), F.array_min(across).alias("b0"), F.array_max(across).alias("b1"))
+    best = spans.groupBy("_k").agg(F.min(F.struct(((F.col("a1") - F.col("a0")) * (F.col("b1") - F.col("b0"))).alias("area"), "ux", "uy", "a0", "a1", "b0", "b1")).alias("m"))
+    m = lambda c: F.col(f"m.{c}")
+    corner = lambda a, b: F.struct((m(a) * m("ux") - m(b) * m("uy")).alias("x"), (m(a) * m("uy") + m(b) * m("ux")).alias("y"))
+    is_like = F.coalesce((m("area") > 0) & (F.abs(rings.signed_area(F.col(ring))) >= fill * m("area") * (1 - 1e-9)), F.lit(False))
+    found = rows.join(best, F.col(key) == F.col("_k"), "left").withColumn("snapped", is_like)
+    rectangle = F.array(corner("a0", "b0"), corner("a1", "b0"), corner("a1", "b1"), corner("a0", "b1"))
+    return found.withColumn(ring, F.when(F.col("snapped"), rectangle).otherwise(F.col(ring))).drop("_k", "m")
+
+
 def ring_rows(corners: DataFrame, *by: str) -> DataFrame:
     """(by, ring, points): the corners of each ring as one array, for rings of which each fits a row."""
     return corners.groupBy(*by, "ring").agg(F.array_sort(F.collect_list(F.struct("place", "x", "y"))).alias("p")).select(*by, "ring", F.transform("p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("points"))

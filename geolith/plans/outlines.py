@@ -80,3 +80,17 @@ def q_ring_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = B.repaired(p, "k", "ring", 16.0).groupBy("k", "ring").agg(F.count(F.lit(1)).alias("n"), F.first("area").alias("area"))
     by_part = each.groupBy("k").agg(F.count(F.lit(1)).cast("int").alias("rings"), F.sum("n").cast("int").alias("corners"), F.round(F.sum("area"), 3).alias("area"))
     return p.select("k").join(by_part, "k", "left").select("k", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rings", "corners")], F.coalesce("area", F.lit(0.0)).alias("area"))
+
+
+@query(f"""
+WITH {_SHAPES_SQL}, v AS MATERIALIZED (SELECT k, n, x::DOUBLE AS x, y::DOUBLE AS y FROM (SELECT k, unnest([1, 2, 3, 4, 5, 6]) AS n, unnest([x0, x0 + w, x0 + w, x0 + 2, x0 + 2, x0]) AS x, unnest([y0, y0, y0 + 2, y0 + 2, y0 + h, y0 + h]) AS y FROM p WHERE l
+  UNION ALL SELECT k, unnest([1, 2, 3, 4]), unnest([x0, x0 + w, x0 + w, x0]), unnest([y0, y0, y0 + h, y0 + h]) FROM p WHERE NOT l)),
+d AS (SELECT a.k, a.n, b.n AS m, (b.x - a.x) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS ux, (b.y - a.y) / sqrt(pow(b.x - a.x, 2) + pow(b.y - a.y, 2)) AS uy FROM v a JOIN v b ON a.k = b.k AND b.n > a.n),
+r AS (SELECT d.k, (max(x * ux + y * uy) - min(x * ux + y * uy)) * (max(y * ux - x * uy) - min(y * ux - x * uy)) AS area FROM d JOIN v USING (k) GROUP BY d.k, d.n, d.m),
+o AS (SELECT k, min(area) AS area FROM r GROUP BY k), s AS (SELECT k, o.area, CASE WHEN l THEN w * h - (w - 2) * (h - 2) ELSE w * h END AS own FROM o JOIN p USING (k))
+SELECT k, own >= 0.75 * area * (1 - 1e-9) AS snapped, round(CASE WHEN own >= 0.75 * area * (1 - 1e-9) THEN area ELSE own END, 4) AS area FROM s
+""")
+def q_rectangle_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rings that fill three quarters of their smallest rectangle become it; others stay."""
+    found = B.snapped(_shapes(spark, sf_dir), "k", "ring", 0.75)
+    return found.select("k", "snapped", F.round(F.abs(rings.signed_area(F.col("ring"))), 4).alias("area"))

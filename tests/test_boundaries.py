@@ -138,3 +138,13 @@ def test_repair_is_valid_and_idempotent(spark):
     again = B.repaired(B.ring_rows(once, "k").select("k", F.col("points").alias("ring")), "k", "ring", 4.0)
     key = lambda d: sorted((r["k"], r["place"], round(r["x"], 4), round(r["y"], 4), round(r["area"], 3)) for r in d.collect())
     assert key(again) == key(once)
+
+
+def test_rings_like_rectangles_are_snapped(spark):
+    turned = [(3.0, 0.0), (11.0, 6.0), (8.0, 10.0), (0.0, 4.0)]  # 10 by 5
+    nicked = [*turned[:2], (9.0, 8.5), (8.0, 10.0), (0.0, 4.0)]
+    triangle = [(0, 0), (4, 0), (0, 4)]
+    d = polygons(spark, [(1, turned), (2, nicked), (3, triangle), (4, [(0, 0), (1, 1), (2, 2)]), (5, [(0, 0), (1, 0)])])
+    got = {r["k"]: (r["snapped"], [(round(p["x"], 6), round(p["y"], 6)) for p in r["ring"]]) for r in B.snapped(d, "k", "ring", 0.8).collect()}
+    assert got[1][0] and sorted(got[1][1]) == sorted(turned) and got[2][0] and abs(area(got[2][1])) == pytest.approx(50)
+    assert got[3] == (False, triangle) and not got[4][0] and got[5] == (False, [(0, 0), (1, 0)])
