@@ -9,6 +9,7 @@ from geolith.functions import rings
 from geolith.operators import boundaries as B
 from geolith.plans.registry import Registry
 from geolith.plans.tables import HOURS, RASTER_SQL, event_raster, table
+from geolith.sources import mesh
 
 query = Registry()
 
@@ -94,3 +95,20 @@ def q_rectangle_snap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rings that fill three quarters of their smallest rectangle become it; others stay."""
     found = B.snapped(_shapes(spark, sf_dir), "k", "ring", 0.75)
     return found.select("k", "snapped", F.round(F.abs(rings.signed_area(F.col("ring"))), 4).alias("area"))
+
+
+@query(f"""
+WITH {_SHAPES_SQL}, b AS (SELECT printf('model-%d', k % 37) AS path, k, w::DOUBLE AS w, h::DOUBLE AS h, 3.0 + k % 5 AS z FROM p)
+SELECT path, count(*) AS objects, sum(10)::BIGINT AS triangles, round(sum(2 * (w + h) * z + w * h), 3) AS area FROM b GROUP BY path
+""")
+def q_model_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as boxes with walls and a roof, written as models of many objects and read back: objects, triangles and surface of each."""
+    k = F.col("k")
+    shapes = _shapes(spark, sf_dir)
+    box = lambda f, axis: f(F.transform("ring", lambda p: p[axis]))
+    corners = [(F.array_min, F.array_min), (F.array_max, F.array_min), (F.array_max, F.array_max), (F.array_min, F.array_max)]
+    ring = F.array(*[rings.point(box(fx, "x"), box(fy, "y")) for fx, fy in corners])
+    models = shapes.select(F.format_string("model-%d", k % 37).alias("path"), k.alias("place"), F.format_string("part %d", "k").alias("name"), F.lit("wall.png").alias("texture"), ring.alias("ring"), (3.0 + k % 5).alias("height"))
+    files = mesh.encoded(models)
+    objects = mesh.objects(files).groupBy("path").agg(F.count(F.lit(1)).alias("objects"))
+    return objects.join(mesh.surface_area(mesh.triangles(files)), "path").select("path", "objects", "triangles", F.round("area", 3).alias("area"))

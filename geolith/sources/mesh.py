@@ -28,48 +28,103 @@ def offsets(sizes: DataFrame) -> DataFrame:
     return sizes.withColumns({"first_vertex": exclusive_sum("vertices", "file", "place"), "first_index": exclusive_sum("indices", "file", "place")})
 
 
-def encode(objects: list[tuple[str, str, np.ndarray, np.ndarray, list[float]]]) -> bytes:
-    """A file of objects (name, texture, vertices n x 8, indices into its own vertices, material)."""
+def encode(objects: list[tuple[str, str, np.ndarray, np.ndarray, list[float]]], order: list[int] | None = None) -> bytes:
+    """A file of objects (name, texture, vertices n x 8, indices into its own vertices, material); `order` is that of the objects' parts in the pool, if it isn't theirs."""
     n = len(objects)
-    out, vertices, indices = [MAGIC, struct.pack(">3i", 0, n, n)], [], []
+    out, place = [MAGIC, struct.pack(">3i", 0, n, n)], {}
     first_vertex = first_index = 0
+    for k in order or range(n):
+        place[k] = first_vertex, first_index
+        first_vertex, first_index = first_vertex + len(objects[k][2]), first_index + len(objects[k][3])
     for k, (name, texture, v, i, material) in enumerate(objects):
         if len(i) and not 0 <= int(i.min()) <= int(i.max()) < len(v):
             raise ValueError(f"an index of {name} is out of range")
         if len(material) != MATERIAL_FLOATS or len(texture.encode("latin-1")) > 255:
             raise ValueError(f"material or texture of {name} does not fit")
         title, skin = name.encode("latin-1"), texture.encode("latin-1")
-        out += [struct.pack(">i", len(title)), title, struct.pack("<4iB", first_vertex, len(v), first_index, len(i), len(skin)), skin, struct.pack("<6f", *material), SEPARATOR * (k < n - 1)]
-        vertices.append(v.astype(VERTEX))
-        indices.append(i.astype("<i4") + first_vertex)
-        first_vertex, first_index = first_vertex + len(v), first_index + len(i)
-    pool = [struct.pack("<2i", 0, first_vertex), *(v.tobytes() for v in vertices), struct.pack("<i", first_index), *(i.astype("<i4").tobytes() for i in indices)]
-    return b"".join([*out, *pool])
+        out += [struct.pack(">i", len(title)), title, struct.pack("<4iB", place[k][0], len(v), place[k][1], len(i), len(skin)), skin, struct.pack("<6f", *material), SEPARATOR * (k < n - 1)]
+    pooled = order or range(n)
+    vertices = [objects[k][2].astype(VERTEX).tobytes() for k in pooled]
+    indices = [(objects[k][3].astype("<i4") + place[k][0]).astype("<i4").tobytes() for k in pooled]
+    return b"".join([*out, struct.pack("<2i", 0, first_vertex), *vertices, struct.pack("<i", first_index), *indices])
+
+
+def find_pool(content: bytes) -> tuple[int, int, int]:
+    """(start, vertices, indices) of the pool: a word 0, the number of vertices, these, the number of indices, and these up to the file's very end.
+
+    All places are tried at once, for each of the four ways that words may lie in the bytes; the pool's parts are whole words, so its end
+    is read from the same words.
+    """
+    n = len(content)
+    found = []
+    for shift in range(4):
+        words = np.frombuffer(content, "<i4", (n - shift) // 4, shift)
+        k = np.flatnonzero(words[:-2] == 0) if len(words) > 2 else np.zeros(0, np.int64)
+        many = words[k + 1].astype(np.int64)
+        after = k + 2 + VERTEX_FLOATS * many
+        fits = (many >= 0) & (after < len(words))
+        k, many, after = k[fits], many[fits], after[fits]
+        last = words[after].astype(np.int64)
+        ends = (last >= 0) & (shift + 4 * (after + 1 + last) == n)
+        found += [(shift + 4 * int(a), int(v), int(i)) for a, v, i in zip(k[ends], many[ends], last[ends], strict=True) if shift + 4 * a >= len(MAGIC) + 12]
+    # an empty pool looks like a row of zeros, so one that holds something goes first
+    best = min((f for f in found if f[1] and f[2]), default=min(found, default=None))
+    if best is None:
+        raise ValueError("the size differs from the header's")
+    return best
+
+
+def _record(content: bytes, at: int, pool: tuple[int, int, int]) -> tuple[tuple, int] | None:
+    """The object whose record stands at `at`, and where its texture's name ends; None if no such record can stand there."""
+    if at + 21 > pool[0]:
+        return None
+    (size,) = struct.unpack_from(">i", content, at)
+    if not 0 < size <= 255 or at + 21 + size > pool[0]:
+        return None
+    name = content[at + 4 : at + 4 + size]
+    first_vertex, vertices, first_index, indices, skin = struct.unpack_from("<4iB", content, at + 4 + size)
+    end = at + 21 + size + skin
+    texture = content[end - skin : end]
+    inside = 0 <= first_vertex <= first_vertex + vertices <= pool[1] and 0 <= first_index <= first_index + indices <= pool[2] and vertices >= 0 and indices >= 0
+    if not inside or end > pool[0] or min(name + texture) < 32:
+        return None
+    return (name.decode("latin-1"), texture.decode("latin-1"), first_vertex, vertices, first_index, indices), end
 
 
 def decode(content: bytes) -> tuple[list[tuple[str, str, int, int, int, int]], np.ndarray, np.ndarray]:
-    """Objects (name, texture, first vertex, vertices, first index, indices), the vertices and the indices of a file."""
-    if not content.startswith(MAGIC):
+    """Objects (name, texture, first vertex, vertices, first index, indices), the vertices and the indices of a file.
+
+    The pool is found by its own lengths, so that odd records before it do no harm: a record that isn't where the one before ends is
+    looked for up to the pool.
+    """
+    if not content.startswith(MAGIC) or len(content) < len(MAGIC) + 24:
         raise ValueError("no model")
-    at, found = len(MAGIC), []
-    _, n, _ = struct.unpack_from(">3i", content, at)
-    at += 12
+    _, n, _ = struct.unpack_from(">3i", content, len(MAGIC))
+    pool = find_pool(content)
+    at, found = len(MAGIC) + 12, []
     for k in range(n):
-        (size,) = struct.unpack_from(">i", content, at)
-        name = content[at + 4 : at + 4 + size].decode("latin-1")
-        at += 4 + size
-        first_vertex, vertices, first_index, indices, size = struct.unpack_from("<4iB", content, at)
-        texture = content[at + 17 : at + 17 + size].decode("latin-1")
-        at += 17 + size + 4 * MATERIAL_FLOATS + (k < n - 1)
-        found.append((name, texture, first_vertex, vertices, first_index, indices))
-    _, total = struct.unpack_from("<2i", content, at)
-    vertices = np.frombuffer(content, VERTEX, total * VERTEX_FLOATS, at + 8).reshape(-1, VERTEX_FLOATS)
-    at += 8 + vertices.nbytes
-    (total,) = struct.unpack_from("<i", content, at)
-    indices = np.frombuffer(content, "<i4", total, at + 4)
-    if at + 4 + indices.nbytes != len(content):
-        raise ValueError("the size differs from the header's")
-    return found, vertices, indices
+        held = next((r for q in range(at, pool[0]) if (r := _record(content, q, pool))), None)
+        if held is None:
+            raise ValueError(f"object {k} of {n} is not there")
+        found.append(held[0])
+        at = held[1] + 4 * MATERIAL_FLOATS + 1
+    vertices = np.frombuffer(content, VERTEX, pool[1] * VERTEX_FLOATS, pool[0] + 8).reshape(-1, VERTEX_FLOATS)
+    return found, vertices, np.frombuffer(content, "<i4", pool[2], pool[0] + 12 + vertices.nbytes)
+
+
+def encoded(models: DataFrame) -> DataFrame:
+    """(path, content) of a file for each path of (path, place, name, texture, ring, height): each row is an object, walls over a convex ring and a flat roof.
+
+    Objects stand in the order of place. A file is put together in one task, which holds its objects.
+    """
+
+    def write(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["place"])
+        shapes = [prism([(p["x"], p["y"]) for p in r["ring"]], r["height"]) for r in rows]
+        content = encode([(r["name"], r["texture"], v, i, [1.0] * MATERIAL_FLOATS) for r, (v, i) in zip(rows, shapes, strict=True)])
+        return pa.table({"path": [rows[0]["path"]], "content": pa.array([content], pa.binary())})
+
+    return models.select("path", "place", "name", "texture", "ring", "height").groupBy("path").applyInArrow(write, "path string, content binary")
 
 
 def objects(files: DataFrame) -> DataFrame:

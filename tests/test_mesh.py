@@ -26,3 +26,26 @@ def test_damage():
         mesh.decode(mesh.encode([("a", "", v, i, [0.0] * 6)]) + b"x")
     with pytest.raises(ValueError):
         mesh.decode(b"nothing")
+
+
+def test_odd_records_and_pools_in_another_order():
+    """Records with longer materials and padding between them, at any place in the words, and parts of the pool in another order than the objects."""
+    shapes = [mesh.prism([(0, 0), (k + 1, 0), (0, 2)], 1.0 + k) for k in range(4)]
+    objects = [(f"object {k}", "t.png" * k, v + k, i, [float(k)] * 6) for k, (v, i) in enumerate(shapes)]
+    for order in (None, [2, 0, 3, 1]):
+        content = mesh.encode(objects, order)
+        found, vertices, indices = mesh.decode(content)
+        assert [f[0] for f in found] == [o[0] for o in objects]
+        for (name, texture, a, n, b, m), (_, skin, v, i, _) in zip(found, objects):
+            assert texture == skin and (vertices[a : a + n] == v.astype("f4")).all() and (indices[b : b + m] - a == i).all()
+        pool = mesh.find_pool(content)[0]
+        for pad in (1, 2, 3, 30):
+            for name in (b"object 1", b"object 3"):
+                at = content.index(name) - 4
+                odd = content[:at] + b"\xff" * pad + content[at:]
+                again = mesh.decode(odd)
+                assert again[0] == found and (again[1] == vertices).all() and (again[2] == indices).all()
+            odd = content[:pool] + b"\x07" * pad + content[pool:]
+            assert mesh.decode(odd)[0] == found
+    with pytest.raises(ValueError, match="not there"):
+        mesh.decode(content.replace(b"object 2", b"object\x00\x00"))
