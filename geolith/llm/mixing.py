@@ -27,8 +27,8 @@ SETTINGS = Settings(bits=16, dim=8, ngrams=(4,), sample_per_class=600, epochs=5)
 CLOSE, STILL = 1e-5, 1e-6
 #: Steps that are tried together, in one pass: lengths in the metric of all rows, and shares of that metric beside the rows within their bounds.
 LENGTHS, SHARES = (4.0, 1.0), (0.3, 0.1, 0.03, 0.01, 1e-3, 1e-4, 1e-6, 0.0)
-#: Without repeats, a total is lowered this share below the bound that rules it out.
-MARGIN = 0.01
+#: Without repeats, a total stays this share below the bound that rules out more, and goes down by as much after so many passes that do not meet it.
+MARGIN, PATIENCE = 0.01, 8
 #: Target weights of the domains, here the languages of the documents.
 TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 
@@ -156,8 +156,8 @@ def fit(measure: Measure, weights: np.ndarray, total: float | None = None, most:
     along y = metric x (want - have), no rates give more than the sums `reach`, so that y . want above it rules the targets out. The rates then bring
     them as near as they can come: until what the bound leaves open, or the projected gradient, is next to nothing.
 
-    total is all tokens there are by default; without repeats (most = 1) it is the largest that the weights allow: each such bound
-    y . (weights x total) <= reach lowers the total to what it leaves, less MARGIN, until what is asked for is met. Where next to nothing is left, as for a domain that no document is in, total is all tokens again,
+    total is all tokens there are by default; without repeats (most = 1) it is near the largest that the weights allow: it begins at what the scarcest domain has, and each such bound
+    y . (weights x total) <= reach lowers it to what the bound leaves, in either case less MARGIN. As a proof may take long where a total is barely out of reach, PATIENCE passes that do not meet it lower it by MARGIN, too. Where next to nothing is left, as for a domain that no document is in, total is all tokens again,
     and out of reach.
     """
     n, steps, first = len(weights), [], min(1.0, most)
@@ -169,18 +169,20 @@ def fit(measure: Measure, weights: np.ndarray, total: float | None = None, most:
     if total is None:
         total = now.have.sum()
         if lowered:
-            total = float(min(total, np.min(now.have[weights > 0] / weights[weights > 0])))
+            total = float(min(total, np.min(now.have[weights > 0] / weights[weights > 0]))) * (1 - MARGIN)
     metric, want, least = _inverse(half.free), weights * total, CLOSE * now.have.sum()
     if lowered and total < least:
         return fit(measure, weights, now.have.sum(), most)
     loss = lambda x: float((x - want) @ metric @ (x - want))
+    tries = 0
     while not Fit(steps, now.have, want).met:
+        tries += 1
         off = now.have - want
         pull = -metric @ off
         tried = [zero] + [metric @ off * k for k in LENGTHS] + [_inverse(now.free + half.free * k) @ off for k in SHARES]
         here, *found = measure(steps, tried, [pull] * len(tried))
-        if lowered and here.reach < pull @ want:
-            total = here.reach / (pull @ weights) * (1 - MARGIN)
+        if lowered and (here.reach < pull @ want or tries > PATIENCE):
+            total, tries = min(total, here.reach / (pull @ weights) if pull @ weights > 0 else total) * (1 - MARGIN), 0
             if total < least:
                 return fit(measure, weights, measure([], [zero], [zero])[0].have.sum(), most)
             want = weights * total
