@@ -148,13 +148,15 @@ def pieces(edges: DataFrame, cell: int) -> DataFrame:
         off = F.abs((x - ax) * ry - (y - ay) * rx) / length
         return F.when((off <= 1) & along.between(0, length), F.struct(F.col(lx).alias("x"), F.col(ly).alias("y")))
 
-    cuts = F.filter(F.array(touching(px, py, "o_ax", "o_ay"), touching(qx, qy, "o_bx", "o_by"), crossing), lambda p: p.isNotNull())
     near = (F.col("o_ax") <= most("x") + 1) & (F.col("o_bx") >= least("x") - 1) & (F.least("o_ay", "o_by") <= most("y") + 1) & (F.greatest("o_ay", "o_by") >= least("y") - 1)
     other = F.struct("ax", "ay", "bx", "by") != F.struct("o_ax", "o_ay", "o_bx", "o_by")
-    met = at.join(o, ["g", "cx", "cy"]).filter(near & other).select("g", "ax", "ay", "bx", "by", cuts.alias("cuts")).filter(F.size("cuts") > 0)
-    ends = e.select("g", "ax", "ay", "bx", "by", F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y"))).alias("cuts"))
+    # edges that share several cells meet in the first of them
+    first = (F.col("cx") == F.floor((F.greatest(least("x"), F.least("o_ax", "o_bx")) - 1) / cell)) & (F.col("cy") == F.floor((F.greatest(least("y"), F.least("o_ay", "o_by")) - 1) / cell))
+    cuts = F.array(touching(px, py, "o_ax", "o_ay"), touching(qx, qy, "o_bx", "o_by"), crossing)
+    met = at.join(o, ["g", "cx", "cy"]).filter(near & first & other).select("g", "ax", "ay", "bx", "by", F.explode(cuts).alias("cut")).filter("cut IS NOT NULL")
+    ends = e.select("g", "ax", "ay", "bx", "by", F.explode(F.array(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))).alias("cut"))
     # what cuts an edge lies in its cell
-    all_cuts = met.unionByName(ends).groupBy("g", "ax", "ay", "bx", "by").agg(F.flatten(F.collect_set("cuts")).alias("cuts"))
+    all_cuts = met.unionByName(ends).groupBy("g", "ax", "ay", "bx", "by").agg(F.collect_set("cut").alias("cuts"))
     way = lambda p: (p["x"] - F.col("ax")) * (F.col("bx") - F.col("ax")) + (p["y"] - F.col("ay")) * (F.col("by") - F.col("ay"))
     ordered = F.array_sort(F.array_distinct(F.transform("cuts", lambda p: F.struct(way(p).alias("w"), p["x"].alias("x"), p["y"].alias("y")))))
     cut = all_cuts.select("g", ordered.alias("p")).select("g", F.explode(F.arrays_zip(F.col("p").alias("a"), F.slice("p", 2, F.size("p")).alias("b"))).alias("e"))

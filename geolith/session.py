@@ -34,7 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Rounds:
-    """The table of an iteration, written as Parquet in each round and read again: lineage ends there, and lost executors lose nothing."""
+    """The table of an iteration, written as Parquet in each round and read again: lineage ends there, and lost executors lose nothing.
+
+    Repeated shapes make files that are a small part of their rows in memory, so their size is no reason to broadcast a table: joins of one sort and merge.
+    """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.at, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}", 0
@@ -47,4 +50,4 @@ class Rounds:
             jvm = self.spark._jvm
             old = jvm.org.apache.hadoop.fs.Path(f"{self.at}/{self.n - last}")
             old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
-        return self.spark.read.schema(df.schema).parquet(f"{self.at}/{self.n}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.at}/{self.n}").hint("merge")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geolith.operators import boundaries as B
+from geolith.session import Rounds
 
 
 def area(points):
@@ -148,3 +149,11 @@ def test_rings_like_rectangles_are_snapped(spark):
     got = {r["k"]: (r["snapped"], [(round(p["x"], 6), round(p["y"], 6)) for p in r["ring"]]) for r in B.snapped(d, "k", "ring", 0.8).collect()}
     assert got[1][0] and sorted(got[1][1]) == sorted(turned) and got[2][0] and abs(area(got[2][1])) == pytest.approx(50)
     assert got[3] == (False, triangle) and not got[4][0] and got[5] == (False, [(0, 0), (1, 0)])
+
+
+def test_written_rounds_are_not_broadcast(spark):
+    """A million equal rows are a file of next to nothing, but not in the driver's memory."""
+    d = Rounds(spark, "equal").write(spark.range(0, 1_000_000, 1, 1).select((F.col("id") % 2).alias("id"), F.lit(7).cast("long").alias("v")))
+    joined = d.select("id", "v").join(d.filter("v > 0").select(F.col("id").alias("o")), F.col("id") == F.col("o"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
