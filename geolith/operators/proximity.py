@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _cell(value: Column, size: float) -> Column:
@@ -61,3 +62,32 @@ def box_join(points: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
     b = boxes.withColumn("bx", F.explode(span("x0", "x1"))).withColumn("by", F.explode(span("y0", "y1")))
     a = points.withColumns({"bx": _cell(F.col("x"), cell), "by": _cell(F.col("y"), cell)})
     return a.join(b, ["bx", "by"]).filter(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))).drop("bx", "by")
+
+
+def box_totals(points: DataFrame, boxes: DataFrame, key: str, value: str, cell: float) -> DataFrame:
+    """(key, n, total): how many points (x, y, value) each box (key, x0, x1, y0, y1) holds, borders included, and the sum of their values; boxes without points have no row.
+
+    Pairs are never made, as they grow with the product of both sides. Points of one place become one row. In each grid column, those of the same y are a line; on
+    each line that a box meets, its points are what has come up to the box's right end less what came before its left one: one running sum over points and ends.
+    """
+    v = F.col(value).cast("double")
+    odd, nan = F.isnan(v) | (F.abs(v) == float("inf")), F.isnan(v)
+    # infinite values and NaN, which no difference of sums could take away again, are counted
+    sums = {"n": F.count(F.lit(1)), "held": F.count(v), "sum": F.coalesce(F.sum(F.when(~odd, v)), F.lit(0.0)), "most": F.count_if(nan | (v == float("inf"))), "least": F.count_if(nan | (v == float("-inf")))}
+    x, y = F.col("x"), F.col("y")
+    places = points.filter(x.isNotNull() & y.isNotNull()).groupBy(x.cast("double").alias("x"), y.cast("double").alias("y")).agg(*[c.alias(k) for k, c in sums.items()]).withColumn("bx", _cell(x, cell))
+    lines = places.select("bx", "y", _cell(y, cell).alias("by")).distinct()
+    span = lambda lo, hi: F.explode(F.sequence(_cell(F.col(lo), cell), _cell(F.col(hi), cell)))
+    there = boxes.filter("x0 <= x1 AND y0 <= y1").select(key, "x0", "x1", "y0", "y1").withColumn("bx", span("x0", "x1")).withColumn("by", span("y0", "y1"))
+    # merged: repeated boxes are a small file, but not in the driver's memory
+    met = there.hint("merge").join(lines, ["bx", "by"]).filter(y.between(F.col("y0"), F.col("y1")))
+    # the left end stands before the points of its x, the right one behind them
+    end = lambda c, order, sign: F.struct(F.col(c).cast("double").alias("x"), F.lit(order).alias("order"), F.lit(sign).cast("long").alias("sign"))
+    ends = met.select("bx", "y", key, F.explode(F.array(end("x0", 0, -1), end("x1", 2, 1))).alias("e")).select("bx", "y", "e.x", "e.order", "e.sign", key)
+    stream = places.select("bx", "y", "x", F.lit(1).alias("order"), *sums).unionByName(ends, allowMissingColumns=True)
+    so_far = Window.partitionBy("bx", "y").orderBy("x", "order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = stream.select(key, "sign", *[F.sum(k).over(so_far).alias(k) for k in sums]).filter("sign IS NOT NULL")
+    found = run.groupBy(key).agg(*[F.coalesce(F.sum(F.col("sign") * F.col(k)), F.lit(0)).alias(k) for k in sums]).filter("n > 0")
+    most, least = F.col("most") > 0, F.col("least") > 0
+    total = F.when(F.col("held") == 0, None).when(most & least, float("nan")).when(most, float("inf")).when(least, float("-inf")).otherwise(F.col("sum"))
+    return found.select(key, "n", total.alias("total"))

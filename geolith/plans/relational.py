@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from geolith.functions.geo import GridSpec
 from geolith.operators.gates import gate, missing_and_extra, summary, with_fallback
-from geolith.operators.proximity import box_join, nearest_within, prioritised_union
+from geolith.operators.proximity import box_totals, nearest_within, prioritised_union
 from geolith.operators.ranking import exclusive_sum, first_of, longest_run, percentiles
 from geolith.plans.registry import Registry
 from geolith.plans.tables import POINTS_SQL, table, vector_points
@@ -117,7 +117,7 @@ def q_box_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = F.col("p_retailprice") * 30, F.col("p_size") * 900.0
     boxes = table(spark, sf_dir, "part").select("p_partkey", x.alias("x0"), (x + 400).alias("x1"), y.alias("y0"), (y + 1500).alias("y1"))
     points = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("x"), (F.col("l_quantity") * 1000).alias("y"), "l_tax")
-    return box_join(points, boxes, 1000.0).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_tax"), 4).alias("total"))
+    return box_totals(points, boxes, "p_partkey", "l_tax", 1000.0).select("p_partkey", "n", F.round("total", 4).alias("total"))
 
 
 @query(f"""

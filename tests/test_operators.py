@@ -272,3 +272,24 @@ def test_painted_polygons_as_point_by_point(spark):
                     want[i, j] = (not any(inside(h, j + 0.5, i + 0.5) for h in hs), k)
     got = {(r["i"], r["j"]): (r["lit"], r["top"]) for r in rasters.painted_polygons(d, "k", 25, 30).collect()}
     assert got == want
+
+
+def test_box_totals_are_those_of_all_pairs(spark):
+    """Crowded boxes and points on borders; 40,000 copies of each would make 1.6 billion pairs."""
+    rng = random.Random(5)
+    odd = [None, math.inf, -math.inf, math.nan]
+    pts = [(float(rng.randrange(30)), float(rng.randrange(6)) * 2.5, rng.choice(odd) if rng.random() < 0.02 else rng.randrange(100) / 4) for _ in range(400)] + [(50.0, 50.0, None)]
+    boxes = [(k, float(x := rng.randrange(-5, 30)), float(x + rng.randrange(-1, 9)), float(y := rng.randrange(-5, 15)), float(y + rng.randrange(6))) for k in range(60)] + [(99, 49.0, 51.0, 49.0, 51.0)]
+    p = spark.createDataFrame(pts, "x DOUBLE, y DOUBLE, v DOUBLE")
+    b = spark.createDataFrame(boxes, "b INT, x0 DOUBLE, x1 DOUBLE, y0 DOUBLE, y1 DOUBLE")
+    got = {r["b"]: (r["n"], repr(r["total"])) for r in proximity.box_totals(p, b, "b", "v", 4.0).collect()}
+    want = {}
+    for k, x0, x1, y0, y1 in boxes:
+        held = [v for x, y, v in pts if x0 <= x <= x1 and y0 <= y <= y1]
+        if held:
+            there = [v for v in held if v is not None]
+            want[k] = (len(held), repr(sum(there) if there else None))
+    assert got == want
+    copies = lambda d: d.crossJoin(spark.range(40_000)).drop("id")
+    crowd = proximity.box_totals(copies(p.filter("x = 50").withColumn("v", F.lit(0.5))), copies(b.filter("b = 99")).withColumn("b", F.monotonically_increasing_id()), "b", "v", 4.0)
+    assert crowd.agg(F.count("b"), F.min("n"), F.max("n"), F.max("total")).first() == (40_000, 40_000, 40_000, 20_000.0)
