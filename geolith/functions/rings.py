@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def edges(ring: Column) -> Column:
     return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once inside functions on arrays, which know no common parts."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _sum(parts: Column, value) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda acc, e: acc + value(e))
 
@@ -44,6 +51,26 @@ def contains(ring: Column, x: Column, y: Column) -> Column:
     return F.size(crossed) % 2 == 1
 
 
+def lattice_points_inside(ring: Column, x0: float, y0: float, step: float, columns: int, rows: int) -> Column:
+    """How many points (x0 + step * i, y0 + step * j), i < columns and j < rows, a ring contains; see contains().
+
+    A row of points is not tested point by point: each edge that crosses it has so many points on its left, and these numbers, the largest first, are added and taken in turn.
+    """
+
+    def on_left(c: Column) -> Column:
+        held = F.greatest(F.least(c, F.lit(x0 + step * columns)), F.lit(x0 - step))
+        return bound(held, lambda v: bound(F.floor((v - x0) / step), lambda k: F.greatest(k + F.when(k * step + x0 < v, 1).otherwise(0), F.lit(0).cast("long"))))
+
+    def in_row(held: Column, y: Column) -> Column:
+        crossed = F.filter(held, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
+        at = F.transform(crossed, lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"])
+        left = F.sort_array(F.transform(F.filter(at, lambda c: c.isNotNull()), on_left), asc=False)
+        return F.aggregate(F.transform(left, lambda n, i: F.when(i % 2 == 0, n).otherwise(-n)), F.lit(0).cast("long"), lambda acc, n: acc + n)
+
+    ys = F.array(*[F.lit(y0 + step * j) for j in range(rows)])
+    return bound(edges(ring), lambda held: F.aggregate(ys, F.lit(0).cast("long"), lambda acc, y: acc + in_row(held, y)))
+
+
 def valid(ring: Column) -> Column:
     """At least three different vertices and an area."""
     return (F.size(F.array_distinct(ring)) >= 3) & (F.abs(signed_area(ring)) > 0)

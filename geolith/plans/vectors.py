@@ -96,8 +96,8 @@ WITH {RING_SQL}, t AS (SELECT p_partkey, w, h, a + 0.5 AS x, b + 0.5 AS y FROM r
 """)
 def q_poly_raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = part_rings(spark, sf_dir)
-    pixels = d.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(45), F.lit(5)))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(35), F.lit(5))))
-    return pixels.filter(rings.contains(F.col("ring"), F.col("a") + 0.5, F.col("b") + 0.5)).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("pixels"))
+    pixels = d.select("p_partkey", rings.lattice_points_inside(F.col("ring"), 0.5, 0.5, 5.0, 10, 8).alias("pixels"))
+    return pixels.groupBy("p_partkey").agg(F.sum("pixels").alias("pixels")).filter("pixels > 0")
 
 
 @query(f"""

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from geolith.functions import geo, rings, shapes, tags
 from geolith.operators import gates, proximity, ranking, rasters
 
@@ -293,3 +294,20 @@ def test_box_totals_are_those_of_all_pairs(spark):
     copies = lambda d: d.crossJoin(spark.range(40_000)).drop("id")
     crowd = proximity.box_totals(copies(p.filter("x = 50").withColumn("v", F.lit(0.5))), copies(b.filter("b = 99")).withColumn("b", F.monotonically_increasing_id()), "b", "v", 4.0)
     assert crowd.agg(F.count("b"), F.min("n"), F.max("n"), F.max("total")).first() == (40_000, 40_000, 40_000, 20_000.0)
+
+
+def test_lattice_points_inside_are_those_contained(spark):
+    """Random and concave rings, vertices on the lattice's rows and columns, rings beyond it, none and odd ones."""
+    rng = random.Random(7)
+    some = [[(rng.choice([0.5, 5.5, 10.5, rng.uniform(-10, 60)]), rng.choice([0.5, 5.5, 10.5, rng.uniform(-10, 50)])) for _ in range(rng.randrange(3, 9))] for _ in range(60)]
+    some += [[(0.5, 0.5), (5.5, 0.5), (5.5, 10.5), (0.5, 10.5)], [(-1e300, -100.0), (1e300, -100.0), (1e300, 100.0), (-1e300, 100.0)], [(0.0, 0.0), (None, 0.0), (None, 9.0), (0.0, 9.0)], [(0.0, 0.0), (math.nan, 9.0), (3.0, 20.0)], []]
+    d = spark.createDataFrame([(k, [{"x": x, "y": y} for x, y in r]) for k, r in enumerate(some)], "k INT, ring ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>")
+    cells = d.withColumn("a", F.explode(F.array(*[F.lit(5.0 * i) for i in range(10)]))).withColumn("b", F.explode(F.array(*[F.lit(5.0 * j) for j in range(8)])))
+    want = {r["k"]: r["n"] for r in cells.groupBy("k").agg(F.count_if(rings.contains(F.col("ring"), F.col("a") + 0.5, F.col("b") + 0.5)).alias("n")).collect()}
+    assert {r["k"]: r["n"] for r in d.select("k", rings.lattice_points_inside(F.col("ring"), 0.5, 0.5, 5.0, 10, 8).alias("n")).collect()} == want and len(set(want.values())) > 10
+
+
+@pytest.mark.parametrize("name", ["q_poly_raster"])
+def test_rings_are_not_repeated_for_each_cell(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
