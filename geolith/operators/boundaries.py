@@ -248,25 +248,28 @@ def repaired(polygons: DataFrame, key: str, ring: str, cell: float, snap: float
 def snapped(rows: DataFrame, key: str, ring: str, fill: float) -> DataFrame:
     """rows with `snapped`, whether their ring has at least the share `fill` of the smallest rectangle around it, and that rectangle in place of such a ring.
 
-    A side of the smallest rectangle goes through two vertices: each pair's direction is tried, in one aggregate. For rings of few vertices, such as simplified ones. Rings
-    whose vertices are fewer than three, or all on one line, stay.
+    A side of the smallest rectangle goes through two vertices: each pair's direction is tried, within the row, so that no ring meets others in a task. For rings of few vertices,
+    such as simplified ones. Rings whose vertices are fewer than three, or all on one line, stay.
     """
-    n = F.size(ring)
-    later = lambda i: F.slice(ring, i + 2, F.greatest(n - i - 1, F.lit(0)))
-    ways = F.flatten(F.transform(ring, lambda p, i: F.transform(later(i), lambda q: F.struct((q["x"] - p["x"]).alias("x"), (q["y"] - p["y"]).alias("y")))))
-    tried = rows.filter(n > 2).select(F.col(key).alias("_k"), F.col(ring).alias("_r"), F.explode(F.array_distinct(ways)).alias("d"))
-    length = F.hypot("d.x", "d.y")
-    turned = tried.filter(length > 0).select("_k", "_r", (F.col("d.x") / length).alias("ux"), (F.col("d.y") / length).alias("uy"))
-    along = F.transform("_r", lambda p: p["x"] * F.col("ux") + p["y"] * F.col("uy"))
-    across = F.transform("_r", lambda p: p["y"] * F.col("ux") - p["x"] * F.col("uy"))
-    spans = turned.select("_k", "ux", "uy", F.array_min(along).alias("a0"), F.array_max(along).alias("a1"), F.array_min(across).alias("b0"), F.array_max(across).alias("b1"))
-    best = spans.groupBy("_k").agg(F.min(F.struct(((F.col("a1") - F.col("a0")) * (F.col("b1") - F.col("b0"))).alias("area"), "ux", "uy", "a0", "a1", "b0", "b1")).alias("m"))
-    m = lambda c: F.col(f"m.{c}")
+    points = F.col(ring)
+
+    def rectangle(u: Column) -> Column:
+        turned = F.struct(F.transform(points, lambda p: p["x"] * u["x"] + p["y"] * u["y"]).alias("a"), F.transform(points, lambda p: p["y"] * u["x"] - p["x"] * u["y"]).alias("b"))
+        spans = lambda t: F.struct(*[f(t[c]).alias(f"{c}{n}") for c in "ab" for n, f in enumerate((F.array_min, F.array_max))])
+        sized = lambda m: F.struct(((m["a1"] - m["a0"]) * (m["b1"] - m["b0"])).alias("area"), u["x"].alias("ux"), u["y"].alias("uy"), *[m[c].alias(c) for c in ("a0", "a1", "b0", "b1")])
+        return rings.bound(rings.bound(turned, spans), sized)
+
+    def tried(p: Column, q: Column) -> Column:
+        d = F.struct((q["x"] - p["x"]).alias("x"), (q["y"] - p["y"]).alias("y"), F.hypot(q["x"] - p["x"], q["y"] - p["y"]).alias("length"))
+        return rings.bound(d, lambda d: F.when(d["length"] > 0, rings.bound(F.struct((d["x"] / d["length"]).alias("x"), (d["y"] / d["length"]).alias("y")), rectangle)))
+
+    later = lambda i: F.slice(ring, i + 2, F.greatest(F.size(ring) - i - 1, F.lit(0)))
+    best = F.array_min(F.transform(points, lambda p, i: F.array_min(F.transform(later(i), lambda q: tried(p, q)))))
+    m = lambda c: F.col(f"_m.{c}")
     corner = lambda a, b: F.struct((m(a) * m("ux") - m(b) * m("uy")).alias("x"), (m(a) * m("uy") + m(b) * m("ux")).alias("y"))
-    is_like = F.coalesce((m("area") > 0) & (F.abs(rings.signed_area(F.col(ring))) >= fill * m("area") * (1 - 1e-9)), F.lit(False))
-    found = rows.join(best, F.col(key) == F.col("_k"), "left").withColumn("snapped", is_like)
-    rectangle = F.array(corner("a0", "b0"), corner("a1", "b0"), corner("a1", "b1"), corner("a0", "b1"))
-    return found.withColumn(ring, F.when(F.col("snapped"), rectangle).otherwise(F.col(ring))).drop("_k", "m")
+    is_like = F.coalesce((m("area") > 0) & (F.abs(rings.signed_area(points)) >= fill * m("area") * (1 - 1e-9)), F.lit(False))
+    found = rows.withColumn("_m", F.when(F.size(ring) > 2, best)).withColumn("snapped", is_like)
+    return found.withColumn(ring, F.when(F.col("snapped"), F.array(corner("a0", "b0"), corner("a1", "b0"), corner("a1", "b1"), corner("a0", "b1"))).otherwise(points)).drop("_m")
 
 
 def ring_rows(corners: DataFrame, *by: str) -> DataFrame:

@@ -157,3 +157,10 @@ def test_written_rounds_are_not_broadcast(spark):
     joined = d.select("id", "v").join(d.filter("v > 0").select(F.col("id").alias("o")), F.col("id") == F.col("o"))
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_snapping_stays_within_the_row(spark):
+    d = polygons(spark, [(1, [(0, 0), (4, 0), (4, 4), (0, 4)]), (1, [(0, 0), (9, 0), (9, 2), (1, 2), (1, 9), (0, 9)]), (2, [(1, 1), (1, 1), (1, 1)])])
+    found = B.snapped(d, "k", "ring", 0.75)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["k"], r["snapped"], len(r["ring"])) for r in found.collect()) == [(1, False, 6), (1, True, 4), (2, False, 3)]
