@@ -311,3 +311,19 @@ def test_lattice_points_inside_are_those_contained(spark):
 def test_rings_are_not_repeated_for_each_cell(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_least_rectangles_are_those_of_each_ring(spark):
+    """Rings of one size together and alone: repeated points, lines, single places, convex and other rings."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 4, 5, 9):
+        some = np.concatenate([rng.uniform(-9, 9, (60, n, 2)), rng.integers(0, 3, (200, n, 2)).astype(float)])
+        want = np.array([shapes.least_rectangle(p) for p in some])
+        got = shapes.least_rectangles(some)
+        assert np.allclose(got, want, atol=1e-9)
+    rows = [(k, r and [{"x": float(x), "y": float(y)} for x, y in r]) for k, r in enumerate([None, [], [(0, 0), (4, 0), (4, 3), (0, 3)], [(1, 1), (4, 5)], [(math.cos(a), math.sin(a)) for a in range(90)], [(2, 2)]])]
+    d = spark.createDataFrame(rows, "k INT, ring ARRAY<STRUCT<x: DOUBLE, y: DOUBLE>>").coalesce(1).select("k", shapes.bounding_rectangle(F.col("ring")).alias("b"))
+    got = {r["k"]: r["b"] and (round(r["b"]["area"], 6), round(r["b"]["length"], 6)) for r in d.collect()}
+    many = shapes.least_rectangle(np.array([(math.cos(a), math.sin(a)) for a in range(90)]))
+    assert got[2] == (12, 4) and got[3] == (0, 5) and got[5] == (0, 0) and got[4] == (round(many[0], 6), round(many[2], 6))
+    assert all(got[k] is None or got[k] == (None, None) for k in (0, 1))
