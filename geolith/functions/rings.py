@@ -138,13 +138,18 @@ def area_in_box(ring_edges: Column, x0: Column, y0: Column, x1: Column, y1: Colu
     # the integral of `inside` up to x
     summed = lambda x: F.pow(inside(x), 2) / 2 + F.greatest(x - x1, F.lit(0.0)) * width
 
-    def part(e: Column) -> Column:
+    def mean(xa: Column, xb: Column) -> Column:
+        return F.when(F.abs(xb - xa) > 1e-9 * (1 + width), F.try_divide(summed(xb) - summed(xa), xb - xa)).otherwise(inside((xa + xb) / 2))
+
+    def between(e: Column, low: Column, high: Column) -> Column:
         a, b = e["a"], e["b"]
-        low, high = F.least(F.greatest(a["y"], y0), y1), F.least(F.greatest(b["y"], y0), y1)
         slope = F.coalesce(F.try_divide(b["x"] - a["x"], b["y"] - a["y"]), F.lit(0.0))
-        xa, xb = a["x"] + slope * (low - a["y"]), a["x"] + slope * (high - a["y"])
-        mean = F.when(F.abs(xb - xa) > 1e-9 * (1 + width), F.try_divide(summed(xb) - summed(xa), xb - xa)).otherwise(inside((xa + xb) / 2))
-        return F.when(low == high, 0.0).otherwise((high - low) * mean)
+        ends = bound(slope, lambda s: F.struct((a["x"] + s * (low - a["y"])).alias("a"), (a["x"] + s * (high - a["y"])).alias("b")))
+        return (high - low) * bound(ends, lambda x: mean(x["a"], x["b"]))
+
+    def part(e: Column) -> Column:
+        held = lambda y: F.least(F.greatest(y, y0), y1)
+        return bound(F.struct(held(e["a"]["y"]).alias("low"), held(e["b"]["y"]).alias("high")), lambda h: F.when(h["low"] == h["high"], 0.0).otherwise(between(e, h["low"], h["high"])))
 
     return F.abs(_sum(ring_edges, part))
 

@@ -190,8 +190,9 @@ def q_polygon_mask_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select(k.alias("k"), d(k * 7 % 50).alias("x0"), d(k * 13 % 50).alias("y0"), d(4 + F.col("p_size") % 9).alias("w"), d(4 + k % 6).alias("h"))
     x1, y1 = F.col("x0") + F.col("w"), F.col("y0") + F.col("h")
     ring = F.array(rings.point(F.col("x0"), F.col("y0")), rings.point(x1, F.col("y0")), rings.point(x1, y1), rings.point(F.col("x0"), y1))
-    tiles = p.select("k", rings.edges(ring).alias("edges"), F.explode(cells_of_box(F.col("x0"), F.col("y0"), x1, y1, side)).alias("c")).select("k", "edges", (F.col("c.cx") * side).alias("tx"), (F.col("c.cy") * side).alias("ty"))
-    share = rings.area_in_box(F.col("edges"), F.col("tx"), F.col("ty"), F.col("tx") + side, F.col("ty") + side) / (side * side)
-    cut = tiles.select("k", F.explode(F.array(share)).alias("share")).filter("share > 0")  # explode: else each use of it computes it again
-    whole = F.col("share") >= 1 - 1e-9
-    return cut.groupBy("k").agg(F.count_if(whole).alias("inside"), F.count_if(~whole).alias("straddle"))
+    share = lambda edges, c: rings.area_in_box(edges, c["cx"] * side, c["cy"] * side, c["cx"] * side + side, c["cy"] * side + side) / (side * side)
+    cells = cells_of_box(F.col("x0"), F.col("y0"), x1, y1, side)
+    shares = p.select("k", rings.bound(rings.edges(ring), lambda edges: F.transform(cells, lambda c: share(edges, c))).alias("shares"))
+    held = lambda test: F.sum(F.size(F.filter("shares", test))).alias
+    whole = lambda s: s >= 1 - 1e-9
+    return shares.groupBy("k").agg(held(whole)("inside"), held(lambda s: (s > 0) & ~whole(s))("straddle")).filter("inside + straddle > 0")

@@ -307,7 +307,7 @@ def test_lattice_points_inside_are_those_contained(spark):
     assert {r["k"]: r["n"] for r in d.select("k", rings.lattice_points_inside(F.col("ring"), 0.5, 0.5, 5.0, 10, 8).alias("n")).collect()} == want and len(set(want.values())) > 10
 
 
-@pytest.mark.parametrize("name", ["q_poly_raster"])
+@pytest.mark.parametrize("name", ["q_poly_raster", "q_polygon_mask_path"])
 def test_rings_are_not_repeated_for_each_cell(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
